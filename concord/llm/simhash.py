@@ -272,25 +272,24 @@ def _verify(frames: Iterator[pd.DataFrame], distance: int) -> Iterator[pd.DataFr
 
 def links(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET, masks: list[int] | None = None) -> DataFrame:
     """Edges (a, b) that connect distinct fingerprints (column fp) exactly as all links do."""
+    spark = fps.sparkSession
     masks = plan_probes(fps, distance) if masks is None else masks
     probes = F.explode(F.array(*(F.lit(_signed(m)) for m in masks)))
     rows = fps.select("fp", probes.alias("mask")).withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     found: list[DataFrame] = []
-    known = set(masks)
     while True:
         sizes = rows.groupBy("mask", "value").agg(F.count("*").alias("size")).where("size > 1")
         sized = written(rows.join(sizes, ["mask", "value"]), "probes")
-        fit = sized.where(F.col("size") <= bucket)
-        n = max(fps.sparkSession.sparkContext.defaultParallelism, int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        sorted_rows = fit.select("mask", "value", "fp").repartition(n, "mask", "value").sortWithinPartitions("mask", "value")
-        found.append(sorted_rows.mapInPandas(lambda frames: _verify(frames, distance), "a long, b long"))
+        fit = sized.where(F.col("size") <= bucket).select("mask", "value", "fp").repartition(n, "mask", "value").sortWithinPartitions("mask", "value")
+        found.append(fit.mapInPandas(lambda frames: _verify(frames, distance), "a long, b long"))
         large = sized.where(F.col("size") > bucket)
-        if not large.limit(1).count():
+        # as many masks as were probed at most, not as many as rows
+        crowded = [r["mask"] % (1 << 64) for r in large.select("mask").distinct().collect()]
+        if not crowded:
             break
-        smaller = {m: split_mask(m, distance) for m in known}
-        known = {x for parts in smaller.values() for x in parts}
-        table = F.create_map(*(x for m, parts in smaller.items() for x in (F.lit(_signed(m)), F.array(*(F.lit(_signed(p)) for p in parts)))))
-        rows = large.select("fp", F.explode(table[F.col("mask")]).alias("mask")).withColumn("value", F.col("fp").bitwiseAND(F.col("mask"))).distinct()
+        smaller = spark.createDataFrame([(_signed(m), _signed(x)) for m in crowded for x in split_mask(m, distance)], "mask long, smaller long")
+        rows = large.join(F.broadcast(smaller), "mask").select("fp", F.col("smaller").alias("mask"), F.col("fp").bitwiseAND(F.col("smaller")).alias("value")).distinct()
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionByName(more)

@@ -175,7 +175,9 @@ class WarcReader(DataSourceReader):
                 return False
         return True
 
-    def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Range | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # no archives
+            return
         store, _ = _store(self.path)
         names = [f.split()[0] for f in RECORD_SCHEMA.split(", ")]
         types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]

@@ -55,7 +55,7 @@ def test_against_brute_force(spark, sf_dir):
     assert len(set(group.values())) < len(group) - 20
 
 
-@pytest.mark.parametrize(("bucket", "masks"), [(2048, None), (8, None), (3, [0])])
+@pytest.mark.parametrize(("bucket", "masks"), [(2048, None), (16, None), (64, [0])])
 def test_links_of_crowded_fingerprints(spark, bucket, masks):
     rng = random.Random(bucket)
     fps = {rng.getrandbits(64) for _ in range(200)}
