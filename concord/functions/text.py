@@ -33,10 +33,19 @@ def slug(text: Column, length: int = 60, default: str = "untitled") -> Column:
     return F.coalesce(F.nullif(F.regexp_replace(cut, "^-+|-+$", ""), F.lit("")), F.lit(default))
 
 
+def bound_once(value: Column, body) -> Column:
+    """``body(value)`` with value computed once a row, wherever the optimiser moves the expression."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def shingles(words: Column, n: int) -> Column:
     """Distinct runs of n words, as 64-bit digests; none for shorter texts."""
-    at = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(at, lambda i: F.xxhash64(F.array_join(F.slice(words, i, n), " "))))
+
+    def runs(w: Column) -> Column:
+        at = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(at, lambda i: F.xxhash64(F.array_join(F.slice(w, i, n), " "))))
+
+    return bound_once(words, runs)
 
 
 def money(text: Column) -> Column:
