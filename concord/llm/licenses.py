@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from concord.functions.text import bound_once
+
 #: Phrases and their labels (fixed values).
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 #: Notices of well-known licenses (fixed values), as words.
@@ -54,11 +56,13 @@ def _gram_hash(words: Column, at: Column) -> Column:
 
 def template_grams(spark: SparkSession, phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES) -> DataFrame:
     """A row per template trigram: its hash, words and place, and the template's number, label, trigrams and kind."""
+    names = ["template", "label", "grams", "base", "place", *(f"w{k}" for k in range(GRAM))]
     rows = []
     for number, (words, label, base) in enumerate([*((p, x, True) for p, x in phrases.items()), *((n, x, False) for n, x in notices.items())]):
         split = words.split()
-        rows += [(number, label, len(split) - GRAM + 1, base, k, *split[k : k + GRAM]) for k in range(len(split) - GRAM + 1)]
-    table = spark.createDataFrame(rows, "template int, label string, grams int, base boolean, place int, w0 string, w1 string, w2 string")
+        grams = [(number, label, len(split) - GRAM + 1, base, k, *split[k : k + GRAM]) for k in range(len(split) - GRAM + 1)]
+        rows += [F.struct(*(F.lit(v).alias(n) for n, v in zip(names, gram, strict=True))) for gram in grams]
+    table = spark.range(1).select(F.inline(F.array(*rows)))
     return table.withColumn("hash", F.xxhash64("w0", "w1", "w2"))
 
 
@@ -66,10 +70,13 @@ def votes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """Votes by document, template and diagonal; each document also has a row without template that counts its copies."""
     spark = documents.sparkSession
     words = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("_key"), words_of(text).alias("_words"))
-    places = F.when(F.size("_words") >= GRAM, F.sequence(F.lit(0), F.size("_words") - GRAM)).otherwise(F.array().cast("array<int>"))
-    # the first entry is null, so that every document keeps a row
-    hashes = F.concat(F.array(F.lit(None).cast("long")), F.transform(places, lambda i: _gram_hash(F.col("_words"), i)))
-    grams = words.select("doc_id", "_key", "_words", F.size("_words").cast("long").alias("n_words"), F.posexplode(hashes).alias("_at", "_hash"))
+
+    def hashes(w: Column) -> Column:
+        places = F.when(F.size(w) >= GRAM, F.sequence(F.lit(0), F.size(w) - GRAM)).otherwise(F.array().cast("array<int>"))
+        # the first entry is null, so that every document keeps a row
+        return F.concat(F.array(F.lit(None).cast("long")), F.transform(places, lambda i: _gram_hash(w, i)))
+
+    grams = words.select("doc_id", "_key", "_words", F.size("_words").cast("long").alias("n_words"), F.posexplode(bound_once(F.col("_words"), hashes)).alias("_at", "_hash"))
     joined = grams.join(F.broadcast(template_grams(spark)), F.col("_hash") == F.col("hash"), "left")
     same = F.lit(True)
     for k in range(GRAM):
