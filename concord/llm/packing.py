@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concord.llm.common import small_batches
-from concord.llm.tokens import PieceTable
+from concord.llm.tokens import PieceTable, piece_table
 from concord.session import written
 
 CAPACITY = 2048
@@ -55,7 +55,7 @@ def pieces_of(documents: DataFrame, tokenizer_path: str, doc_id: str = "doc_id",
     end = int(end_id).to_bytes(4, "little")
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = PieceTable(tokenizer_path)
+        table = piece_table(PieceTable, tokenizer_path)
         for batch in batches:
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for k, values in enumerate(table.values([t or "" for t in batch.column(1).to_pylist()])):

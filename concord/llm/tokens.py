@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,22 +62,51 @@ def whole_tokens(path: str) -> dict[str, int]:
     return {t: i for (t, i), e in zip(pairs, encoded, strict=True) if e.ids == [i]}
 
 
+def ranked_merges(path: str):
+    """An encoder by merge ranks for the file's vocabulary, where that gives the library's ids; else None.
+
+    It does if ids follow the order of the merges: then a merge's rank is the id
+    it makes. Both libraries' splits agree on the letters of ``_SHARED``.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    vocabulary = model["vocab"]
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    made = [vocabulary.get("".join(m)) for m in merges]
+    if None in made or made != sorted(made) or model.get("ignore_merges") or model.get("dropout"):
+        return None
+    # byte-level files write printable Latin-1 bytes as themselves and the others as U+0100 and on
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
+    merged = set(made)
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in vocabulary.items() if len(t) == 1 or i in merged}
+    if not {bytes([b]) for b in range(256)} <= set(ranks):
+        return None
+    return tiktoken.Encoding("ranks", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_ordinary
+
+
 class PieceTable:
-    """What ``value`` gives for texts, from a bounded table of pieces; held by one Python worker."""
+    """What ``encode`` gives for pieces of texts, from a bounded table; held by one Python worker over its tasks.
+
+    Pieces met once are kept among the young, and for good when met again, so that
+    rare ones do not push out common ones.
+    """
 
     def __init__(self, path: str, limit: int = CACHED_PIECES) -> None:
         self.tokenizer = _tokenizer(path)
+        self.ranked = ranked_merges(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.limit = limit
         self.known: dict[str, object] = {}
+        self.young: dict[str, object] = {}
 
     def whole(self, text: str) -> bool:
         return _RUN_OF_SPACE.search(text) is not None or any(s in text for s in self.special)
 
     def values(self, texts: list[str]) -> list[list]:
-        """For each text the values of its pieces. A first piece is keyed with a leading newline mark."""
-        if len(self.known) > self.limit:
-            self.known.clear()
+        """For each text the values of its pieces; a first piece, which follows no space, has a key of its own."""
         out: list[list] = []
         again: list[tuple[int, list[str]]] = []
         missing: dict[str, None] = {}
@@ -92,25 +122,59 @@ class PieceTable:
             found = list(map(get, pieces))
             if None in found:
                 again.append((k, pieces))
-                missing.update(dict.fromkeys(p for p, v in zip(pieces, found, strict=True) if v is None))
+                missing.update(dict.fromkeys([p for p, v in zip(pieces, found, strict=True) if v is None]))
             out.append(found)
         if missing:
-            fresh = list(missing)
+            young = self.young
+            met = {p: young.pop(p) for p in missing if p in young}
+            fresh = [p for p in missing if p not in met]
             new = dict(zip(fresh, self.encode([p[1:-1] if p[-1:] == " " else " " + p for p in fresh]), strict=True))
-            self.known.update(new)
+            here = new | met
             for k, pieces in again:
-                out[k] = [get(p) for p in pieces]
+                out[k] = [here[p] if v is None else v for p, v in zip(pieces, out[k], strict=True)]
+            if len(young) + len(new) > self.limit:
+                young.clear()
+            young.update(new)
+            if len(self.known) + len(met) > self.limit:
+                self.known.clear()
+            self.known.update(met)
         for k, value in zip(whole, self.encode_whole([texts[k] for k in whole]), strict=True):
             out[k] = [value]
         return out
 
+    def ids(self, pieces: list[str]) -> list[list[int]]:
+        """Token ids of pieces without special strings."""
+        if self.ranked is None:
+            return self._library_ids(pieces)
+        odd = [p for p in pieces if not _shared(p)]
+        other = dict(zip(odd, self._library_ids(odd), strict=True))
+        ranked = self.ranked
+        return [other[p] if p in other else ranked(p) for p in pieces] if other else list(map(ranked, pieces))
+
+    def _library_ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
     def encode(self, pieces: list[str]) -> list:
-        return self.encode_whole(pieces)
+        return [array("I", i).tobytes() for i in self.ids(pieces)]
 
     def encode_whole(self, texts: list[str]) -> list:
-        if not texts:
-            return []
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", i).tobytes() for i in self._library_ids(texts)]
+
+
+def _shared(text: str) -> bool:
+    """Letters below U+0250 are the same in all libraries' tables."""
+    return text.isascii() or max(text) < "ɐ"
+
+
+_TABLES: dict[tuple, PieceTable] = {}
+
+
+def piece_table(kind, path: str, *more) -> PieceTable:
+    """This worker's table; kept over its tasks."""
+    key = (kind, path)
+    if key not in _TABLES:
+        _TABLES[key] = kind(path, *more)
+    return _TABLES[key]
 
 
 class CountTable(PieceTable):
@@ -121,10 +185,10 @@ class CountTable(PieceTable):
         self.single = whole
 
     def encode(self, pieces: list[str]) -> list[int]:
-        split = [_SPLIT.findall(p) if p.isascii() or max(p) < "ɐ" else self._library_split(p) for p in pieces]
+        split = [_SPLIT.findall(p) if _shared(p) else self._library_split(p) for p in pieces]
         single = self.single
         rest = list(dict.fromkeys(w for words in split for w in words if w not in single))
-        merged = dict(zip(rest, self.encode_whole(rest), strict=True))
+        merged = dict(zip(rest, map(len, self.ids(rest)), strict=True))
         return [sum(1 if w in single else merged[w] for w in words) for words in split]
 
     def _library_split(self, piece: str) -> list[str]:
@@ -132,9 +196,7 @@ class CountTable(PieceTable):
         return [piece[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)]
 
     def encode_whole(self, texts: list[str]) -> list[int]:
-        if not texts:
-            return []
-        return [len(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [len(i) for i in self._library_ids(texts)]
 
 
 def count_tokens(documents: DataFrame, tokenizer_path: str, text: str = "text", keep: list[str] | None = None, limit: int = 1024) -> DataFrame:
@@ -145,7 +207,7 @@ def count_tokens(documents: DataFrame, tokenizer_path: str, text: str = "text",
     single = spark.sparkContext.broadcast(whole_tokens(tokenizer_path))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = CountTable(tokenizer_path, single.value)
+        table = piece_table(CountTable, tokenizer_path, single.value)
         for batch in batches:
             column = batch.column(text)
             _, bounds = text_buffer(column)

@@ -99,3 +99,18 @@ def exact_bins(lengths, capacity, bins=()):
 def test_rows_counted_once(spark):
     docs = documents(spark, ["a"] * 7, [1] * 7)
     assert packing.pack_documents(docs, PATH).agg(F.sum("length")).first()[0] == 14
+
+
+def test_ranked_merges_give_the_library_ids(library):
+    ranked = tokens.ranked_merges(PATH)
+    pieces = [f"{a}{w}{b}" for w in prose(8, 400).split() for a in (" ", "") for b in ("", ".", ",\nÉtait", "'s", "¿ß")] + [" ", "\n\n", "é", "\x00\x7f"]
+    assert [ranked(p) for p in pieces] == [e.ids for e in library.encode_batch(pieces, add_special_tokens=False)]
+
+
+def test_table_keeps_its_bound():
+    table = tokens.PieceTable(PATH, limit=50)
+    texts = [prose(k, 60) for k in range(20)]
+    want = [table.encode_whole([t])[0] for t in texts]
+    for _ in range(3):
+        assert [b"".join(v) for v in table.values(texts)] == want
+    assert len(table.known) <= 1400 and len(table.young) <= 1400
