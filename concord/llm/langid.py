@@ -40,6 +40,8 @@ CENTROIDS = 4
 FOLDS, HELD_OUT_FOLD = 4, 2
 #: A text is rejected below this share of the least cosine of the sample's texts of its size.
 MARGIN = 0.6
+#: Texts of fewer than 2 ** SHORT n-grams are never rejected for their cosine.
+SHORT = 6
 UNKNOWN = "und"
 _CLASS = np.where((LOWER >= 97) & (LOWER <= 122), LOWER, np.where(np.arange(256) >= 128, np.arange(256), 32)).astype(np.int64)
 
@@ -162,7 +164,7 @@ def fit(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
         least[k] = MARGIN * seen if np.isfinite(seen) else 0.0
     sizes = np.flatnonzero(np.bincount(size, minlength=32) >= 5)
     if len(sizes):
-        least[: sizes[0]] = 0.0  # too short to judge by
+        least[: max(sizes[0], SHORT)] = 0.0  # too short to judge by
     model.least = least
     return model
 
