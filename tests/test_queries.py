@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from concord.plans import catalogue_queries, registry, text_queries  # noqa: F401
+from concord.plans import catalogue_queries, record_queries, registry, text_queries  # noqa: F401
 from concord.streaming import resume  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark labels conversations".split()
@@ -69,3 +69,29 @@ def test_reuse_kinds(spark):
     got = {(r.kind, r.doc_id, r.other_id) for r in reuse_marks(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert ("near_identical", 1, 3) in got and ("contained_in", 4, 1) in got
     assert not any(2 in g or 6 in g or 7 in g for g in got) and math.isclose(len(got), len(set(got)))
+
+
+def test_record_functions(spark):
+    from pyspark.sql import functions as F
+
+    from concord.functions import records as N
+
+    rows = [("2 anos", ">= 10", " 1500.00", None), ("18 Meses", "azul", "Preto ", " Inativo"), ("7", "<5", "-0.50", "1"), (None, None, None, ""), ("nunca", "> x", "100", "Não")]
+    df = spark.createDataFrame(rows, "d string, c string, v string, a string")
+    got = df.select(N.months(F.col("d")).alias("m"), N.comparison(F.col("c")).alias("o"), N.canonical_value(F.col("v")).alias("v"), N.active(F.col("a")).alias("a")).collect()
+    assert [r.m for r in got] == [24, 18, 7, None, None]
+    assert [(r.o.operator, r.o.operand) for r in got] == [(">=", "10"), ("=", "azul"), ("<", "5"), ("=", None), (">", "x")]
+    assert [r.v for r in got] == ["1500", "preto", "-0.5", None, "100"]
+    assert [r.a for r in got] == [True, False, True, False, False]
+    roman = spark.range(0, 18).select(N.roman(F.col("id").cast("int")).alias("r")).collect()
+    assert [roman[i].r for i in (0, 1, 4, 15, 16)] == [None, "I", "IV", "XV", None]
+    empty = spark.createDataFrame([(None,), (" {} ",), ("[]",), ("[1]",), ("x",)], "p string").select(N.is_empty_payload(F.col("p")).alias("e")).collect()
+    assert [r.e for r in empty] == [True, True, True, False, False]
+
+
+def test_gap_clusters(spark):
+    from concord.operators.relational import gap_clusters
+
+    rows = spark.createDataFrame([(1, 1.0), (1, 2.0), (1, 9.0), (1, 9.0), (2, 5.0), (2, None)], "o int, v double")
+    assert sorted(((r.o, r.v, r.cluster) for r in gap_clusters(rows, "o", "v", 3.0).collect()), key=str) == sorted([(1, 1.0, 0), (1, 2.0, 0), (1, 9.0, 1), (1, 9.0, 1), (2, 5.0, 0), (2, None, 0)], key=str)
+    assert gap_clusters(rows.limit(0), "o", "v", 3.0).count() == 0
