@@ -2,7 +2,9 @@
 
 Pass one scatters the records by seeded hashes into buckets that fit a task's
 memory: the shard of a record is the one with the largest seeded hash of (id,
-shard number), its bucket within the shard a second seeded hash of the id. Pass
+shard number), its bucket within the shard a second seeded hash of id and text,
+among as many buckets as the shard's measured bytes ask for; so an id that many
+records share is spread over the buckets of its shard. Pass
 two gathers each bucket, shuffles it with Spark's Fisher-Yates ``shuffle`` and
 writes it into its shard's folder. A record's slot is its place in its bucket
 plus the number of records in the shard's earlier buckets.
@@ -12,7 +14,7 @@ a record either stays or moves into the new one, since only the new shard's hash
 can exceed the present largest.
 
 Defined results: null texts have no bytes; null ids are one key; rows that repeat
-an id share its shard and bucket but have slots of their own; an empty table
+an id share its shard (those that repeat its text too, also its bucket) but have slots of their own; an empty table
 gives no rows; all columns are written as they are.
 """
 
@@ -38,12 +40,15 @@ def shard_of(key: Column, shards: int, seed: int = SEED) -> Column:
 def write_shards(documents: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Write ``documents`` to ``path`` in shard folders; returns them with _shard, _bucket, _place and slot."""
     spark = documents.sparkSession
-    total = documents.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 1)).first()[0] or 0
-    each = max(1, -(-int(total) // (shards * bucket_bytes)))
-    bucket = F.col("_shard") * each + F.pmod(F.xxhash64(F.lit(~seed), F.col(doc_id)), F.lit(each))
-    scattered = documents.withColumn("_shard", shard_of(F.col(doc_id), shards, seed)).withColumn("_bucket", bucket.cast("long"))
+    shard = shard_of(F.col(doc_id), shards, seed)
+    measured = documents.groupBy(shard.alias("_shard")).agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 1).alias("bytes"))
+    held = {r["_shard"]: r["bytes"] for r in measured.collect()}  # a row per shard
+    each = [max(1, -(-int(held.get(s, 0)) // bucket_bytes)) for s in range(shards)]
+    of_shard = lambda values: F.get(F.array(*(F.lit(v) for v in values)), F.col("_shard"))
+    bucket = of_shard([sum(each[:s]) for s in range(shards)]) + F.pmod(F.xxhash64(F.lit(~seed), F.col(doc_id), F.col(text)), of_shard(each))
+    scattered = documents.withColumn("_shard", shard).withColumn("_bucket", bucket.cast("long"))
     record = F.struct(*(F.col(c) for c in documents.columns))
-    gathered = scattered.repartition(shards * each, "_bucket").groupBy("_bucket", "_shard").agg(F.collect_list(record).alias("_records"))
+    gathered = scattered.repartition(sum(each), "_bucket").groupBy("_bucket", "_shard").agg(F.collect_list(record).alias("_records"))
     shuffled = gathered.select("_bucket", "_shard", F.posexplode(F.shuffle("_records", seed)).alias("_place", "_record")).select("_bucket", "_place", "_record.*", "_shard")
     shuffled.write.partitionBy("_shard").parquet(path)
     rows = spark.read.schema(shuffled.schema).parquet(path)

@@ -166,3 +166,17 @@ def test_shard_law(spark, sf_dir):
     again = {r.doc_id: r.shard for r in sharding.shard_documents(docs.where("doc_id % 2 = 0")).collect()}
     assert all(again[r.doc_id] == r.shard for r in rows if r.doc_id in again)
     assert sharding.shard_documents(docs.limit(0)).count() == 0
+
+
+def test_shared_id_is_spread(spark):
+    """Records that share an id, null included, stay in its shard but not in one bucket; clashing names are kept."""
+    rows = [(None, f"text {i}", i) for i in range(300)] + [(i, f"text {i}", i) for i in range(100)] + [(7, None, 7), (7, None, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, slot_ int")
+    got = sharding.write_shards(docs, fresh_path(spark, "shards"), bucket_bytes=256).collect()
+    assert len(got) == len(rows)
+    shared = [r for r in got if r.doc_id is None]
+    assert len({r._shard for r in shared}) == 1 and len({r._bucket for r in shared}) > 5
+    slots = {}
+    for r in got:
+        slots.setdefault(r._shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
