@@ -5,8 +5,8 @@ import math
 import duckdb
 import pytest
 
-from concord.plans import catalogue_queries, record_queries, registry, text_queries  # noqa: F401
-from concord.streaming import resume  # noqa: F401
+from concord.plans import catalogue_queries, document_queries, record_queries, registry, text_queries  # noqa: F401
+from concord.streaming import leases, resume  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark labels conversations".split()
 
@@ -95,3 +95,18 @@ def test_gap_clusters(spark):
     rows = spark.createDataFrame([(1, 1.0), (1, 2.0), (1, 9.0), (1, 9.0), (2, 5.0), (2, None)], "o int, v double")
     assert sorted(((r.o, r.v, r.cluster) for r in gap_clusters(rows, "o", "v", 3.0).collect()), key=str) == sorted([(1, 1.0, 0), (1, 2.0, 0), (1, 9.0, 1), (1, 9.0, 1), (2, 5.0, 0), (2, None, 0)], key=str)
     assert gap_clusters(rows.limit(0), "o", "v", 3.0).count() == 0
+
+
+def test_tabular_items(spark):
+    from concord.operators.tables import tabular_items
+
+    tables = {
+        1: [["Edital", "x", None], ["Item nº", "Descrição", "Qtde", "Unid."], ["1", "mesa", "1.500", "un"], ["1", "cadeira", "2,5", "a unit name that is long"], ["", "item 7 lamp", "0", "cx"], ["TOTAL", "9 soma", "1", "cx"], ["3", "", "1", "cx"]],
+        2: [["4", "desk", "3", "1.234,50"]],
+        3: [["5", "only"]],
+    }
+    cells = [(t, r, c, x) for t, rows in tables.items() for r, row in enumerate(rows) for c, x in enumerate(row)]
+    df = spark.createDataFrame(cells, "table_id long, row int, col int, text string")
+    got = sorted((r.table_id, r.item_id, r.description, r.quantity and float(r.quantity), r.unit, r.unit_price and float(r.unit_price)) for r in tabular_items(df).collect())
+    assert got == [(1, "item-0001", "mesa", 1500.0, "UN", None), (1, "item-0001-02", "cadeira", 2.5, "UN", None), (1, "item-0007", "item 7 lamp", None, None, None), (2, "item-0004", "desk", 3.0, "UN", 1234.5)]
+    assert tabular_items(df.limit(0)).count() == 0
