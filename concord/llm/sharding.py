@@ -20,7 +20,7 @@ gives no rows; all columns are written as they are.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from concord.session import fresh_path
@@ -53,8 +53,9 @@ def write_shards(documents: DataFrame, path: str, doc_id: str = "doc_id", text:
     shuffled.write.partitionBy("_shard").parquet(path)
     rows = spark.read.schema(shuffled.schema).parquet(path)
     sizes = rows.groupBy("_shard", "_bucket").agg(F.count("*").alias("n"))
-    earlier = sizes.alias("a").join(sizes.alias("b"), (F.col("a._shard") == F.col("b._shard")) & (F.col("b._bucket") < F.col("a._bucket")), "left")
-    offsets = earlier.groupBy(F.col("a._bucket").alias("_bucket")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("_offset"))
+    # a row per bucket, so a shard's running total is short whatever the records
+    earlier = Window.partitionBy("_shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_offset"))
     return rows.join(offsets, "_bucket").withColumn("slot", F.col("_offset") + F.col("_place")).drop("_offset")
 
 
