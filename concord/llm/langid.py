@@ -164,6 +164,7 @@ def fit(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
         least[k] = MARGIN * seen if np.isfinite(seen) else 0.0
     sizes = np.flatnonzero(np.bincount(size, minlength=32) >= 5)
     if len(sizes):
+        least[sizes[-1] + 1 :] = least[sizes[-1]]  # longer than any judged: asked for as much as the longest that were
         least[: max(sizes[0], SHORT)] = 0.0  # too short to judge by
     model.least = least
     return model

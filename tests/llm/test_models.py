@@ -101,3 +101,19 @@ def test_pipeline_stages_take_effect(spark, sf_dir):
     assert not any(base_spans(t) for t in kept["personal_data"].values())
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert {r.doc_id for r in packed.select("doc_id").collect()} == set(kept["personal_data"])
+
+
+def test_strange_texts_are_rejected_at_every_length(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    model = langid.fit(docs)
+    rng = np.random.default_rng(3)
+    letters = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz     "), n))
+    polish = "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem "
+    sizes = (600, 4000, 20_000, 80_000, 400_000)
+    texts = [t for n in sizes for t in (letters(n), (polish * (n // 100 + 1))[:n])]
+    rows = langid.identify(documents(spark, texts), model, keep=["doc_id"]).collect()
+    assert [r.doc_id for r in rows if not r.rejected] == []
+    # a very long text in a language that was learned stays
+    known = [r.text for r in docs.where("lang = 'en'").orderBy("doc_id").limit(400).collect()]
+    long = langid.identify(documents(spark, [" ".join(known)[:n] for n in (80_000, 400_000)]), model, keep=["doc_id"]).collect()
+    assert not any(r.rejected for r in long)
