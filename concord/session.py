@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_FOLDERS: list[str] = []
+
 
 def build_session(app: str = "concord", cpus: int | str = "*", partitions: int = 8) -> SparkSession:
     """A local session with the settings the library expects (UTC, AQE on)."""
@@ -30,11 +32,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (spark.checkpoint.dir).
 
-    Where the cluster names none (tests, notebooks), a temporary folder is made
-    and kept in the session's settings.
+    In local mode (tests, notebooks), where none is set, a temporary folder is made
+    and kept in the session's settings; on a cluster that is an error, since its
+    executors would not share such a folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("concord.shared.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="concord-")
         spark.conf.set("concord.shared.dir", base)
         spark.sparkContext.setCheckpointDir(base)
@@ -42,7 +48,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _FOLDERS.append(path)
+    return path
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -51,3 +59,22 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def mark() -> int:
+    """A point in time for ``discard_since``."""
+    return len(_FOLDERS)
+
+
+def discard_since(spark: SparkSession, point: int, *keep: DataFrame) -> None:
+    """Delete the folders written since ``point`` but those that ``keep`` read; frames that read them are of no use any more."""
+    kept = {f for df in keep for f in df.inputFiles()}
+    left = []
+    for path in _FOLDERS[point:]:
+        name = path.rsplit("/", 1)[1]
+        if any(f"/{name}/" in f for f in kept):
+            left.append(path)
+            continue
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _FOLDERS[point:] = left
