@@ -7,16 +7,17 @@ bytes with one table look-up a byte.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that a task turns into numpy arrays at once.
 CHUNK_BYTES = 2 << 20
-#: Rows of an Arrow batch; with long texts, Spark's 10,000 would not fit a small worker.
+#: Rows and bytes of an Arrow batch; Spark's 10,000 rows and 64 MB would not fit a small worker.
 BATCH_ROWS = 1024
+BATCH_BYTES = 8 << 20
 
 _BYTES = np.arange(256)
 LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
@@ -27,10 +28,32 @@ _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch, unless the session asks for fewer."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > BATCH_ROWS or int(spark.conf.get(key)) <= 0:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Bound the rows and bytes of an Arrow batch, unless the session asks for fewer.
+
+    The settings are read when a plan runs, which is after the operator returns, so
+    they stay set; README names them.
+    """
+    rows, size = (f"spark.sql.execution.arrow.max{x}PerBatch" for x in ("Records", "Bytes"))
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
+    # Spark writes its default with a unit
+    held = spark.conf.get(size).lower().removesuffix("b")
+    if not held.isdigit() or not 0 < int(held) <= BATCH_BYTES:
+        spark.conf.set(size, str(BATCH_BYTES))
+
+
+def kept(documents: DataFrame, keep: list[str] | None, added: Iterable[str]) -> list[str]:
+    """The columns to keep, all by default, but those whose names an operator adds: its own take their place."""
+    own = {c.lower() for c in added}
+    return [c for c in (documents.columns if keep is None else keep) if c.lower() not in own]
+
+
+def unused(documents: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column has it: for an operator's inner columns."""
+    taken = {c.lower() for c in documents.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -61,6 +84,12 @@ def chunked(column: pa.ChunkedArray | pa.Array, limit: int = CHUNK_BYTES) -> Ite
         low = high
 
 
+def text_runs(column: pa.ChunkedArray | pa.Array, limit: int = CHUNK_BYTES) -> Iterator[list[str]]:
+    """The texts as Python strings (null: empty), some ``limit`` bytes at a time; a longer text stands alone."""
+    for low, high, _, _ in chunked(column, limit):
+        yield [t or "" for t in column.slice(low, high - low).to_pylist()]
+
+
 def find_words(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cased bytes, starts and ends of words, and each row's first word (n+1 entries)."""
     low = LOWER[raw]

@@ -2,29 +2,38 @@
 
 Writing: pages become one record each in gzip-per-record archives
 (``pages-*.warc.gz``). Of the records with equal payloads of at least a given
-size, the one with the largest page id is a response with the payload; the others
+size, one with the largest page id is a response with the payload; the others
 are revisit records that refer to it and hold no payload. A task writes its file
 under a temporary name; the commit gives the files of successful attempts their
 final names, so lost executors leave nothing that a reader sees.
 
-Reading: one partition per archive file, or per range of its records where the
-file is large. Every gzip member starts with an extra field that holds its
-compressed size (subfield "sl"), so a reader inflates only the first bytes of a
-member for its headers, decides by the pushed-down record-type and header
-predicates, and seeks past the member if the payload is not wanted. Members
-without that field, as of other writers, are inflated to their end. Payloads are
-decoded only for the columns asked for (option "payload").
+Reading: ``*.warc.gz`` and plain ``*.warc`` files, of this writer or any other.
+Every gzip member of ours starts with an extra field that holds its compressed
+size (subfield "sl") and a mark drawn for its archive (subfield "id"). So a reader
+inflates only the first bytes of a member for its headers, decides by the
+pushed-down record-type and header predicates, and seeks past the member if the
+payload is not wanted; and a large archive is read in ranges. A range runs from
+the first member with the archive's mark at or after its start to the first one at
+or after its end, so every member is read exactly once, also unmarked ones that
+were appended. A file whose first member has no mark, and a plain file, is one
+range; a plain file's payloads are sought past by their Content-Length. Payloads
+are decoded only for the columns asked for (option "payload").
 
 Defined results: a null html is an empty payload; rows with a null page id are
-written with an empty id and read back as null; repeated rows give a record each,
-and rows that repeat the response's page id are responses too; an empty table gives an empty archive folder and no
-rows.
+written with an empty id and read back as null, and the largest id of equal
+payloads is null only if all are; repeated rows give a record each, and of rows
+that repeat the response's page id one is the response and the others revisit it;
+an empty table gives an empty archive folder and no rows. Records of other
+writers keep their headers: page_id and refers_to are null where the record id is
+none of ours, payload_bytes is null unless stated or read, and a payload is
+checked only against a SHA-1 in base32.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 import uuid
 import zlib
@@ -38,15 +47,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 
 from concord.llm.common import small_batches
-from concord.session import fresh_path
+from concord.session import fresh_path, written
 
 RECORD_SCHEMA = "page_id long, record_type string, uri string, refers_to long, payload_bytes long, payload_digest string, payload binary"
 #: Bytes of an archive that one read task takes.
 SPLIT_BYTES = 64 << 20
+#: Repeated digests that are broadcast at most; about 100 bytes each.
+BROADCAST_DIGESTS = 200_000
 _HEAD = 4096
-_ROWS = 512
+_ROWS, _BATCH_BYTES = 512, 8 << 20
+_SHA1 = re.compile("[A-Z2-7]{32}")
 #: Read predicates and the header they look at (fixed values of the record layout below).
-_HEADER_OF = {"record_type": "WARC-Type", "uri": "WARC-Target-URI", "payload_digest": "WARC-Payload-Digest", "page_id": "WARC-Record-ID", "refers_to": "WARC-Refers-To"}
+_HEADER_OF = {"record_type": "warc-type", "uri": "warc-target-uri", "payload_digest": "warc-payload-digest", "page_id": "warc-record-id", "refers_to": "warc-refers-to"}
+_GZIP = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff"
 
 
 def _store(path: str) -> tuple[fs.FileSystem, str]:
@@ -59,12 +72,12 @@ def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def gzip_member(record: bytes, level: int = 1) -> bytes:
-    """A gzip member whose extra field "sl" holds its own size and the record's."""
+def gzip_member(record: bytes, mark: bytes, level: int = 1) -> bytes:
+    """A gzip member whose extra fields hold its own size and the record's ("sl") and the archive's mark ("id")."""
     packer = zlib.compressobj(level, zlib.DEFLATED, -15)
     body = packer.compress(record) + packer.flush()
-    size = 10 + 2 + 12 + len(body) + 8
-    extra = b"sl" + struct.pack("<HII", 8, size, len(record) & 0xFFFFFFFF)
+    size = 10 + 2 + 12 + 4 + len(mark) + len(body) + 8
+    extra = b"sl" + struct.pack("<HII", 8, size, len(record) & 0xFFFFFFFF) + b"id" + struct.pack("<H", len(mark)) + mark
     return b"\x1f\x8b\x08\x04\0\0\0\0\0\xff" + struct.pack("<H", len(extra)) + extra + body + struct.pack("<II", zlib.crc32(record), len(record) & 0xFFFFFFFF)
 
 
@@ -96,9 +109,10 @@ def record_bytes(page_id: int | None, uri: str | None, html: bytes, digest: str,
 
 
 def parse_headers(head: bytes) -> dict[str, str]:
+    """Headers by their lower-cased names."""
     lines = head.split(b"\r\n")
     pairs = (line.partition(b":") for line in lines[1:] if line)
-    return {name.decode("latin-1"): value.strip().decode("utf-8", "replace") for name, _, value in pairs}
+    return {name.decode("latin-1").strip().lower(): value.strip().decode("utf-8", "replace") for name, _, value in pairs}
 
 
 @dataclass
@@ -115,12 +129,14 @@ class WarcWriter(DataSourceArrowWriter):
     def write(self, batches: Iterator[pa.RecordBatch]) -> _Written:
         store, root = _store(self.path)
         store.create_dir(root, recursive=True)
-        name = f"pages-{uuid.uuid4().hex}"
+        archive = uuid.uuid4()
+        name = f"pages-{archive.hex}"
         with store.open_output_stream(f"{root}/.{name}.tmp") as out:
             for batch in batches:
-                for row in batch.to_pylist():
-                    html = (row["html"] or "").encode()
-                    out.write(gzip_member(record_bytes(row["page_id"], row["uri"], html, digest_of(html), row["refers_to"], row["revisit"])))
+                for values in zip(*batch.columns, strict=True):
+                    page_id, uri, html, digest, refers_to, revisit = (v.as_py() for v in values)
+                    digest = base64.b32encode(bytes.fromhex(digest)).decode()
+                    out.write(gzip_member(record_bytes(page_id, uri, html, digest, refers_to, revisit), archive.bytes))
         return _Written(name)
 
     def commit(self, messages: list[_Written | None]) -> None:
@@ -141,6 +157,8 @@ class _Range(InputPartition):
     file: str
     start: int
     end: int
+    #: The archive's mark; None if the file is read as one range.
+    mark: bytes | None
 
 
 class WarcReader(DataSourceReader):
@@ -161,8 +179,16 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[_Range]:
         store, root = _store(self.path)
-        files = [f for f in store.get_file_info(fs.FileSelector(root, allow_not_found=True)) if f.path.endswith(".warc.gz")]
-        return [_Range(f.path, at, min(at + self.split_bytes, f.size)) for f in sorted(files, key=lambda f: f.path) for at in range(0, f.size, self.split_bytes)]
+        files = [f for f in store.get_file_info(fs.FileSelector(root, allow_not_found=True)) if f.path.endswith((".warc.gz", ".warc")) and not f.base_name.startswith(".")]
+        out: list[_Range] = []
+        for f in sorted(files, key=lambda f: f.path):
+            mark = None
+            if f.path.endswith(".gz") and f.size > self.split_bytes:
+                with store.open_input_file(f.path) as source:
+                    mark = _member(source.read_at(min(_HEAD, f.size), 0)).mark
+            step = f.size if mark is None else self.split_bytes
+            out += [_Range(f.path, at, min(at + step, f.size), mark) for at in range(0, f.size, max(step, 1))]
+        return out
 
     def _matches(self, headers: dict[str, str]) -> bool:
         for name, values in self.wanted.items():
@@ -182,64 +208,89 @@ class WarcReader(DataSourceReader):
         names = [f.split()[0] for f in RECORD_SCHEMA.split(", ")]
         types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
         held: list[tuple] = []
+        size = 0
 
         def batch() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), types, strict=True)], names)
 
         with store.open_input_file(partition.file) as source:
-            for headers, payload in records(source, partition.start, partition.end, self._matches, self.payload):
-                length, digest = int(headers.get("WARC-Payload-Length", -1)), headers.get("WARC-Payload-Digest", "").removeprefix("sha1:")
+            found = records(source, partition.start, partition.end, partition.mark, self._matches, self.payload) if partition.file.endswith(".gz") else plain_records(source, self._matches, self.payload)
+            for headers, payload in found:
+                length, digest = headers.get("warc-payload-length"), headers.get("warc-payload-digest", "").removeprefix("sha1:")
                 if payload is not None:
-                    if digest_of(payload) != digest:
+                    if _SHA1.fullmatch(digest) and digest_of(payload) != digest:
                         raise ValueError(f"{partition.file}: a payload does not have its digest {digest}")
                     length = len(payload)
-                held.append((_page_of(headers.get("WARC-Record-ID")), headers["WARC-Type"], headers.get("WARC-Target-URI"), _page_of(headers.get("WARC-Refers-To")), length, digest, payload if self.payload == "keep" else None))
-                if len(held) >= _ROWS:
+                body = payload if self.payload == "keep" else None
+                held.append((_page_of(headers.get("warc-record-id")), headers.get("warc-type"), headers.get("warc-target-uri"), _page_of(headers.get("warc-refers-to")), None if length is None else int(length), digest or None, body))
+                size += len(body or b"")
+                if len(held) >= _ROWS or size > _BATCH_BYTES:
                     yield batch()
-                    held = []
+                    held, size = [], 0
         if held:
             yield batch()
 
 
-def _member_sizes(head: bytes) -> tuple[int, int] | None:
-    """(bytes of the member, bytes of its header) from the "sl" field; None without one."""
+@dataclass
+class _Member:
+    """What a gzip member's extra field says."""
+
+    size: int | None = None
+    mark: bytes | None = None
+
+
+def _member(head: bytes) -> _Member:
+    found = _Member()
     if len(head) < 12 or head[:3] != b"\x1f\x8b\x08" or not head[3] & 4:
-        return None
+        return found
     extra_size = struct.unpack_from("<H", head, 10)[0]
     extra, at = head[12 : 12 + extra_size], 0
     while at + 4 <= len(extra):
         n = struct.unpack_from("<H", extra, at + 2)[0]
-        if extra[at : at + 2] == b"sl" and n >= 8:
-            return struct.unpack_from("<I", extra, at + 4)[0], 12 + extra_size
+        if extra[at : at + 2] == b"sl" and n >= 4:
+            found.size = struct.unpack_from("<I", extra, at + 4)[0]
+        elif extra[at : at + 2] == b"id":
+            found.mark = bytes(extra[at + 4 : at + 4 + n])
         at += 4 + n
-    return None
+    return found
 
 
-def _first_member(source, start: int, size: int) -> int:
-    """The first member at or after ``start``: one whose stated size leads to another member or the end."""
-    if start == 0:
-        return 0
+def _first_member(source, start: int, size: int, mark: bytes | None) -> int:
+    """Where the first member with the archive's mark at or after ``start`` begins; the file's size if there is none."""
+    if start == 0 or start >= size or mark is None:
+        return 0 if start == 0 else size
     at = start
     while at < size:
-        window = source.read_at(min(1 << 20, size - at), at)
-        k = window.find(b"\x1f\x8b\x08\x04\0\0\0\0\0\xff")
+        window = source.read_at(min((1 << 20) + _HEAD, size - at), at)
+        k = window.find(_GZIP)
         while k >= 0:
-            sizes = _member_sizes(source.read_at(min(64, size - at - k), at + k))
-            after = at + k + sizes[0] if sizes else size + 1
-            if after == size or (after < size and source.read_at(min(4, size - after), after)[:3] == b"\x1f\x8b\x08"):
+            if _member(window[k : k + 64]).mark == mark:
                 return at + k
-            k = window.find(b"\x1f\x8b\x08\x04\0\0\0\0\0\xff", k + 1)
-        at += max(1, len(window) - 9)
+            k = window.find(_GZIP, k + 1)
+        if at + len(window) >= size:
+            break
+        at += len(window) - 64  # a member's head may lie across the border
     return size
 
 
-def records(source, start: int, end: int, matches, payload: str) -> Iterator[tuple[dict[str, str], bytes | None]]:
-    """(headers, payload or None) of the wanted records of the members that start in [start, end)."""
+def _payload_of(headers: dict[str, str], block: bytes) -> bytes:
+    """An HTTP message's body; any other block is the payload itself."""
+    if headers.get("content-type", "").replace(" ", "").lower().startswith("application/http"):
+        return block.partition(b"\r\n\r\n")[2]
+    return block
+
+
+def _has_payload(headers: dict[str, str], payload: str) -> bool:
+    return payload != "none" and headers.get("warc-type") != "revisit"
+
+
+def records(source, start: int, end: int, mark: bytes | None, matches, payload: str) -> Iterator[tuple[dict[str, str], bytes | None]]:
+    """(headers, payload or None) of the wanted records of the members of a range."""
     size = source.size()
-    at = _first_member(source, start, size)
-    while at < min(end, size):
+    at, stop = _first_member(source, start, size, mark), _first_member(source, end, size, mark)
+    while at < stop:
         window = source.read_at(min(_HEAD, size - at), at)
-        sizes = _member_sizes(window)
+        stated = _member(window).size
         inflater = zlib.decompressobj(31)
         text = inflater.decompress(window, _HEAD)
         used = at + len(window)
@@ -249,16 +300,16 @@ def records(source, start: int, end: int, matches, payload: str) -> Iterator[tup
             text += inflater.decompress(more, _HEAD)
         head, _, rest = text.partition(b"\r\n\r\n")
         headers = parse_headers(head)
-        wanted = matches(headers)
-        full = wanted and payload != "none" and headers.get("WARC-Type") == "response"
-        if full or sizes is None:  # inflate to the end, for the payload or to find the next member
+        wanted = bool(headers) and matches(headers)
+        full = wanted and _has_payload(headers, payload)
+        if full or stated is None:  # inflate to the end, for the payload or to find the next member
             pieces = [rest]
             while not inflater.eof:
                 more = inflater.unconsumed_tail
                 if not more:
                     if used >= size:
                         raise ValueError("an archive ends within a record")
-                    want = at + sizes[0] - used if sizes else 1 << 16
+                    want = at + stated - used if stated else 1 << 16
                     more = source.read_at(max(1, min(want, size - used)), used)
                     used += len(more)
                 piece = inflater.decompress(more)
@@ -266,16 +317,33 @@ def records(source, start: int, end: int, matches, payload: str) -> Iterator[tup
                     pieces.append(piece)
             following = used - len(inflater.unused_data)
         else:
-            following = at + sizes[0]
+            following = at + stated
         if wanted:
-            body = None
-            if full:
-                block = b"".join(pieces)[: int(headers["Content-Length"])]
-                body = block.partition(b"\r\n\r\n")[2]
-            yield headers, body
+            yield headers, _payload_of(headers, b"".join(pieces)[: int(headers["content-length"])]) if full else None
         at = following
 
 
+def plain_records(source, matches, payload: str) -> Iterator[tuple[dict[str, str], bytes | None]]:
+    """(headers, payload or None) of the wanted records of a file that is not compressed."""
+    size, at = source.size(), 0
+    while at < size:
+        text = b""
+        while b"\r\n\r\n" not in text and at + len(text) < size:
+            text += source.read_at(min(_HEAD, size - at - len(text)), at + len(text))
+        head, found, _ = text.partition(b"\r\n\r\n")
+        if not found:
+            if text.strip():
+                raise ValueError("an archive ends within a record")
+            return
+        headers = parse_headers(head.lstrip())
+        body, length = at + len(head) + 4, int(headers.get("content-length", 0))
+        if headers and matches(headers):
+            yield headers, _payload_of(headers, source.read_at(length, body)) if _has_payload(headers, payload) else None
+        at = body + length
+        while at < size and (gap := source.read_at(min(4, size - at), at)) and gap[:1] in b"\r\n":
+            at += len(gap) - len(gap.lstrip(b"\r\n"))
+
+
 class WarcSource(DataSource):
     """Format "warc". Options: path; payload ("keep", "check": read and verified but not returned, "none"); split_bytes."""
 
@@ -298,23 +366,42 @@ def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
-def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
-    """Write page_id, url, html as archives; equal payloads of at least ``least_bytes`` bytes become revisits."""
+def _chosen(keys: DataFrame, *row: str) -> DataFrame:
+    """Per digest that several rows have: response (the largest page id), its rows (ties) and the first of them."""
+    first = [F.min(c).alias(c) for c in row]
+    each = keys.groupBy("digest", "page_id").agg(F.count("*").alias("rows"), *first)
+    largest = F.max(F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", F.col("rows").alias("ties"), *row)).alias("x")
+    return each.groupBy("digest").agg(F.sum("rows").alias("n"), largest).where("n > 1").select("digest", F.col("x.page_id").alias("response"), "x.ties", *(F.col(f"x.{c}").alias(f"first{c}") for c in row))
+
+
+def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, broadcast_rows: int = BROADCAST_DIGESTS) -> None:
+    """Write page_id, url, html as archives; equal payloads of at least ``least_bytes`` bytes become revisits.
+
+    Only ids and digests are shuffled to find equal payloads. The repeated digests
+    are broadcast if they are at most ``broadcast_rows``, else joined by a shuffle of
+    the pages.
+    """
     spark = pages.sparkSession
     register(spark)
     small_batches(spark)
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string").alias("uri"), F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.withColumn("digest", F.sha1(F.col("html").cast("binary"))).withColumn("size", F.octet_length("html"))
-    twice = rows.where(F.col("size") >= least_bytes).groupBy("digest").agg(F.max("page_id").alias("response"), F.count("*").alias("n"))
-    joined = rows.join(twice.where("n > 1"), "digest", "left")
+    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string").alias("uri"), F.coalesce("html", F.lit("")).cast("binary").alias("html"))
+    digest = F.when(F.octet_length("html") >= least_bytes, F.sha1("html"))
+    keys = rows.select("page_id", digest.alias("digest")).where("digest is not null")
+    twice = written(_chosen(keys), "repeated")
+    n, tied = twice.agg(F.count("*"), F.max("ties")).first()
     own = F.col("page_id").eqNullSafe(F.col("response"))
-    marked = joined.withColumn("revisit", F.col("n").isNotNull() & ~own).withColumn("refers_to", F.when(F.col("revisit"), F.col("response")))
+    if tied is not None and tied > 1:  # rows that repeat the response's id: number them, in writing, to choose one
+        rows = written(rows.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+        twice = written(_chosen(rows.select("page_id", "_row", digest.alias("digest")).where("digest is not null"), "_row"), "repeated")
+        own = F.col("_row") == F.col("first_row")
+    joined = rows.withColumn("digest", F.sha1("html")).withColumn("_key", digest).join(F.broadcast(twice.withColumnRenamed("digest", "_key")) if n <= broadcast_rows else twice.withColumnRenamed("digest", "_key"), "_key", "left")
+    marked = joined.withColumn("revisit", F.col("ties").isNotNull() & ~own).withColumn("refers_to", F.when(F.col("revisit"), F.col("response")))
     marked.select("page_id", "uri", "html", "digest", "refers_to", "revisit").write.format("warc").mode("append").option("path", path).save()
 
 
-def read_archives(spark: SparkSession, path: str, payload: str = "keep") -> DataFrame:
+def read_archives(spark: SparkSession, path: str, payload: str = "keep", split_bytes: int = SPLIT_BYTES) -> DataFrame:
     register(spark)
-    return spark.read.format("warc").option("path", path).option("payload", payload).load()
+    return spark.read.format("warc").option("path", path).option("payload", payload).option("split_bytes", str(split_bytes)).load()
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:

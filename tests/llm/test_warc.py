@@ -1,8 +1,9 @@
 import base64
+import gzip
 import hashlib
-import io
+import random
 
-import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from concord.llm import warc
@@ -38,34 +39,67 @@ def test_least_bytes_and_payloads(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
-def archive(n=300):
-    members, plain = [], []
-    for k in range(n):
-        html = (f"page {k} " * (k % 50)).encode()
-        record = warc.record_bytes(k, f"http://e/{k}", html, warc.digest_of(html), None, False)
-        members.append(warc.gzip_member(record))
-        plain.append(html)
-    return b"".join(members), plain
+MARK = bytes(range(16))
 
 
-def test_ranges_take_each_record_once():
-    data, plain = archive()
-    source = pa.PythonFile(io.BytesIO(data), mode="r")
-    for step in (len(data), 5000, 700):
-        got = []
-        for at in range(0, len(data), step):
-            got += [body for _, body in warc.records(source, at, min(at + step, len(data)), lambda h: True, "keep")]
-        assert got == plain
+def bodies(n):
+    return [(f"page {k} " * (k % 50)).encode() for k in range(n)]
 
 
-def test_members_without_sizes_are_read_too():
-    import gzip
+def record(k, html):
+    return warc.record_bytes(k, f"http://e/{k}", html, warc.digest_of(html), None, False)
 
-    html = b"hello" * 2000
-    data = b"".join(gzip.compress(warc.record_bytes(k, "u", html, warc.digest_of(html), None, False)) for k in range(5))
-    source = pa.PythonFile(io.BytesIO(data), mode="r")
-    assert [b for _, b in warc.records(source, 0, len(data), lambda h: True, "keep")] == [html] * 5
-    assert [b for _, b in warc.records(source, 0, len(data), lambda h: h["WARC-Record-ID"] == "<urn:page:3>", "none")] == [None]
+
+def ours(pages, first=0):
+    return b"".join(warc.gzip_member(record(first + k, h), MARK) for k, h in enumerate(pages))
+
+
+def theirs(pages, first=0):
+    return b"".join(gzip.compress(record(first + k, h)) for k, h in enumerate(pages))
+
+
+def read(spark, folder, split, payload="keep", where="true"):
+    rows = warc.read_archives(spark, str(folder), payload, split).where(where)
+    return sorted((r.page_id, r.payload and bytes(r.payload)) for r in rows.collect())
+
+
+@pytest.mark.parametrize("split", [1 << 26, 20_000, 5000, 2000, 900])
+@pytest.mark.parametrize("kind", ["ours", "theirs", "plain", "ours then theirs", "theirs then ours", "an archive within a payload"])
+def test_every_member_is_read_once(spark, tmp_path, kind, split):
+    pages = bodies(200)
+    if kind == "plain":
+        (tmp_path / "x.warc").write_bytes(b"".join(record(k, h) for k, h in enumerate(pages)))
+    else:
+        if kind == "an archive within a payload":
+            pages[7] = pages[150] = gzip.compress(random.Random(1).randbytes(3000)) + ours(bodies(40)).replace(MARK, MARK[::-1])
+        data = {"ours": ours(pages), "theirs": theirs(pages), "ours then theirs": ours(pages[:90]) + theirs(pages[90:], 90), "theirs then ours": theirs(pages[:90]) + ours(pages[90:], 90)}.get(kind) or ours(pages)
+        (tmp_path / "x.warc.gz").write_bytes(data)
+    assert read(spark, tmp_path, split) == [(k, h) for k, h in enumerate(pages)]
+    assert read(spark, tmp_path, split, "none", "page_id = 3") == [(3, None)]
+
+
+def test_other_writers_headers(spark, tmp_path):
+    body = b"HTTP/1.1 200 OK\r\n\r\nhello"
+    records = [
+        b"WARC/1.0\r\nwarc-type: response\r\nWARC-Record-ID: <urn:uuid:1>\r\nContent-Type: application/http;msgtype=response\r\nContent-Length: %d\r\n\r\n" % len(body) + body + b"\r\n\r\n",
+        b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Type: application/warc-fields\r\nContent-Length: 4\r\n\r\na: b\r\n\r\n",
+    ]
+    (tmp_path / "a.warc").write_bytes(b"".join(records))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    got = sorted((r.record_type, bytes(r.payload), r.page_id, r.payload_bytes, r.payload_digest) for r in warc.read_archives(spark, str(tmp_path)).collect())
+    assert got == sorted([("response", b"hello", None, 5, None), ("warcinfo", b"a: b", None, 4, None)] * 2)
+    assert all(r.payload_bytes is None for r in warc.read_archives(spark, str(tmp_path), "none").collect())
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 100])
+def test_rows_that_repeat_an_id(spark, broadcast_rows):
+    rows = [(5, "a", "same"), (5, "b", "same"), (5, "a", "same"), (3, "c", "same"), (5, "a", "other"), (None, "n", "nameless"), (None, "n", "nameless"), (7, "t", "third"), (6, "t", "third")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = fresh_path(spark, "warc")
+    warc.write_archives(pages, path, broadcast_rows=broadcast_rows)
+    got = [(r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.read_archives(spark, path).collect()]
+    want = [(5, 4, "response", None), (5, 4, "revisit", 5), (5, 4, "revisit", 5), (3, 4, "revisit", 5), (5, 5, "response", None), (None, 8, "response", None), (None, 8, "revisit", None), (7, 5, "response", None), (6, 5, "revisit", 7)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
 def test_filters_are_taken(spark):
