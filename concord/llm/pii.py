@@ -10,10 +10,12 @@ each labeler is for each kind; its posteriors train a logistic span classifier o
 votes and length. Base spans always stay; others are added when the classifier
 accepts them and no base span overlaps them.
 
-Only counts of vote patterns reach the driver: at most a few hundred rows,
+Only counts of vote patterns reach the driver: at most some thousand rows,
 whatever the input. Match positions come from split() and regexp_extract_all() of
 one pattern, whose repeated groups are possessive, so that long runs neither
-overflow the stack nor take quadratic time.
+overflow the stack nor take quadratic time. Running totals go by blocks
+(``running``), and spans carry byte positions beside code points, so that the work
+on a text grows with its length and matches, not with their product or square.
 
 Defined results: null texts are empty; repeated rows come out as often as they
 went in; with no candidates nothing is added; an empty table gives no rows.
@@ -23,9 +25,13 @@ from __future__ import annotations
 
 import math
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from concord.functions.text import bound_once
+from concord.llm.common import kept, unused
 from concord.session import written
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -83,28 +89,79 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def matches(text: Column, pattern: str, needs: str | None = None) -> Column:
-    """array<struct<s, e, match, before, after>>: all matches with code-point positions and their surroundings."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-
-    def add(state: Column, i: Column) -> Column:
-        start = state["at"] + F.length(F.get(state["between"], i))
-        match = F.get(state["found"], i)
-        row = F.struct(
-            start.alias("s"),
-            (start + F.length(match)).alias("e"),
-            match.alias("match"),
-            F.substring(F.get(state["between"], i), -40, 40).alias("before"),
-            F.substring(F.get(state["between"], i + 1), 1, 4).alias("after"),
+#: Values that one block of a running total holds.
+BLOCK = 256
+
+
+def running(values: Column, kind: str, zero: Column, step: Callable[[Column, Column], Column], block: int = BLOCK) -> Column:
+    """array<kind>: for each value, what the associative ``step`` makes of ``zero`` and the values before it; the total comes last.
+
+    Blocks are folded by themselves and then joined, as an array that grows by one
+    entry at a time would be copied as often as it has entries.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def fold(xs: Column) -> Column:
+        begin = F.struct(zero.cast(kind).alias("total"), none.alias("seen"))
+        return F.aggregate(xs, begin, lambda s, x: F.struct(step(s["total"], x).cast(kind).alias("total"), F.concat(s["seen"], F.array(s["total"])).alias("seen")))
+
+    def joined(parts: Column) -> Column:
+        return bound_once(
+            fold(F.transform(parts, lambda p: p["total"])),
+            lambda before: F.concat(
+                F.flatten(F.transform(parts, lambda p, k: F.transform(p["seen"], lambda v: step(F.get(before["seen"], k), v).cast(kind)))),
+                F.array(before["total"]),
+            ),
         )
-        return F.struct((start + F.length(match)).alias("at"), state["found"].alias("found"), state["between"].alias("between"), F.concat(state["rows"], F.array(row)).alias("rows"))
 
-    empty = F.array().cast("array<struct<s:int,e:int,match:string,before:string,after:string>>")
-    begin = F.struct(F.lit(0).alias("at"), found.alias("found"), between.alias("between"), empty.alias("rows"))
-    listed = F.aggregate(F.sequence(F.lit(0), F.regexp_count(text, F.lit(pattern)) - 1), begin, add, lambda state: state["rows"])
-    some = F.contains(text, F.lit(needs)) & text.rlike(pattern) if needs else text.rlike(pattern)
-    return F.when(some, listed).otherwise(empty)
+    def blocks(xs: Column) -> Column:
+        at = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / block).cast("int"))
+        return F.when(F.size(xs) == 0, F.array(zero.cast(kind))).otherwise(bound_once(F.transform(at, lambda b: fold(F.slice(xs, b * block + 1, F.lit(block)))), joined))
+
+    return bound_once(values, blocks)
+
+
+_MATCH = "array<struct<s:int,e:int,bs:int,be:int,match:string,before:string,after:string>>"
+
+
+def matches(text: Column, pattern: str, needs: str | None = None, where: Callable[[Column], Column] | None = None) -> Column:
+    """array<struct<s, e, bs, be, match, before, after>>: the matches for which ``where`` holds, with their positions and surroundings.
+
+    s and e count code points, bs and be bytes; before and after are the 40
+    characters before a match and the 4 after it, up to its neighbours of the same pattern.
+    """
+    empty = F.array().cast(_MATCH)
+
+    def placed(found: Column) -> Column:
+        def rows(between: Column) -> Column:
+            # a match follows all earlier texts between and all earlier matches
+            sizes = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda b, m: F.struct((F.length(b) + F.length(m)).alias("n"), (F.octet_length(b) + F.octet_length(m)).alias("bytes")))
+
+            def cut(before: Column) -> Column:
+                def row(m: Column, i: Column) -> Column:
+                    start = F.get(before, i)
+                    ahead = F.get(between, i)
+                    return F.struct(
+                        (start["n"] + F.length(ahead)).alias("s"),
+                        (start["n"] + F.length(ahead) + F.length(m)).alias("e"),
+                        (start["bytes"] + F.octet_length(ahead)).alias("bs"),
+                        (start["bytes"] + F.octet_length(ahead) + F.octet_length(m)).alias("be"),
+                        m.alias("match"),
+                        F.substring(ahead, -40, 40).alias("before"),
+                        F.substring(F.get(between, i + 1), 1, 4).alias("after"),
+                    )
+
+                every = F.transform(found, lambda m, i: F.when(where(m), row(m, i)) if where is not None else row(m, i))
+                return F.filter(every, lambda x: x.isNotNull()) if where is not None else every
+
+            add = lambda a, x: F.struct((a["n"] + x["n"]).alias("n"), (a["bytes"] + x["bytes"]).alias("bytes"))
+            return bound_once(running(sizes, "struct<n:int,bytes:int>", F.struct(F.lit(0).alias("n"), F.lit(0).alias("bytes")), add), cut)
+
+        some = F.size(found) > 0 if where is None else F.exists(found, where)
+        return F.when(some, bound_once(F.split(text, pattern, -1), rows)).otherwise(empty)
+
+    listed = bound_once(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
+    return F.when(F.contains(text, F.lit(needs)), listed).otherwise(empty) if needs else listed
 
 
 def _vote(yes: Column, no: Column | None = None) -> Column:
@@ -128,13 +185,19 @@ def _candidate(kind: str, m: Column, base: Column) -> Column:
         gazetteer = _vote(text.rlike(r"^\+[1-9]") | text.rlike(r"^\(?[2-9]"), F.lit(True))
         shape = _vote(_digits(text).rlike(r"^[0-9]{10,13}$"), F.lit(True))
     touched = before.rlike(r"[A-Za-z0-9_=/.#-]$") | after.rlike(r"^(?:[A-Za-z0-9_=/#]|[.-][0-9])")
+    inner = F.regexp_replace(text, "[A-Za-z0-9+@]", "")
     return F.struct(
         F.lit(kind).alias("kind"),
         m["s"].alias("s"),
         m["e"].alias("e"),
+        m["bs"].alias("bs"),
+        m["be"].alias("be"),
         base.alias("base"),
         F.array(_vote(base, F.lit(True)), gazetteer, _vote(before.rlike(CONTEXT[kind])), _vote(~touched, touched), shape).alias("votes"),
         F.least(F.lit(3), F.floor((m["e"] - m["s"]) / 8).cast("int")).alias("size"),
+        # what joins the match's parts, and what stands before it
+        F.when(inner == "", "none").when(inner.rlike("^ +$"), "blanks").when(inner.rlike(r"^[.-]+$"), "points").otherwise("mixed").alias("style"),
+        F.when(before == "", "start").when(before.rlike(r"[:=]\s*$"), "colon").when(before.rlike(r"\n\s*$"), "line").when(before.rlike(r"[A-Za-z]\s+$"), "word").otherwise("other").alias("lead"),
     )
 
 
@@ -142,24 +205,26 @@ def _voted(kind: str, found: Column, loose: bool) -> Column:
     return F.transform(found, lambda m: _candidate(kind, m, F.lit(False) if loose else _valid(kind, m["match"])))
 
 
-def candidates(documents: DataFrame, text: str = "text") -> DataFrame:
-    """``documents`` with _found: all candidates of a text, base spans included."""
+def candidates(documents: DataFrame, text: str = "text", found: str = "_found") -> DataFrame:
+    """``documents`` with ``found``: all candidates of a text, base spans included."""
     body = F.coalesce(F.col(text), F.lit(""))
     lists = []
     for kind in KINDS:
-        found = matches(body, BASE[kind], NEEDS.get(kind))
-        if kind == "card":
-            found = F.filter(found, lambda m: F.length(_digits(m["match"])).between(13, 19))
-        lists.append(_voted(kind, found, loose=False))
+        # of the runs of digits, most are no card by their length alone
+        long_enough = (lambda m: F.length(F.translate(m, " -", "")).between(13, 19)) if kind == "card" else None
+        lists.append(_voted(kind, matches(body, BASE[kind], NEEDS.get(kind), long_enough), loose=False))
         if kind in LOOSE:
             lists.append(_voted(kind, matches(body, LOOSE[kind]), loose=True))
-    return documents.withColumn("_found", F.concat(*lists))
+    return documents.withColumn(found, F.concat(*lists))
+
 
+# --- estimation: plain arithmetic over the counted patterns ---
 
-# --- estimation: plain arithmetic over at most a few hundred counted patterns ---
+#: kind, votes, features (size, style, lead) and the number of candidates that have them.
+Pattern = tuple[str, tuple[int, ...], tuple[object, ...], float]
 
 
-def estimate(counts: list[tuple[str, tuple[int, ...], int, float]], rounds: int = EM_ROUNDS) -> dict[tuple[str, tuple[int, ...]], float]:
+def estimate(counts: list[Pattern], rounds: int = EM_ROUNDS) -> dict[tuple[str, tuple[int, ...]], float]:
     """Posterior of being personal data by kind and votes, by EM with a reliability for each labeler and kind."""
     out: dict[tuple[str, tuple[int, ...]], float] = {}
     for kind in sorted({k for k, _, _, _ in counts}):
@@ -188,11 +253,15 @@ def estimate(counts: list[tuple[str, tuple[int, ...], int, float]], rounds: int
     return out
 
 
-def _features(kind: str, votes: tuple[int, ...], size: int) -> list[str]:
-    return [f"kind={kind}", f"{kind}:size={size}", *(f"{name}={v}" for name, v in zip(LABELERS, votes, strict=True) if v != ABSTAIN)]
+FEATURES = {"size": [0, 1, 2, 3], "style": ["none", "blanks", "points", "mixed"], "lead": ["start", "colon", "line", "word", "other"]}
+
 
+def _features(kind: str, votes: tuple[int, ...], features: tuple[object, ...]) -> list[str]:
+    own = [f"{kind}:{name}={v}" for name, v in zip(FEATURES, features, strict=True)]
+    return [f"kind={kind}", *own, *(f"{name}={v}" for name, v in zip(LABELERS, votes, strict=True) if v != ABSTAIN)]
 
-def train(counts: list[tuple[str, tuple[int, ...], int, float]], rounds: int = FIT_ROUNDS, rate: float = 0.5, decay: float = 1e-3) -> dict[str, float]:
+
+def train(counts: list[Pattern], rounds: int = FIT_ROUNDS, rate: float = 0.5, decay: float = 1e-3) -> dict[str, float]:
     """Weights of a logistic classifier fitted to the posteriors, each kind weighing as much as another."""
     posterior = estimate(counts)
     kinds: dict[str, float] = {}
@@ -201,8 +270,8 @@ def train(counts: list[tuple[str, tuple[int, ...], int, float]], rounds: int = F
     weights: dict[str, float] = {}
     for _ in range(rounds):
         slope: dict[str, float] = {}
-        for kind, votes, size, n in counts:
-            names = _features(kind, votes, size)
+        for kind, votes, features, n in counts:
+            names = _features(kind, votes, features)
             z = sum(weights.get(f, 0.0) for f in names)
             error = posterior[kind, votes] - 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
             for f in names:
@@ -216,37 +285,68 @@ def _probability(weights: dict[str, float], c: Column) -> Column:
     """The classifier as a column expression over a candidate."""
     z = F.lit(0.0)
     for kind in KINDS:
-        sized = F.lit(weights.get(f"kind={kind}", 0.0))
-        for size in range(4):
-            sized += F.when(c["size"] == size, F.lit(weights.get(f"{kind}:size={size}", 0.0))).otherwise(0.0)
-        z += F.when(c["kind"] == kind, sized).otherwise(0.0)
+        own = F.lit(weights.get(f"kind={kind}", 0.0))
+        for name, values in FEATURES.items():
+            part = F.lit(0.0)
+            for v in values:
+                part = F.when(c[name] == v, F.lit(weights.get(f"{kind}:{name}={v}", 0.0))).otherwise(part)
+            own += part
+        z += F.when(c["kind"] == kind, own).otherwise(0.0)
     for k, name in enumerate(LABELERS):
         vote = F.get(c["votes"], F.lit(k))
         z += F.when(vote == YES, F.lit(weights.get(f"{name}={YES}", 0.0))).when(vote == NO, F.lit(weights.get(f"{name}={NO}", 0.0))).otherwise(0.0)
     return 1 / (1 + F.exp(-z))
 
 
-def counted_patterns(found: DataFrame) -> list[tuple[str, tuple[int, ...], int, float]]:
-    rows = found.select(F.explode("_found").alias("c")).groupBy("c.kind", "c.votes", "c.size").agg(F.count("*").alias("n")).collect()
-    return sorted((r["kind"], tuple(r["votes"]), r["size"], float(r["n"])) for r in rows)
+def counted_patterns(found: DataFrame, column: str = "_found") -> list[Pattern]:
+    rows = found.select(F.explode(column).alias("c")).groupBy("c.kind", "c.votes", *(f"c.{f}" for f in FEATURES)).agg(F.count("*").alias("n")).collect()
+    return sorted((r["kind"], tuple(r["votes"]), tuple(r[f] for f in FEATURES), float(r["n"])) for r in rows)
+
+
+_SPAN = "struct<order:int,s:int,e:int,bs:int,be:int,kind:string>"
+
+
+def _without_overlap(base: Column, added: Column) -> Column:
+    """The spans of ``added`` that overlap none of ``base``; both sorted once, each span looks at its neighbours only."""
+    end = 2**31 - 1
+    tag = lambda spans, own: F.transform(spans, lambda x: F.struct(x["s"].alias("s"), F.lit(own).alias("added"), x["e"].alias("e"), x.alias("x")))
+    both = F.array_sort(F.concat(tag(base, False), tag(added, True)))
+
+    def free(rows: Column) -> Column:
+        reach = running(F.transform(rows, lambda x: F.when(x["added"], -1).otherwise(x["e"])), "int", F.lit(-1), F.greatest)
+        ahead = running(F.transform(F.reverse(rows), lambda x: F.when(x["added"], end).otherwise(x["s"])), "int", F.lit(end), F.least)
+        apart = bound_once(
+            F.struct(reach.alias("reach"), ahead.alias("ahead")),
+            lambda near: F.transform(rows, lambda x, i: F.when(x["added"] & (F.get(near["reach"], i) <= x["s"]) & (F.get(near["ahead"], F.size(rows) - 1 - i) >= x["e"]), x["x"])),
+        )
+        return F.filter(apart, lambda x: x.isNotNull())
+
+    return F.when((F.size(base) == 0) | (F.size(added) == 0), added).otherwise(bound_once(both, free))
 
 
 def find_personal_data(documents: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all by default), base and spans: arrays of (order, s, e, kind), sorted."""
-    keep = list(documents.columns) if keep is None else keep
-    found = written(candidates(documents.select(*dict.fromkeys([*keep, text])), text).select(*keep, "_found"), "pii")
-    weights = train(counted_patterns(found))
+    """The columns ``keep`` (all by default), base and spans: arrays of (order, s, e, bs, be, kind), sorted.
+
+    Columns of ``documents`` with the names base and spans are replaced.
+    """
+    keep, hold = kept(documents, keep, ("base", "spans")), unused(documents, "_found")
+    found = written(candidates(documents.select(*dict.fromkeys([*keep, text])), text, hold).select(*keep, hold), "pii")
+    weights = train(counted_patterns(found, hold))
 
     def listed(c: Column) -> Column:
         order = F.lit(len(KINDS))
         for k, kind in enumerate(KINDS):
             order = F.when(c["kind"] == kind, F.lit(k)).otherwise(order)
-        return F.struct(order.alias("order"), c["s"].alias("s"), c["e"].alias("e"), c["kind"].alias("kind"))
+        return F.struct(order.alias("order"), *(c[x].alias(x) for x in ("s", "e", "bs", "be", "kind"))).cast(_SPAN)
+
+    def spans(every: Column) -> Column:
+        base = F.array_sort(F.transform(F.filter(every, lambda c: c["base"]), listed))
+        added = F.transform(F.filter(every, lambda c: ~c["base"] & (_probability(weights, c) >= ACCEPT)), listed)
+        more = bound_once(F.struct(base.alias("base"), added.alias("added")), lambda x: F.struct(x["base"].alias("base"), F.array_sort(F.concat(x["base"], _without_overlap(x["base"], x["added"]))).alias("spans")))
+        none = F.array().cast(f"array<{_SPAN}>")
+        return F.when(F.size(every) > 0, more).otherwise(F.struct(none.alias("base"), none.alias("spans")))
 
-    base = F.filter("_found", lambda c: c["base"])
-    added = F.filter("_found", lambda c: ~c["base"] & (_probability(weights, c) >= ACCEPT) & ~F.exists("_base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])))
-    rows = found.withColumn("_base", F.array_sort(F.transform(base, listed)))
-    return rows.select(*keep, F.col("_base").alias("base"), F.array_sort(F.array_distinct(F.concat("_base", F.transform(added, listed)))).alias("spans"))
+    return found.select(*keep, spans(F.col(hold)).alias(hold)).select(*keep, f"{hold}.base", f"{hold}.spans")
 
 
 def _digest(spans: str) -> Column:
@@ -263,20 +363,30 @@ def personal_data(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def redact(documents: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
-    """``documents`` with every span replaced by its kind in brackets, and the character count adjusted."""
+    """``documents`` with every span replaced by its kind in brackets, and the character count adjusted.
+
+    Spans that overlap are replaced as one, by the kind of the first.
+    """
     plain = [f"_c{i}" for i in range(len(documents.columns))]
     body = plain[documents.columns.index(text)]
     found = find_personal_data(documents.toDF(*plain), body)
-    by_place = F.array_sort(F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"))))
+    by_place = F.array_sort(F.transform("spans", lambda x: F.struct(x["bs"].alias("s"), x["be"].alias("e"), x["kind"].alias("kind"))))
+
+    def rebuilt(x: Column) -> Column:
+        raw, spans, reach = x["raw"], x["spans"], x["reach"]
+        piece = lambda a, b: F.substring(raw, a + 1, b - a).cast("string")
+
+        def part(span: Column, i: Column) -> Column:
+            at = F.get(reach, i)
+            return F.when(span["s"] >= at, F.concat(piece(at, span["s"]), F.lit("["), F.upper(span["kind"]), F.lit("]"))).otherwise("")
+
+        return F.concat(F.array_join(F.transform(spans, part), ""), piece(F.get(reach, F.size(spans)), F.octet_length(raw)))
 
-    def add(state: Column, x: Column) -> Column:
-        gap = F.substring(F.col(body), state["at"] + 1, F.greatest(x["s"] - state["at"], F.lit(0)))
-        mark = F.when(x["s"] >= state["at"], F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]"))).otherwise("")
-        return F.struct(F.greatest(state["at"], x["e"]).alias("at"), F.concat(state["text"], gap, mark).alias("text"))
+    def with_reach(spans: Column) -> Column:
+        return F.struct(F.col(body).cast("binary").alias("raw"), spans.alias("spans"), running(F.transform(spans, lambda x: x["e"]), "int", F.lit(0), F.greatest).alias("reach"))
 
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
-    rebuilt = F.aggregate(by_place, begin, add, lambda s: F.concat(s["text"], F.substring(F.col(body), s["at"] + 1, F.length(body))))
-    changed = found.withColumn("_new", F.when(F.size("spans") > 0, rebuilt).otherwise(F.col(body)))
+    new = F.when(F.size("spans") > 0, bound_once(bound_once(by_place, with_reach), rebuilt)).otherwise(F.col(body))
+    changed = found.withColumn("_new", new)
     out = [F.col("_new").alias(body) if c == body else F.col(c) for c in plain]
     if n_chars in documents.columns:
         at = documents.columns.index(n_chars)

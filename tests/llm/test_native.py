@@ -1,7 +1,9 @@
 """License scans, personal data and sharding: DataFrame operations only."""
 
 import hashlib
+import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -43,6 +45,11 @@ LICENSED = [
     "licensed under the garden in winter",
     "mit license under the",
     "under the",
+    "all rights reserved",
+    "x " * 300 + licenses.TEXTS["mit"] + " y" * 300,
+    " ".join(w for k, w in enumerate(licenses.TEXTS["isc"].split()) if k % 23 != 11),
+    " ".join(["permission is hereby granted free of charge"] * 40),
+    " filler ".join(licenses.NOTICES["mpl-2"].split()),
 ]
 
 
@@ -57,7 +64,8 @@ def test_licenses(spark, sf_dir):
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == license_base(t), t
         assert set(filter(None, r.base_labels.split(","))) <= set(r["labels"].split(",")) and 0 <= r.score <= 1
     n = len(AWKWARD)
-    assert [found[n + k]["labels"] for k in range(len(LICENSED))] == ["mit", "apache-2,cc-by-nc", "cc-by-nc", "mit", "cc-by-nc", "", "", ""]
+    assert [found[n + k]["labels"] for k in range(len(LICENSED))] == ["mit", "apache-2,cc-by-nc", "cc-by-nc", "mit", "cc-by-nc", "", "", "", "", "mit", "isc", "", ""]
+    assert found[n + 9].score == 1.0
     given = table(spark, sf_dir, "documents")
     want = {r.doc_id: license_base(r.text) for r in given.collect()}
     assert {r.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in licenses.license_labels(given).collect()} == want
@@ -135,13 +143,54 @@ def test_redaction(spark):
     assert pii.redact(docs.limit(0)).count() == 0
 
 
+def test_running_totals(spark):
+    from pyspark.sql import functions as F
+
+    for n in (0, 1, 3, 4, 5, 16, 17, 41):
+        values = [(k * 7) % 11 - 3 for k in range(n)]
+        df = spark.createDataFrame([(values,)], "v array<int>")
+        total, most = df.select(pii.running(F.col("v"), "int", F.lit(0), lambda a, b: a + b, 4), pii.running(F.col("v"), "int", F.lit(0), F.greatest, 4)).first()
+        assert total == [sum(values[:k]) for k in range(n + 1)]
+        assert most == [max([0, *values[:k]]) for k in range(n + 1)]
+
+
+def test_redaction_of_many_and_overlapping_spans(spark):
+    rng = random.Random(4)
+    parts = [rng.choice(["a.b@c.org", "10.1.2.3", "4337166598464399", "+1 (988) 555-2485", "é", "🙂", "12", "x\n"]) for _ in range(3000)]
+    text = "".join(p + rng.choice([" ", ",", ""]) for p in parts)
+    docs = documents(spark, [text])
+    spans = [x.split(":") for x in pii.personal_data(docs).first().spans.split(",")]
+    out, at = [], 0
+    for start, end, kind in sorted((int(s), int(e), k) for k, s, e in spans):
+        if start >= at:
+            out += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    assert pii.redact(docs).first().text == "".join(out) + text[at:]
+    assert len(spans) > 1000
+
+
+def test_cost_grows_with_matches_not_with_their_square(spark):
+    def seconds(n, word):
+        docs = documents(spark, [" ".join(word(k) for k in range(n))])
+        began = time.time()
+        found = pii.personal_data(docs).first()
+        return time.time() - began, found
+
+    for word, emails in ((lambda k: f"{100 + k % 900} x", 0), (lambda k: f"a{k}@b{k}.org y", 1)):
+        few, _ = seconds(2000, word)
+        many, found = seconds(100_000, word)
+        assert found.n_email == emails * 100_000 and found.n_card == 0
+        assert many < 5 * few + 10  # fifty times the matches; the square would be 2,500 times
+
+
 def test_em_finds_the_reliable_labeler():
-    counts = [("email", (1, 1, 0, 1, 1), 1, 90.0), ("email", (2, 2, 0, 2, 2), 1, 60.0), ("email", (2, 1, 1, 1, 1), 1, 10.0)]
+    plain = (1, "none", "word")
+    counts = [("email", (1, 1, 0, 1, 1), plain, 90.0), ("email", (2, 2, 0, 2, 2), plain, 60.0), ("email", (2, 1, 1, 1, 1), plain, 10.0)]
     post = pii.estimate(counts)
     assert post["email", (1, 1, 0, 1, 1)] > 0.9 > 0.1 > post["email", (2, 2, 0, 2, 2)]
 
 
-@pytest.mark.parametrize("bucket_bytes", [16 << 20, 2000])
+@pytest.mark.parametrize("bucket_bytes", [16 << 20, 20_000])
 def test_shards(spark, sf_dir, bucket_bytes):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").unionByName(documents(spark, [None, "", "a", "a"], [901, 902, 903, 903]).select("doc_id", "text"))
     path = fresh_path(spark, "shards")
@@ -151,10 +200,14 @@ def test_shards(spark, sf_dir, bucket_bytes):
     assert Counter((r.doc_id, r.text) for r in got) == Counter((r.doc_id, r.text) for r in docs.collect())
     slots = {}
     for r in got:
-        slots.setdefault(r._shard, []).append(r.slot)
+        slots.setdefault(r.shard, []).append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(slots) == 16
-    order = [r.doc_id for r in sorted(got, key=lambda r: (r._shard, r.slot))]
+    order = [r.doc_id for r in sorted(got, key=lambda r: (r.shard, r.slot))]
     assert order != sorted(order)
+    again = sharding.write_shards(docs, fresh_path(spark, "shards"), bucket_bytes=bucket_bytes)
+    assert Counter((r.doc_id, r.text, r.shard, r.slot) for r in again.collect()) == Counter((r.doc_id, r.text, r.shard, r.slot) for r in got)
+    if bucket_bytes < 1 << 20:  # a bucket is a task
+        assert rows.groupBy("bucket").count().count() > 16
 
 
 def test_shard_law(spark, sf_dir):
@@ -169,14 +222,14 @@ def test_shard_law(spark, sf_dir):
 
 
 def test_shared_id_is_spread(spark):
-    """Records that share an id, null included, stay in its shard but not in one bucket; clashing names are kept."""
-    rows = [(None, f"text {i}", i) for i in range(300)] + [(i, f"text {i}", i) for i in range(100)] + [(7, None, 7), (7, None, 7)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, slot_ int")
-    got = sharding.write_shards(docs, fresh_path(spark, "shards"), bucket_bytes=256).collect()
+    """Records that share an id, null included, and even all else, stay in its shard but not in one bucket; clashing columns give way."""
+    rows = [(None, f"text {i}", i) for i in range(300)] + [(i, f"text {i}", i) for i in range(100)] + [(7, "same", 7)] * 400
+    docs = spark.createDataFrame(rows, "doc_id long, text string, slot int")
+    got = sharding.write_shards(docs, fresh_path(spark, "shards"), bucket_bytes=4096).collect()
     assert len(got) == len(rows)
-    shared = [r for r in got if r.doc_id is None]
-    assert len({r._shard for r in shared}) == 1 and len({r._bucket for r in shared}) > 5
+    for shared in ([r for r in got if r.doc_id is None], [r for r in got if r.text == "same"]):
+        assert len({r.shard for r in shared}) == 1 and len({r.bucket for r in shared}) > 5
     slots = {}
     for r in got:
-        slots.setdefault(r._shard, []).append(r.slot)
+        slots.setdefault(r.shard, []).append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
