@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.session import written
+from concord.session import discard_since, mark, written
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -20,10 +20,11 @@ def _least(edges: DataFrame) -> DataFrame:
     return edges.join(least, "u").withColumn("m", F.least("u", "m"))
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """edges (a, b), any comparable type, to (node, component): the least node reachable; nodes without edges are not listed."""
+    spark, began = edges.sparkSession, mark()
     stars = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "stars")
-    for _ in range(max_rounds):
+    while True:  # ends after a number of rounds that grows with the logarithm of the nodes
         both = stars.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(stars.select(F.col("b").alias("u"), F.col("a").alias("v")))
         large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         # in ``large`` every row points from the larger to the smaller end
@@ -32,9 +33,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         fresh = written(fresh, "stars")
         changed = fresh.join(stars, ["a", "b"], "left_anti").limit(1).count() or fresh.count() != stars.count()
         stars = fresh
+        discard_since(spark, began, stars)
         if not changed:
             break
-    else:
-        raise RuntimeError("components did not settle")
     roots = stars.select(F.col("b").alias("node")).distinct()
     return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.withColumn("component", F.col("node")))

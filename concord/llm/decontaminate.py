@@ -9,13 +9,17 @@ a suffix-hash bucket; the surviving windows are compared word by word, first by
 hash and then byte by byte, so a result never rests on a hash alone.
 
 Tasks run the scan for many positions at once (one lane for each stretch of a
-document), over whole texts. The benchmark is cut into blocks of a bounded number
-of windows; each block is broadcast by itself and scanned against all documents,
-which carry what earlier blocks found.
+document), over whole texts. A Spark job cuts the benchmark into blocks of a
+bounded number of windows and bytes, also within long items; the driver takes one
+block at a time and broadcasts its tables. Up to CHAINED_BLOCKS blocks are scanned
+in one pass over the documents. Where there are more, the documents are numbered
+and written once, every pass writes only what it found, by number, and the
+findings are joined to the documents at the end; texts are not written again.
 
 Defined results: a null or wordless text has no words and no hits; items with
 null id or no words are ignored; equal item ids are one item; repeated document
-rows come out as often as they went in; other columns are not looked at.
+rows come out as often as they went in; other columns are kept as they are, but
+those with the names of the result's own, which these replace.
 """
 
 from __future__ import annotations
@@ -23,19 +27,22 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from concord.llm.common import chunked, find_words, ragged, small_batches, text_buffer, word_hashes
+from concord.llm.common import chunked, find_words, kept, ragged, small_batches, word_hashes
 from concord.session import written
 
 WINDOW_WORDS = 10
-#: Windows of one broadcast block: about 100 bytes each, so some 20 MB.
-BLOCK_WINDOWS = 200_000
-#: Blocks scanned in one stage before the documents are written out between.
+#: Windows of one broadcast block (about 100 bytes each, so some 20 MB), and bytes of their words.
+BLOCK_WINDOWS, BLOCK_BYTES = 200_000, 32 << 20
+#: Blocks scanned in one pass over the documents.
 CHAINED_BLOCKS = 4
+#: Words of a stretch, into which long items are cut.
+STRETCH_WORDS = 5000
 _LANE = 256
 _K = np.uint64(0xA0761D6478BD642F)
 _C = np.uint64(0xE7037ED1A0B428DB)
@@ -155,23 +162,60 @@ class WindowSearch:
         return np.diff(first), runs, items
 
 
-def windows_of(rows: Iterable[tuple[object, str | None]], words: int = WINDOW_WORDS, limit: int = BLOCK_WINDOWS) -> Iterator[dict[tuple[bytes, ...], set[str]]]:
-    """Blocks of at most about ``limit`` distinct windows, each with the ids of its items."""
+def stretches(benchmark: DataFrame, item_id: str, item_text: str, words: int = WINDOW_WORDS, length: int = STRETCH_WORDS) -> DataFrame:
+    """(item, words, windows, bytes): the lower-cased words of each item, in stretches that hold each of its windows once."""
+    small_batches(benchmark.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items, found, windows, sizes = [], [], [], []
+            for low, high, raw, bounds in chunked(batch.column(1)):
+                lower, starts, ends, first = find_words(raw, bounds)
+                data = lower.tobytes()
+                for k in range(high - low):
+                    a, b = int(first[k]), int(first[k + 1])
+                    for at in range(a, max(b - words + 1, a + (b > a)), length):
+                        to = min(b, at + length + words - 1)
+                        part = b" ".join(data[x:y] for x, y in zip(starts[at:to].tolist(), ends[at:to].tolist(), strict=True))
+                        items.append(batch.column(0)[low + k])
+                        found.append(part)
+                        windows.append(max(1, to - at - words + 1))
+                        sizes.append(len(part))
+            yield pa.RecordBatch.from_arrays([pa.array([i.as_py() for i in items], pa.string()), pa.array(found, pa.binary()), pa.array(windows, pa.int64()), pa.array(sizes, pa.int64())], ["item", "words", "windows", "bytes"])
+
+    rows = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text")).where("item is not null and text is not null")
+    return rows.mapInArrow(run, "item string, words binary, windows long, bytes long")
+
+
+def in_blocks(found: DataFrame, windows: int = BLOCK_WINDOWS, size: int = BLOCK_BYTES) -> DataFrame:
+    """Stretches with their block; a block ends before it would hold more than its windows or bytes, or one stretch."""
+    held = written(found, "stretches")
+    total, most = held.agg(F.sum("windows"), F.sum("bytes")).first()
+    parts = max(1, -(-int(total or 0) // windows), -(-int(most or 0) // size))
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, w, b = 0, 0, 0
+        for batch in batches:
+            blocks = []
+            for n, m in zip(batch.column("windows").to_pylist(), batch.column("bytes").to_pylist(), strict=True):
+                if w and (w + n > windows or b + m > size):
+                    block, w, b = block + 1, 0, 0
+                w, b = w + n, b + m
+                blocks.append(block)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blocks, pa.int64())], [*batch.schema.names, "block"])
+
+    dealt = held.repartition(parts, "item", F.xxhash64("words")).mapInArrow(number, "item string, words binary, windows long, bytes long, block long")
+    return written(dealt.withColumn("block", F.shiftleft(F.spark_partition_id().cast("long"), 32) + F.col("block")), "blocks")
+
+
+def windows_of(rows: Iterable[tuple[str, bytes]], words: int = WINDOW_WORDS) -> dict[tuple[bytes, ...], set[str]]:
+    """The distinct windows of a block's stretches, each with the ids of its items."""
     block: dict[tuple[bytes, ...], set[str]] = {}
     for item, text in rows:
-        if item is None or not text:
-            continue
-        raw, bounds = text_buffer(pa.array([text]))
-        low, starts, ends, _ = find_words(raw, bounds)
-        data = low.tobytes()
-        found = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        for i in range(max(1, len(found) - words + 1) if found else 0):
-            block.setdefault(tuple(found[i : i + words]), set()).add(str(item))
-        if len(block) >= limit:
-            yield block
-            block = {}
-    if block:
-        yield block
+        found = text.split(b" ")
+        for i in range(max(1, len(found) - words + 1)):
+            block.setdefault(tuple(found[i : i + words]), set()).add(item)
+    return block
 
 
 def _merge_runs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -186,6 +230,12 @@ def _merge_runs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 _FOUND = ("_n_words", "_runs", "_items")
+_ADDED = ("n_words", "n_hit", "items", "hit_runs", "contaminated")
+
+
+def _n_hit(runs: str) -> Column:
+    total = F.aggregate(F.sequence(F.lit(0), (F.size(runs) / 2).cast("int") - 1), F.lit(0).cast("long"), lambda s, i: s + F.element_at(runs, i * 2 + 2) - F.element_at(runs, i * 2 + 1))
+    return F.when(F.size(runs) > 0, total).otherwise(F.lit(0).cast("long"))
 
 
 def find_passages(documents: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", keep: list[str] | None = None, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
@@ -196,57 +246,77 @@ def find_passages(documents: DataFrame, benchmark: DataFrame, text: str = "text"
     """
     spark = documents.sparkSession
     small_batches(spark)
-    keep = list(documents.columns) if keep is None else keep
-    fields = {f.name: f for f in documents.schema}
-    found = [T.StructField("_n_words", T.LongType()), T.StructField("_runs", T.ArrayType(T.IntegerType())), T.StructField("_items", T.ArrayType(T.StringType()))]
-    rows = ((r[0], r[1]) for r in benchmark.select(F.col(item_id).cast("string"), F.col(item_text)).toLocalIterator())
-    blocks = windows_of(rows, limit=block_windows)
-    held = next(blocks, {})
-    df = documents.select(*dict.fromkeys([*keep, text]))
-    done = 0
-    while True:
-        following = next(blocks, None)
-        tables = spark.sparkContext.broadcast(WindowSearch(held))
-        out = [fields[c] for c in (keep if following is None else dict.fromkeys([*keep, text]))]
-        df = df.mapInArrow(_scanner(tables, text, [f.name for f in out]), T.StructType([*out, *found]))
-        done += 1
-        if following is None:
-            break
-        if done % CHAINED_BLOCKS == 0:
-            df = written(df, "decontaminate")
-        held = following
-    n_hit = F.aggregate(F.sequence(F.lit(0), (F.size("_runs") / 2).cast("int") - 1), F.lit(0).cast("long"), lambda s, i: s + F.element_at("_runs", i * 2 + 2) - F.element_at("_runs", i * 2 + 1))
+    keep = kept(documents, keep, _ADDED)
+    blocks = in_blocks(stretches(benchmark, item_id, item_text, length=min(STRETCH_WORDS, block_windows)), block_windows)
+    numbers = [r["block"] for r in blocks.select("block").distinct().orderBy("block").collect()]  # one for each block
+
+    def tables(at: list[int]) -> Iterator:
+        for number in at or [None]:
+            rows = blocks.where(F.col("block") == number).select("item", "words").collect() if number is not None else []
+            yield spark.sparkContext.broadcast(WindowSearch(windows_of((r["item"], bytes(r["words"])) for r in rows)))
+
+    def scanned(df: DataFrame, own: list[str], at: list[int]) -> DataFrame:
+        found = [T.StructField("_n_words", T.LongType()), T.StructField("_runs", T.ArrayType(T.IntegerType())), T.StructField("_items", T.ArrayType(T.StringType()))]
+        schema = T.StructType([*(df.schema[c] for c in own), *found])
+        return df.select(*dict.fromkeys([*own, text])).mapInArrow(_scanner(list(tables(at)), text, own), schema)
+
+    plain = documents.select(*dict.fromkeys([*keep, text]))
+    inner = [f"_c{i}" for i in range(len(plain.columns))]  # no clash with the names of this module
+    text, outer, plain = inner[plain.columns.index(text)], plain.columns, plain.toDF(*inner)
+    own = [inner[outer.index(c)] for c in keep]
+    if len(numbers) <= CHAINED_BLOCKS:
+        df = scanned(plain, own, numbers)
+    else:
+        rows = written(plain.withColumn("_row", F.monotonically_increasing_id()), "documents")
+        passes = [numbers[k : k + CHAINED_BLOCKS] for k in range(0, len(numbers), CHAINED_BLOCKS)]
+        hits = None
+        for at in passes[1:]:
+            found = written(scanned(rows, ["_row"], at).where(F.size("_items") > 0).drop("_n_words"), "passages")
+            hits = found if hits is None else hits.unionByName(found)
+        joined = hits.groupBy("_row").agg(F.collect_list("_runs").alias("_more_runs"), F.flatten(F.collect_list("_items")).alias("_more_items"))
+        df = scanned(rows, [*own, "_row"], passes[0]).join(joined, "_row", "left")
+        runs = F.when(F.col("_more_runs").isNull(), F.col("_runs")).otherwise(_merged(F.concat(F.array("_runs"), "_more_runs")))
+        df = df.withColumn("_runs", runs).withColumn("_items", F.array_distinct(F.concat("_items", F.coalesce("_more_items", F.array().cast("array<string>")))))
     return df.select(
-        *keep,
+        *(F.col(c).alias(outer[inner.index(c)]) for c in own),
         F.col("_n_words").alias("n_words"),
-        F.when(F.size("_runs") > 0, n_hit).otherwise(F.lit(0).cast("long")).alias("n_hit"),
+        _n_hit("_runs").alias("n_hit"),
         F.array_sort("_items").alias("items"),
         F.col("_runs").alias("hit_runs"),
         (F.size("_items") > 0).alias("contaminated"),
     )
 
 
-def _scanner(tables, text: str, keep: list[str]):
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _merged(lists: pd.Series) -> pd.Series:
+    """Runs of several passes as one list of runs; only rows that more than one pass hit get here."""
+    out = []
+    for several in lists:
+        runs = np.zeros(0, np.int32)
+        for more in several if several is not None else ():
+            runs = _merge_runs(runs, np.asarray(more, np.int32))
+        out.append(runs)
+    return pd.Series(out)
+
+
+def _scanner(tables: list, text: str, keep: list[str]):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search: WindowSearch = tables.value
+        searches: list[WindowSearch] = [t.value for t in tables]
         for batch in batches:
-            names = batch.schema.names
-            before = all(c in names for c in _FOUND)
-            counts, runs, items = [], [], []
-            for low, high, raw, bounds in chunked(batch.column(text)):
-                n, r, found = search.scan(raw, bounds)
-                if before:
-                    earlier_runs = batch.column("_runs").slice(low, high - low).to_pylist()
-                    earlier_items = batch.column("_items").slice(low, high - low).to_pylist()
-                    r = [_merge_runs(np.array(x, np.int32), y) for x, y in zip(earlier_runs, r, strict=True)]
-                    found = [set(x) | y for x, y in zip(earlier_items, found, strict=True)]
+            counts, runs, items = [np.zeros(0, np.int64)], [], []
+            for _, _, raw, bounds in chunked(batch.column(text)):
+                n, r, found = searches[0].scan(raw, bounds)
+                for search in searches[1:]:
+                    _, more_runs, more = search.scan(raw, bounds)
+                    r = [_merge_runs(x, y) for x, y in zip(r, more_runs, strict=True)]
+                    found = [x | y for x, y in zip(found, more, strict=True)]
                 counts.append(n)
                 runs += r
                 items += found
             offsets = np.concatenate([[0], np.cumsum([len(r) for r in runs])]).astype(np.int32)
             columns = [batch.column(c) for c in keep]
-            columns.append(pa.array(np.concatenate(counts) if counts else np.zeros(0, np.int64), pa.int64()))
-            columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(runs) if runs else np.zeros(0, np.int32), pa.int32())))
+            columns.append(pa.array(np.concatenate(counts), pa.int64()))
+            columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *runs]), pa.int32())))
             columns.append(pa.array([sorted(x) for x in items], pa.list_(pa.string())))
             yield pa.RecordBatch.from_arrays(columns, [*keep, *_FOUND])
 

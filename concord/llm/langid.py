@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from concord.llm.common import LOWER, chunked, small_batches
+from concord.llm.common import LOWER, chunked, kept, small_batches, unused
 from concord.session import written
 
 DIMENSIONS = 4096
@@ -171,10 +171,10 @@ def fit(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
 
 
 def identify(documents: DataFrame, model: LanguageModel | None, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all by default) with lang_pred, score and rejected."""
+    """The columns ``keep`` (all by default) with lang_pred, score and rejected, which replace columns of these names."""
     spark = documents.sparkSession
     small_batches(spark)
-    keep = list(documents.columns) if keep is None else keep
+    keep, has = kept(documents, keep, ("lang_pred", "score", "rejected")), unused(documents, "_lettered")
     shared = spark.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +192,7 @@ def identify(documents: DataFrame, model: LanguageModel | None, text: str = "tex
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)], [*keep, "lang_pred", "score", "rejected"])
 
     schema = T.StructType([*(documents.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
-    has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_lettered")
+    has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias(has)
     return documents.select(*dict.fromkeys([*keep, text]), has_letter).mapInArrow(predict, schema)
 
 

@@ -8,7 +8,8 @@ certified when its number of bins equals a lower bound from dual-feasible
 functions over its lengths. Afterwards the documents in bins that are not full
 of uncertified partitions, and in the loosest bin of each certified one, are
 exchanged: dealt anew among fewer partitions and packed again. An exchange counts only
-if it saves bins, and the loop ends when it saves none or nothing is left open.
+if it saves bins, and the loop ends when it saves none or nothing is left open, after
+as many exchanges as that takes.
 
 Every partition holds about PARTITION_ROWS rows whatever the input, so more
 documents mean more partitions, not larger ones. The driver sees four numbers a
@@ -30,14 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from concord.llm.common import small_batches
+from concord.llm.common import small_batches, text_runs
 from concord.llm.tokens import PieceTable, piece_table
 from concord.session import written
 
 CAPACITY = 2048
 END_ID = 0
 PARTITION_ROWS = 20_000
-MAX_ROUNDS = 6
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -58,7 +58,7 @@ def pieces_of(documents: DataFrame, tokenizer_path: str, doc_id: str = "doc_id",
         table = piece_table(PieceTable, tokenizer_path)
         for batch in batches:
             row, piece, start, length, crc, ids = [], [], [], [], [], []
-            for k, values in enumerate(table.values([t or "" for t in batch.column(1).to_pylist()])):
+            for k, values in enumerate(v for texts in text_runs(batch.column(1)) for v in table.values(texts)):
                 data = b"".join(values) + end
                 for p, (s, n) in enumerate(cut(len(data) // 4, capacity)):
                     part = data[4 * s : 4 * (s + n)]
@@ -143,35 +143,35 @@ def _pack_partitions(rows: DataFrame, capacity: int) -> DataFrame:
     return rows.groupBy("part").applyInPandas(pack, _PACKED)
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, partition_rows: int = PARTITION_ROWS, max_rounds: int = MAX_ROUNDS, seed: int = 11) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, partition_rows: int = PARTITION_ROWS, seed: int = 11) -> DataFrame:
     """``pieces`` (with a column length) with sequence_id and offset."""
     keyed = written(pieces.withColumn("_key", F.monotonically_increasing_id()), "pieces")
     rows, total = keyed.select(F.col("_key").alias("key"), "length"), keyed.count()
     closed: list[DataFrame] = []
 
-    def deal(open_rows: DataFrame, n: int, turn: int) -> DataFrame:
+    def deal(open_rows: DataFrame, n: int, turn: int) -> tuple[DataFrame, int]:
         parts = max(1, -(-n // partition_rows))
-        return written(_pack_partitions(open_rows.withColumn("part", F.pmod(F.xxhash64("key", F.lit(seed + turn)), F.lit(parts))), capacity), f"packed{turn}")
+        return written(_pack_partitions(open_rows.withColumn("part", F.pmod(F.xxhash64("key", F.lit(seed + turn)), F.lit(parts))), capacity), f"packed{turn}"), parts
 
-    def close(done: DataFrame, turn: int) -> None:
-        sequence = F.shiftleft(F.lit(turn).cast("long"), 57) + F.shiftleft(F.col("part"), 24) + F.col("bin")
-        closed.append(done.select("key", sequence.alias("sequence_id"), "offset"))
+    def close(done: DataFrame, first: int) -> None:
+        # partitions are numbered on over all exchanges
+        closed.append(done.select("key", (F.shiftleft(F.col("part") + F.lit(first), 24) + F.col("bin")).alias("sequence_id"), "offset"))
 
-    packed, turn = deal(rows, total, 0), 0
+    (packed, dealt), turn, first = deal(rows, total, 0), 0, 0
     while True:
         # open: the bins that are not full of partitions with a gap, and the loosest bin of the certified ones
         loosest = packed.groupBy("part").agg(F.min_by("bin", F.struct("fill", "bin")).alias("loosest"))
         tagged = packed.join(loosest, "part").withColumn("open", (F.col("fill") < capacity) & ((F.col("bins") > F.col("bound")) | (F.col("bin") == F.col("loosest"))))
         n, bins, parts = tagged.where("open").agg(F.count("*"), F.count_distinct("part", "bin"), F.count_distinct("part")).first()
-        if turn + 1 >= max_rounds or bins < 2 or (parts == 1 and turn):
-            close(packed, turn)
+        if bins < 2 or (parts == 1 and turn):
+            close(packed, first)
             break
-        again = deal(tagged.where("open").select("key", "length"), n, turn + 1)
+        again, dealt_again = deal(tagged.where("open").select("key", "length"), n, turn + 1)
         if again.agg(F.count_distinct("part", "bin")).first()[0] >= bins:
-            close(packed, turn)
+            close(packed, first)
             break
-        close(tagged.where("not open"), turn)
-        packed, turn = again, turn + 1
+        close(tagged.where("not open"), first)
+        packed, turn, first, dealt = again, turn + 1, first + dealt, dealt_again
     where = closed[0]
     for more in closed[1:]:
         where = where.unionByName(more)

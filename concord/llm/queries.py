@@ -57,4 +57,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_packing, op3_simhash, op4_warc, op5_licenses, op6_pii, op7_sharding, op8_token_counts, op9_language_id, op10_quality)}
-ORACLES: dict[str, str] = {}
+_WORDS = "regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+#: Windows of every length that an item gives, joined with the documents' windows of that length.
+_OP1_SQL = f"""with d as (select doc_id, row_number() over () as r, {_WORDS.format("coalesce(text, '')")} as w from documents),
+ i as (select item_id::varchar as item, {_WORDS.format("text")} as w from benchmark where item_id is not null and text is not null),
+ x as (select distinct item, least(len(w), 10) as m, array_to_string(w[k:k + least(len(w), 10) - 1], ' ') as g from (select item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as k from i where len(w) > 0)),
+ sizes as (select distinct m from x),
+ p as (select r, k, m, array_to_string(w[k:k + m - 1], ' ') as g from (select r, w, m, unnest(range(1, len(w) - m + 2)) as k from d, sizes where len(w) >= m)),
+ h as (select p.r, p.k, p.m, x.item from p join x on p.g = x.g and p.m = x.m),
+ hit as (select r, count(distinct word) as n from (select r, unnest(range(k, k + m)) as word from (select distinct r, k, m from h)) group by r),
+ items as (select r, count(*) as n, string_agg(item, ',' order by item) as s from (select distinct r, item from h) group by r)
+ select doc_id, len(w)::bigint as n_words, coalesce(hit.n, 0)::bigint as n_hit, coalesce(items.n, 0)::bigint as n_items, sha256(coalesce(items.s, '')) as items_sha256, coalesce(hit.n, 0) > 0 as contaminated
+ from d left join hit using (r) left join items using (r)"""
+#: The other queries learn, tokenise, hash by XXH64 or pack; SQL cannot express them.
+ORACLES: dict[str, str] = {"op1_decontamination": _OP1_SQL}

@@ -296,10 +296,10 @@ def links(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET, masks:
     return edges
 
 
-def near_duplicate_groups(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None, distance: int = DISTANCE) -> DataFrame:
+def near_duplicate_groups(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None, distance: int = DISTANCE, words: int = SHINGLE_WORDS) -> DataFrame:
     """The columns ``keep`` (the id by default) with fingerprint (16 hex digits) and component_id."""
     keep = [doc_id] if keep is None else keep
-    rows = written(with_fingerprints(documents, text, list(dict.fromkeys([*keep, doc_id]))), "fingerprints")
+    rows = written(with_fingerprints(documents, text, list(dict.fromkeys([*keep, doc_id])), words), "fingerprints")
     nodes = written(rows.groupBy("fp").agg(F.min(doc_id).alias("least")), "nodes")
     component = connected_components(links(nodes.select("fp"), distance))
     joined = nodes.join(component, F.col("fp") == F.col("node"), "left").withColumn("component", F.coalesce("component", "fp"))
@@ -308,19 +308,14 @@ def near_duplicate_groups(documents: DataFrame, doc_id: str = "doc_id", text: st
     return rows.join(labelled, "fp").select(*keep, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group, with its own columns: the one with the smallest id.
-
-    Rows that repeat an id count as one document; of a group in which no row has an
-    id, some one row stays.
-    """
+def keep_one_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
+    """Exactly one row of each group of linked fingerprints, with its own columns: one with the group's smallest id (nulls last)."""
     plain = [f"_c{i}" for i in range(len(documents.columns))]
     key, body = (plain[documents.columns.index(c)] for c in (doc_id, text))
-    renamed = documents.toDF(*plain)
-    groups = written(near_duplicate_groups(renamed, key, body, [key]), "groups")
-    first = groups.where(F.col(key) == F.col("component_id")).select(key).distinct()
-    kept = renamed.join(first, key, "left_semi").dropDuplicates([key]).select(*plain)
-    nameless = groups.where(F.col("component_id").isNull()).select("fingerprint").distinct()
-    bare = with_fingerprints(renamed.where(F.col(key).isNull()), body).withColumn("fingerprint", F.lpad(F.lower(F.hex("fp")), 16, "0"))
-    alone = bare.join(nameless, "fingerprint", "left_semi").dropDuplicates(["fingerprint"]).select(*plain)
-    return kept.unionByName(alone).toDF(*documents.columns)
+    numbered = documents.toDF(*plain).withColumn("_row", F.monotonically_increasing_id())
+    # the row number is written with its row, so that it stays the same
+    rows = written(with_fingerprints(numbered, body, [*plain, "_row"], words), "fingerprints")
+    nodes = written(rows.groupBy("fp").agg(F.min(F.struct(F.col(key).isNull().alias("nameless"), F.col(key).alias("id"), F.col("_row").alias("row"))).alias("first")), "nodes")
+    component = connected_components(links(nodes.select("fp"), distance))
+    stay = nodes.join(component, F.col("fp") == F.col("node"), "left").groupBy(F.coalesce("component", "fp").alias("group")).agg(F.min("first").alias("first"))
+    return rows.join(stay.select(F.col("first.row").alias("_row")), "_row", "left_semi").select(*plain).toDF(*documents.columns)

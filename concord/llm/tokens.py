@@ -1,19 +1,21 @@
 """Token counts with the whole-token shortcut, and token ids, for byte-level BPE files.
 
-A byte-level BPE never merges across pre-tokens, and a single space before a
-character that is no white space always starts a pre-token. So a text without
-longer runs of white space falls apart at its single spaces into pieces that can
-be encoded one by one, whatever stands around them. Pieces repeat, so each worker
-keeps a bounded table of pieces it has met.
+A byte-level BPE never merges across pre-tokens, and a space before a character
+that is no white space always starts a pre-token, also at the end of a run of white
+space: the run before it is then what is left of it, just as at the end of a text.
+So every text falls apart at such spaces into pieces that can be encoded one by
+one, whatever stands around them. Strings of special tokens are cut out before.
+Pieces repeat, so each worker keeps a bounded table of pieces it has met.
 
 Counting uses the shortcut: ``whole_tokens`` proves once, on the driver, which
 vocabulary strings are one pre-token and encode alone as one token. Pre-tokens in
 that table count as one; only the rest is merged, by the tokenizers library.
 
-Texts holding a special token's string, or white space that does not fall apart
-this way, are given to the library whole. Null texts count as empty; nothing is
-cut or padded; special strings in a text become special tokens, the library's
-default.
+Null texts count as empty; nothing is cut or padded; special strings in a text
+become special tokens, the library's default. A file whose added tokens take the
+white space or word borders around them is not cut at them: texts that hold one
+are given to the library whole. Columns with the names that counting adds
+(n_bytes, n_tokens, over_limit) are replaced.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from concord.llm.common import small_batches, text_buffer
+from concord.llm.common import kept, small_batches, text_buffer, text_runs
 
 #: The pre-tokeniser's pattern of byte-level BPE files (fixed value).
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -39,6 +41,7 @@ PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+
 CACHED_PIECES = 250_000
 _SPLIT = regex.compile(PRE_TOKEN)
 _RUN_OF_SPACE = re.compile(r" \s")
+_PIECE = re.compile(r" (?=\S)")
 
 
 def _tokenizer(path: str):
@@ -97,28 +100,47 @@ class PieceTable:
     def __init__(self, path: str, limit: int = CACHED_PIECES) -> None:
         self.tokenizer = _tokenizer(path)
         self.ranked = ranked_merges(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = {t.content: i for i, t in added.items()}
+        self.apart = not any(t.lstrip or t.rstrip or t.single_word for t in added.values())
+        # of strings that begin alike the longest counts, as in the library
+        self.specials = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.limit = limit
         self.known: dict[str, object] = {}
         self.young: dict[str, object] = {}
 
-    def whole(self, text: str) -> bool:
-        return _RUN_OF_SPACE.search(text) is not None or any(s in text for s in self.special)
+    def pieces(self, text: str) -> list[str]:
+        """The pieces of a text without special strings; the first one, which follows no space, has a key of its own."""
+        found = text.split(" ") if _RUN_OF_SPACE.search(text) is None else _PIECE.split(text)
+        found[0] = "\n" + found[0]  # no later piece begins with white space
+        return found
 
     def values(self, texts: list[str]) -> list[list]:
-        """For each text the values of its pieces; a first piece, which follows no space, has a key of its own."""
+        """For each text the values of its pieces and special tokens, in their order."""
+        if self.specials is None or not any(map(self.specials.search, texts)):
+            return self._values(texts)
+        if not self.apart:
+            held = [self.specials.search(t) is not None for t in texts]
+            plain = iter(self._values([t for t, h in zip(texts, held, strict=True) if not h]))
+            whole = iter(self.encode_whole([t for t, h in zip(texts, held, strict=True) if h]))
+            return [[next(whole)] if h else next(plain) for h in held]
+        parts = [self.specials.split(t) for t in texts]  # texts at even places, special strings at odd ones
+        plain = iter(self._values([p for found in parts for p in found[::2]]))
+        out: list[list] = []
+        for found in parts:
+            row: list = []
+            for k, part in enumerate(found):
+                row += [self.special_value(self.special[part])] if k % 2 else next(plain)
+            out.append(row)
+        return out
+
+    def _values(self, texts: list[str]) -> list[list]:
         out: list[list] = []
         again: list[tuple[int, list[str]]] = []
         missing: dict[str, None] = {}
-        whole: list[int] = []
         get = self.known.get
         for k, text in enumerate(texts):
-            if self.whole(text):
-                whole.append(k)
-                out.append([])
-                continue
-            pieces = text.split(" ")
-            pieces[0] = "\n" + pieces[0] + " "  # no later piece holds a space
+            pieces = self.pieces(text)
             found = list(map(get, pieces))
             if None in found:
                 again.append((k, pieces))
@@ -128,7 +150,7 @@ class PieceTable:
             young = self.young
             met = {p: young.pop(p) for p in missing if p in young}
             fresh = [p for p in missing if p not in met]
-            new = dict(zip(fresh, self.encode([p[1:-1] if p[-1:] == " " else " " + p for p in fresh]), strict=True))
+            new = dict(zip(fresh, self.encode([p[1:] if p[0:1] == "\n" else " " + p for p in fresh]), strict=True))
             here = new | met
             for k, pieces in again:
                 out[k] = [here[p] if v is None else v for p, v in zip(pieces, out[k], strict=True)]
@@ -138,10 +160,11 @@ class PieceTable:
             if len(self.known) + len(met) > self.limit:
                 self.known.clear()
             self.known.update(met)
-        for k, value in zip(whole, self.encode_whole([texts[k] for k in whole]), strict=True):
-            out[k] = [value]
         return out
 
+    def special_value(self, token: int):
+        return array("I", [token]).tobytes()
+
     def ids(self, pieces: list[str]) -> list[list[int]]:
         """Token ids of pieces without special strings."""
         if self.ranked is None:
@@ -198,12 +221,15 @@ class CountTable(PieceTable):
     def encode_whole(self, texts: list[str]) -> list[int]:
         return [len(i) for i in self._library_ids(texts)]
 
+    def special_value(self, token: int) -> int:
+        return 1
+
 
 def count_tokens(documents: DataFrame, tokenizer_path: str, text: str = "text", keep: list[str] | None = None, limit: int = 1024) -> DataFrame:
     """The columns ``keep`` (all by default) with n_bytes, n_tokens (long) and over_limit (n_tokens > limit)."""
     spark = documents.sparkSession
     small_batches(spark)
-    keep = list(documents.columns) if keep is None else keep
+    keep = kept(documents, keep, ("n_bytes", "n_tokens", "over_limit"))
     single = spark.sparkContext.broadcast(whole_tokens(tokenizer_path))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,9 +237,8 @@ def count_tokens(documents: DataFrame, tokenizer_path: str, text: str = "text",
         for batch in batches:
             column = batch.column(text)
             _, bounds = text_buffer(column)
-            values = table.values([t or "" for t in column.to_pylist()])
-            counts = pa.array([sum(v) for v in values], pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(np.diff(bounds), pa.int64()), counts], [*keep, "n_bytes", "n_tokens"])
+            counts = [sum(v) for texts in text_runs(column) for v in table.values(texts)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(np.diff(bounds), pa.int64()), pa.array(counts, pa.int64())], [*keep, "n_bytes", "n_tokens"])
 
     schema = T.StructType([*(documents.schema[c] for c in keep), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
     counted = documents.select(*dict.fromkeys([*keep, text])).mapInArrow(count, schema)

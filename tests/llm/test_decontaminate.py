@@ -63,3 +63,20 @@ def test_empty_tables_and_clashing_columns(spark):
     clash = docs.selectExpr("doc_id", "text", "1 as n_words", "2 as items", "3 as _runs")
     kept = decontaminate.drop_contaminated(clash, bench)
     assert kept.columns == clash.columns and [r.doc_id for r in kept.collect()] == [1]
+
+
+def test_query_against_sql(spark):
+    import duckdb
+
+    from concord.llm import queries
+
+    sf_dir = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet'")
+    found = con.execute(queries.ORACLES["op1_decontamination"])
+    names = [d[0] for d in found.description]
+    want = sorted(found.fetchall())
+    rows = queries.op1_decontamination(spark, sf_dir)
+    assert sorted(rows.columns) == sorted(names)
+    assert sorted(tuple(r) for r in rows.select(*names).collect()) == want

@@ -1,5 +1,6 @@
 """Language ID, quality rules and the pipeline."""
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -38,6 +39,39 @@ def test_languages_edges(spark):
     assert kept.columns == ["doc_id", "text", "lang", "score", "n_chars"] and kept.count() == 120
 
 
+def grams(text):
+    """Every byte bigram and trigram but blank ones, by hand."""
+    data = bytes(b if 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in text.encode())
+    out = Counter()
+    for n in (2, 3):
+        for k in range(len(data) - n + 1):
+            g = data[k : k + n]
+            if g != b" " * n:
+                number = int.from_bytes(g, "big") + (n == 2) * (1 << 24)
+                out[(number * 0x9E3779B1 >> 7) % langid.DIMENSIONS] += 1
+    return out
+
+
+def test_predictions_against_brute_force(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").unionByName(documents(spark, [*AWKWARD, "Ω é", "THE cat"], range(5000, 5002 + len(AWKWARD))))
+    model = langid.fit(docs)
+    rows = {r.doc_id: r for r in langid.identify(docs, model).collect()}
+    for r in docs.collect():
+        got, counts = rows[r.doc_id], grams(r.text or "")
+        if not any(c.isalpha() for c in r.text or ""):
+            assert (got.lang_pred, got.score, got.rejected) == ("und", 0.0, True)
+            continue
+        weight = {c: math.log1p(n) * float(model.idf[c]) for c, n in counts.items()}
+        norm = math.sqrt(sum(w * w for w in weight.values())) or 1.0
+        cosine = [sum(w * float(centre[c]) for c, w in weight.items()) / norm for centre in model.centres]
+        best = max(cosine)
+        assert abs(got.score - min(1, max(0, best))) < 1e-4
+        assert got.lang_pred in {name for name, c in zip(model.languages, cosine, strict=True) if c > best - 1e-4}
+        least = model.least[min(int(math.log2(sum(counts.values()) + 1)), len(model.least) - 1)]
+        if abs(best - least) > 1e-4:
+            assert got.rejected == (best < least)
+
+
 def brute_statistics(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
@@ -73,6 +107,30 @@ def test_quality_verdicts(spark):
     assert quality.judge(docs.limit(0), labels).count() == 0
 
 
+def walked(forest, x):
+    """A row's score, one tree and one node at a time."""
+    total = 0.0
+    for feature, split, left, depth in zip(forest.feature, forest.split, forest.left, forest.depth, strict=True):
+        at = 0
+        while feature[at] >= 0:
+            at = left[at] + (x[feature[at]] >= split[at])
+        total += depth[at]
+    return 2.0 ** (-total / len(forest.feature) / forest.scale)
+
+
+def test_verdicts_against_brute_force(spark):
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    forest = quality.fit(quality.with_statistics(docs, keep=["doc_id"]), labels)
+    rows = {r.doc_id: r for r in quality.judge(docs, labels).collect()}
+    assert np.isfinite(forest.threshold)
+    for r in docs.collect():
+        counts = brute_statistics(r.text)
+        failed = counts[0] < 10 or 100 * counts[4] > 20 * counts[0]
+        score = walked(forest, quality.statistics(r.text)[1])
+        assert abs(rows[r.doc_id].anomaly - score) < 1e-9
+        assert rows[r.doc_id].kept == (not failed and score <= forest.threshold)
+
+
 def test_forest_scores_outliers_higher():
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(size=(400, 10)), rng.normal(8, 1, size=(5, 10))])
@@ -83,8 +141,8 @@ def test_forest_scores_outliers_higher():
 
 def test_pipeline_stages_take_effect(spark, sf_dir):
     from test_decontaminate import brute as contaminated
+    from test_jaccard import survivors
     from test_native import base_spans
-    from test_simhash import components, fingerprint
 
     docs = table(spark, sf_dir, "documents")
     columns, kept = docs.columns, {}
@@ -92,8 +150,8 @@ def test_pipeline_stages_take_effect(spark, sf_dir):
         docs = corpus_pipeline.written(stage(spark, docs, sf_dir), name)
         assert docs.columns == columns
         kept[name] = {r.doc_id: r.text for r in docs.collect()}
-    group = components({d: fingerprint(t) for d, t in kept["language_id"].items()})
-    assert set(kept["near_dedup"]) == set(group.values())
+    ids = sorted(kept["language_id"])
+    assert sorted(kept["near_dedup"]) == [ids[k] for k in survivors([kept["language_id"][d] for d in ids])]
     items = [(r.item_id, r.text) for r in table(spark, sf_dir, "benchmark").collect()]
     hits = contaminated(list(kept["near_dedup"].values()), items)
     assert set(kept["decontamination"]) == {d for d, h in zip(kept["near_dedup"], hits, strict=True) if not h[1]}

@@ -114,3 +114,16 @@ def test_table_keeps_its_bound():
     for _ in range(3):
         assert [b"".join(v) for v in table.values(texts)] == want
     assert len(table.known) <= 1400 and len(table.young) <= 1400
+
+
+def test_runs_of_white_space_and_special_strings_are_cut_too(library):
+    rng = np.random.default_rng(2)
+    parts = [" ", "  ", "\n", "\t", "\r\n", "\u00a0", "\u2003", "\x1c", "\x85", "a", "é", "It's", "42", "!", "<|endoftext|>", "漢"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(20_000)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    table = tokens.PieceTable(PATH)
+    assert [np.frombuffer(b"".join(v), "<u4").tolist() for v in table.values(texts)] == want
+    counts = tokens.CountTable(PATH, tokens.whole_tokens(PATH))
+    assert [sum(v) for v in counts.values(texts)] == list(map(len, want))
+    indented = "\n".join(" " * (k % 9) + f"word{k % 3} = value" for k in range(400))
+    assert max(map(len, table.pieces(indented))) < 30  # no text goes round the table whole
