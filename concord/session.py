@@ -58,7 +58,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_to = path
+    return back
 
 
 def mark() -> int:
@@ -67,14 +69,10 @@ def mark() -> int:
 
 
 def discard_since(spark: SparkSession, point: int, *keep: DataFrame) -> None:
-    """Delete the folders written since ``point`` but those that ``keep`` read; frames that read them are of no use any more."""
-    kept = {f for df in keep for f in df.inputFiles()}
-    left = []
+    """Delete the folders made since ``point`` but those of ``keep``, results of ``written``; frames that read the others are of no use any more."""
+    kept = {df.written_to for df in keep}
     for path in _FOLDERS[point:]:
-        name = path.rsplit("/", 1)[1]
-        if any(f"/{name}/" in f for f in kept):
-            left.append(path)
-            continue
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-    _FOLDERS[point:] = left
+        if path not in kept:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _FOLDERS[point:] = [path for path in _FOLDERS[point:] if path in kept]
