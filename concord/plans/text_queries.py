@@ -50,14 +50,20 @@ def reuse_exact(spark, sf_dir):
     return reuse.exact_classes(_docs(spark, sf_dir))
 
 
-_MARKS = f"""with {_SHINGLES}, head as (select min(doc_id) as doc_id from documents where text is not null group by text),
+#: Near-identical texts are a class (its smallest id), other marks are pairs of different classes.
+_MARKS = f"""with recursive {_SHINGLES}, head as (select min(doc_id) as doc_id from documents where text is not null group by text),
  h as (select s.* from s join head using (doc_id)),
  n as (select doc_id, count(*) as n from h group by doc_id having count(*) >= 40),
  p as (select x.doc_id as a, y.doc_id as b, count(*) as shared from h x join h y on x.s = y.s and x.doc_id < y.doc_id group by all),
  j as (select a, b, shared / (na.n + nb.n - shared) as j, shared / na.n as ca, shared / nb.n as cb from p join n na on na.doc_id = a join n nb on nb.doc_id = b),
- k as (select *, case when j >= 0.8 then 'near_identical' when ca >= 0.8 or cb >= 0.8 then 'contained_in' when j >= 0.35 then 'partial_reuse' end as kind from j),
+ e as (select a, b from j where j >= 0.8 union all select b, a from j where j >= 0.8),
+ reach(a, b) as (select a, b from e union select reach.a, e.b from reach join e on reach.b = e.a),
+ near as (select a as doc_id, min(b) as near_id from reach group by a),
+ k as (select j.*, case when ca >= 0.8 or cb >= 0.8 then 'contained_in' when j >= 0.35 then 'partial_reuse' end as kind
+  from j left join near x on x.doc_id = a left join near y on y.doc_id = b where coalesce(x.near_id, a) <> coalesce(y.near_id, b)),
  marks as (select kind, case when kind = 'contained_in' and cb > ca then b else a end as doc_id, case when kind = 'contained_in' and cb > ca then a else b end as other_id,
- round(j, 4) as jaccard, round(greatest(ca, cb), 4) as containment from k where kind is not null)"""
+ round(j, 4) as jaccard, round(greatest(ca, cb), 4) as containment from k where kind is not null
+ union all select 'near_identical', doc_id, near_id, null, null from near)"""
 
 
 @query(f"{_MARKS} select * from marks")
