@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Words that mean an inactive record (fixed values).
-FALSE_WORDS = ["", "0", "false", "inactive", "inativo", "nao", "não"]
+FALSE_WORDS = ["0", "false", "inactive", "inativo", "nao", "não"]
 #: Roman numerals of 1 to 15 (fixed values).
 ROMAN = ["I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X", "XI", "XII", "XIII", "XIV", "XV"]
 
@@ -61,5 +61,21 @@ def stable_key(columns: Sequence[str]) -> Column:
     return F.sha2(F.to_json(F.struct(*sorted(columns))), 256)
 
 
+#: Keys under which an answer holds its rows (fixed values).
+LIST_KEYS = ["items", "resultado", "resultados", "data", "content"]
+
+
 def is_empty_payload(text: Column) -> Column:
-    return text.isNull() | F.trim(text).isin("", "[]", "{}", "null", '""', '{"items":[]}')
+    """No answer, or one without content: null, an empty text, list or object; a pair whose first part is empty (rows, total);
+    an object whose only member is empty, or that has an empty member under one of LIST_KEYS. Zero and false are content.
+    """
+    plain = F.trim(text)
+    blank = lambda v: v.isNull() | v.isin("", "[]", "{}")
+    members = F.from_json(F.when(plain.startswith("{"), plain), "map<string,string>")
+    only = (F.size(members) == 1) & F.exists(F.map_values(members), blank)
+    for key in LIST_KEYS:
+        only |= F.map_contains_key(members, key) & blank(F.try_element_at(members, F.lit(key)))
+    parts = F.from_json(F.when(plain.startswith("["), plain), "array<string>")
+    first = F.get(parts, F.lit(0))
+    pair = (F.size(parts) == 2) & (first.isNull() | first.isin("[]", "{}"))
+    return text.isNull() | F.regexp_replace(plain, r"\s", "").isin("null", "[]", "{}", '""', "") | F.coalesce(only, F.lit(False)) | F.coalesce(pair, F.lit(False))

@@ -35,14 +35,18 @@ def reverse_windows(day: Column, end: Column, days: int) -> Column:
     return F.floor(F.datediff(end, day) / days)
 
 
-def present_pairs(df: DataFrame, owner: str, role: str, member: str, roles: Sequence[str]) -> DataFrame:
-    """Edges between the members of each owner's neighbouring present roles, in the order of ``roles``."""
+def role_edges(df: DataFrame, owner: Sequence[str], role: str, roles: Sequence[str]) -> DataFrame:
+    """An edge between each two neighbouring present roles of an owner, in the order of ``roles``: from_role, to_role, n_from, n_to and n_links.
+
+    Every member of the one is linked with every member of the other; the members
+    themselves stay in ``df``, so that no pair of them is listed.
+    """
     rank = F.array_position(F.array(*(F.lit(r) for r in roles)), F.col(role))
-    ranked = df.select(F.col(owner), F.col(role), F.col(member), rank.alias("_rank")).where("_rank > 0")
-    steps = ranked.select(owner, "_rank").distinct().withColumn("_next", F.lead("_rank").over(Window.partitionBy(owner).orderBy("_rank"))).where("_next is not null")
-    a = ranked.select(owner, F.col("_rank"), F.col(role).alias("from_role"), F.col(member).alias("from_id"))
-    b = ranked.select(owner, F.col("_rank").alias("_next"), F.col(role).alias("to_role"), F.col(member).alias("to_id"))
-    return a.join(steps, [owner, "_rank"]).join(b, [owner, "_next"]).select(owner, "from_role", "from_id", "to_role", "to_id")
+    present = df.withColumn("_rank", rank).where("_rank > 0").groupBy(*owner, "_rank", F.col(role).alias("from_role")).agg(F.count("*").alias("n_from"))
+    # as many rows an owner as there are roles
+    following = Window.partitionBy(*owner).orderBy("_rank")
+    steps = present.withColumn("to_role", F.lead("from_role").over(following)).withColumn("n_to", F.lead("n_from").over(following)).where("to_role is not null")
+    return steps.select(*owner, "from_role", "to_role", "n_from", "n_to", (F.col("n_from") * F.col("n_to")).alias("n_links"))
 
 
 def merge_catalogue(new: DataFrame, old: DataFrame, key: str) -> DataFrame:

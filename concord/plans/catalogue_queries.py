@@ -44,37 +44,51 @@ def latest_revision(spark, sf_dir):
 
 
 @query("""select c_custkey, o_orderkey, o_orderpriority from orders join customer on o_custkey = c_custkey
- qualify row_number() over (partition by c_custkey order by (o_orderpriority = '1-URGENT') desc, o_orderdate, o_orderkey desc) = 1""")
+ qualify o_orderpriority = '1-URGENT' or (count_if(o_orderpriority = '1-URGENT') over (partition by c_custkey) = 0 and row_number() over (partition by c_custkey order by o_orderdate, o_orderkey desc) = 1)""")
 def contract_group_priority(spark, sf_dir):
-    joined = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    first = F.min_by(F.struct("o_orderkey", "o_orderpriority"), F.struct(F.col("o_orderpriority") != "1-URGENT", "o_orderdate", -F.col("o_orderkey")))
-    return joined.groupBy("c_custkey").agg(first.alias("x")).select("c_custkey", "x.*")
+    """All initial (urgent) orders of a customer; the first one where there is none."""
+    joined = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer").select("c_custkey"), F.col("o_custkey") == F.col("c_custkey"))
+    initial = F.col("o_orderpriority") == "1-URGENT"
+    picked = F.struct("o_orderkey", "o_orderpriority")
+    first = F.min_by(picked, F.struct("o_orderdate", -F.col("o_orderkey")))
+    grouped = joined.groupBy("c_custkey").agg(F.collect_list(F.when(initial, picked)).alias("initials"), first.alias("first"))
+    return grouped.select("c_custkey", F.inline(F.when(F.size("initials") > 0, F.col("initials")).otherwise(F.array("first"))))
 
 
-@query("""with g as (select user_id, list_distinct(list(event_type)) as p, max_by(event_id, (ts, event_id)) filter (event_type = 'purchase') as chosen from events where value > 20 group by user_id)
- select user_id, chosen, array_to_string(list_filter(['view','signup','click','purchase'], lambda r: not list_contains(p, r)), ',') as missing from g""")
-def candidate_chain(spark, sf_dir):
-    grouped = table(spark, sf_dir, "events").where("value > 20").groupBy("user_id").agg(F.collect_set("event_type").alias("p"), F.max_by(F.when(F.col("event_type") == "purchase", F.col("event_id")), F.when(F.col("event_type") == "purchase", F.struct("ts", "event_id"))).alias("chosen"))
-    return grouped.select("user_id", "chosen", rules.missing(F.col("p"), ROLES).alias("missing"))
+#: A user's events of one day are a process: its event types are the roles of its documents.
+_DAY = "strftime(ts, '%Y-%m-%d')"
+
+
+def _processes(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
 
 
-_FIRST_EVENTS = "select user_id, event_type, event_id from events where value > 60 qualify row_number() over (partition by user_id, event_type order by ts, event_id) <= 3"
+@query(f"""with g as (select user_id, {_DAY} as day, list_distinct(list(event_type)) as p, max_by(event_id, (ts, event_id)) filter (event_type = 'purchase') as chosen from events group by all)
+ select user_id, day, chosen, array_to_string(list_filter(['view','signup','click','purchase'], lambda r: not list_contains(p, r)), ',') as missing from g""")
+def candidate_chain(spark, sf_dir):
+    grouped = _processes(spark, sf_dir).groupBy("user_id", "day").agg(F.collect_set("event_type").alias("p"), F.max_by(F.when(F.col("event_type") == "purchase", F.col("event_id")), F.when(F.col("event_type") == "purchase", F.struct("ts", "event_id"))).alias("chosen"))
+    return grouped.select("user_id", "day", "chosen", rules.missing(F.col("p"), ROLES).alias("missing"))
 
 
-@query(f"""with e as ({_FIRST_EVENTS}), r as (select *, {_ROLE_SQL} as k from e where {_ROLE_SQL} > 0), s as (select distinct user_id, k from r),
- n as (select user_id, k, lead(k) over (partition by user_id order by k) as nx from s)
- select a.user_id, a.event_type as from_role, a.event_id as from_id, b.event_type as to_role, b.event_id as to_id from n join r a on a.user_id = n.user_id and a.k = n.k join r b on b.user_id = n.user_id and b.k = n.nx""")
+@query(f"""with r as (select user_id, {_DAY} as day, event_type, {_ROLE_SQL} as k, count(*) as n from events where {_ROLE_SQL} > 0 group by all),
+ s as (select *, lead(event_type) over w as to_role, lead(n) over w as n_to from r window w as (partition by user_id, day order by k))
+ select user_id, day, event_type as from_role, to_role, n as n_from, n_to, n * n_to as n_links from s where to_role is not null""")
 def chain_edges(spark, sf_dir):
-    rank = F.row_number().over(Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id"))
-    events = table(spark, sf_dir, "events").where("value > 60").withColumn("rn", rank).where("rn <= 3")
-    return R.present_pairs(events, "user_id", "event_type", "event_id", ROLES)
+    """An edge for each two neighbouring present roles of a process, with its number of links; ``chain_members`` lists their ends."""
+    return R.role_edges(_processes(spark, sf_dir), ["user_id", "day"], "event_type", ROLES)
+
+
+@query(f"select user_id, {_DAY} as day, event_type as role, event_id from events where {_ROLE_SQL} > 0")
+def chain_members(spark, sf_dir):
+    return _processes(spark, sf_dir).where(F.col("event_type").isin(ROLES)).select("user_id", "day", F.col("event_type").alias("role"), "event_id")
 
 
-@query("""select user_id, count(*)::bigint as n, count(*) = count(distinct event_type) and count(distinct event_type) = 4 as complete, bool_and(value < 200) as usable
- from events where value > 60 and event_type <> 'error' group by user_id""")
+@query(f"""select user_id, {_DAY} as day, count(*)::bigint as n, count(*) = count(distinct event_type) and count(distinct event_type) filter (event_type <> 'error') = 4 and count(*) = 4 as complete, bool_and(value < 200) as usable
+ from events group by all""")
 def complete_chain(spark, sf_dir):
-    events = table(spark, sf_dir, "events").where("value > 60 and event_type <> 'error'")
-    return events.groupBy("user_id").agg(F.count("*").alias("n"), ((F.count("*") == F.count_distinct("event_type")) & (F.count_distinct("event_type") == 4)).alias("complete"), F.bool_and(F.col("value") < 200).alias("usable"))
+    """A chain is complete with exactly one document of each of the four roles and no other; usable with all of them."""
+    roles = F.count_distinct(F.when(F.col("event_type").isin(ROLES), F.col("event_type")))
+    return _processes(spark, sf_dir).groupBy("user_id", "day").agg(F.count("*").alias("n"), ((F.count("*") == 4) & (roles == 4)).alias("complete"), F.bool_and(F.col("value") < 200).alias("usable"))
 
 
 @query("""with new as (select o_orderkey, o_custkey, 'new' as origin from orders where o_orderdate >= timestamp '1998-01-01'),
@@ -128,12 +142,13 @@ def daily_budget(spark, sf_dir):
     return days.select("day", "asked", F.least("asked", F.lit(250)).cast("long").alias("admitted"), (F.col("asked") > 250).alias("blocked"))
 
 
-@query("""select event_id, attempt, (60 * 2 ** (least(attempt, 10) - 1))::bigint as wait_seconds from
+@query("""select event_id, attempt, 60 * pow(2, attempt - 1) as wait_seconds from
  (select event_id, row_number() over (partition by user_id order by ts, event_id)::bigint as attempt from events where event_type = 'error')""")
 def retry_backoff(spark, sf_dir):
+    """The wait doubles with every attempt, without an upper limit."""
     attempt = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")).cast("long")
     errors = table(spark, sf_dir, "events").where("event_type = 'error'").select("event_id", attempt.alias("attempt"))
-    return errors.withColumn("wait_seconds", (60 * F.pow(F.lit(2), F.least("attempt", F.lit(10)) - 1)).cast("long"))
+    return errors.withColumn("wait_seconds", 60 * F.pow(F.lit(2.0), F.col("attempt") - 1))
 
 
 _STATE = {"signup": "pending", "click": "leased", "purchase": "done", "error": "retry", "view": None}
@@ -227,11 +242,12 @@ def rule_contradiction(spark, sf_dir):
     return rules.contradictions(mentions, ["l_orderkey"], "l_returnflag", "at")
 
 
-@query("""with g as (select user_id, list_distinct(list(event_type)) as p from events where value > 30 group by user_id)
- select user_id, array_to_string(list_filter(['view','signup','click','purchase','error'], lambda r: not list_contains(p, r)), ',') as missing from g where len(p) < 5""")
+@query(f"""with g as (select user_id, {_DAY} as day, list_distinct(list(event_type)) as p from events group by all)
+ select user_id, day, array_to_string(list_filter(['view','signup','click','purchase','error'], lambda r: not list_contains(p, r)), ',') as missing from g where len(p) < 5""")
 def rule_mandatory(spark, sf_dir):
-    grouped = table(spark, sf_dir, "events").where("value > 30").groupBy("user_id").agg(F.collect_set("event_type").alias("p"))
-    return grouped.where(F.size("p") < 5).select("user_id", rules.missing(F.col("p"), [*ROLES, "error"]).alias("missing"))
+    """Processes without some role, and the roles they lack in canonical order."""
+    grouped = _processes(spark, sf_dir).groupBy("user_id", "day").agg(F.collect_set("event_type").alias("p"))
+    return grouped.where(F.size("p") < 5).select("user_id", "day", rules.missing(F.col("p"), [*ROLES, "error"]).alias("missing"))
 
 
 @query("select l_partkey, count(*)::bigint as mentions from lineitem where l_partkey not in (select p_partkey from part where p_size > 10) group by l_partkey")
@@ -290,20 +306,20 @@ def integrity_violations(spark, sf_dir):
     return out
 
 
-@query("""select user_id, count_if(event_type = 'view')::bigint as view, count_if(event_type = 'signup')::bigint as signup, count_if(event_type = 'click')::bigint as click, count_if(event_type = 'purchase')::bigint as purchase,
- 4 - count(distinct event_type) filter (event_type <> 'error')::bigint as missing from events where value > 40 group by user_id""")
+@query(f"""select user_id, {_DAY} as day, count_if(event_type = 'view')::bigint as view, count_if(event_type = 'signup')::bigint as signup, count_if(event_type = 'click')::bigint as click, count_if(event_type = 'purchase')::bigint as purchase,
+ 4 - count(distinct event_type) filter (event_type <> 'error')::bigint as missing from events group by all""")
 def coverage_report(spark, sf_dir):
     counts = [F.count_if(F.col("event_type") == r).alias(r) for r in ROLES]
     missing = 4 - F.count_distinct(F.when(F.col("event_type") != "error", F.col("event_type")))
-    return table(spark, sf_dir, "events").where("value > 40").groupBy("user_id").agg(*counts, missing.alias("missing"))
+    return _processes(spark, sf_dir).groupBy("user_id", "day").agg(*counts, missing.alias("missing"))
 
 
-@query("""with u as (select user_id, list_distinct(list(event_type)) as p from events where value > 50 group by user_id)
- select count(*)::bigint as users, count_if(list_contains(p, 'view'))::bigint as with_view, count_if(list_contains(p, 'purchase'))::bigint as with_purchase, count_if(len(p) = 5)::bigint as complete from u""")
+@query(f"""with u as (select user_id, {_DAY} as day, list_distinct(list(event_type)) as p from events group by all)
+ select count(*)::bigint as processes, count_if(list_contains(p, 'view'))::bigint as with_view, count_if(list_contains(p, 'purchase'))::bigint as with_purchase, count_if(len(p) = 5)::bigint as complete from u""")
 def survey_yield(spark, sf_dir):
-    users = table(spark, sf_dir, "events").where("value > 50").groupBy("user_id").agg(F.collect_set("event_type").alias("p"))
+    processes = _processes(spark, sf_dir).groupBy("user_id", "day").agg(F.collect_set("event_type").alias("p"))
     has = lambda r: F.count_if(F.array_contains("p", r))
-    return users.agg(F.count("*").alias("users"), has("view").alias("with_view"), has("purchase").alias("with_purchase"), F.count_if(F.size("p") == 5).alias("complete"))
+    return processes.agg(F.count("*").alias("processes"), has("view").alias("with_view"), has("purchase").alias("with_purchase"), F.count_if(F.size("p") == 5).alias("complete"))
 
 
 @query("""select user_id, round(sum(least(value, 100) * greatest(k, 1)) / sum(greatest(k, 1)), 6) as confidence, case when bool_and(value <= 300) then round(avg(value), 6) end as strict_mean

@@ -47,10 +47,10 @@ def tsv_confidence(spark, sf_dir):
     return pages.select("page", F.when(F.col("any_word"), F.col("words")).otherwise(F.col("all")).alias("x")).select("page", "x.*")
 
 
-@query("""select event_type, min_by(event_id, (coalesce(case when event_id % 3 > 0 then ts + to_days((event_id % 5)::int) end, ts), event_id))::bigint as event_id, count(*)::bigint as n_ready from events where value > 5 group by event_type""")
+@query("""select event_type, min_by(event_id, (coalesce(case when event_id % 3 > 0 then ts + to_days((event_id % 5)::int) end, ts), event_id))::bigint as event_id, count(*)::bigint as n_ready from events group by event_type""")
 def next_ready_task(spark, sf_dir):
     """The task of each kind that is due first: by its next try, else its creation, then its id."""
-    ready = table(spark, sf_dir, "events").where("value > 5").withColumn("due", F.expr("coalesce(case when event_id % 3 > 0 then ts + make_dt_interval(event_id % 5) end, ts)"))
+    ready = table(spark, sf_dir, "events").withColumn("due", F.expr("coalesce(case when event_id % 3 > 0 then ts + make_dt_interval(event_id % 5) end, ts)"))
     return ready.groupBy("event_type").agg(F.min_by("event_id", F.struct("due", "event_id")).cast("long").alias("event_id"), F.count("*").alias("n_ready"))
 
 

@@ -10,8 +10,9 @@ from concord.functions import text as X
 from concord.operators import relational as R
 from concord.plans.registry import query
 from concord.session import fresh_path, table
+from concord.sources import files
 
-_FALSE = "('', '0', 'false', 'inactive', 'inativo', 'nao', 'não')"
+_FALSE = "('0', 'false', 'inactive', 'inativo', 'nao', 'não')"
 
 
 @query(f"select event_id, (json_extract_string(props, '$.k') is null or lower(trim(json_extract_string(props, '$.k'))) not in {_FALSE}) as active from events")
@@ -50,9 +51,14 @@ def stable_keys(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", N.stable_key(["user_id", "event_type"]).alias("key"))
 
 
-@query("""select role, count_if(text is null or trim(text) in ('', '[]', '{}', 'null', '""', '{"items":[]}'))::bigint as n_empty, count(*)::bigint as n from conversations group by role""")
+_PAYLOADS = ["'[]'", "'{\"items\": []}'", "'[[], ' || user_id || ']'", "'{\"items\": [], \"total\": 3}'", "' '", "'{\"x\": \"\"}'", "'{\"total\": 3}'", "'{\"data\": [1], \"page\": 2}'", "'[0, ' || user_id || ']'", "props"]
+
+
+@query("select event_type, count_if(event_id % 10 < 6)::bigint as n_empty, count(*)::bigint as n from events group by event_type")
 def empty_payload(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").groupBy("role").agg(F.count_if(N.is_empty_payload(F.col("text"))).alias("n_empty"), F.count("*").alias("n"))
+    """Answers of every form, the first six of them empty; props hold a number, which is content."""
+    said = F.expr("case event_id % 10 " + " ".join(f"when {k} then {p}" for k, p in enumerate(_PAYLOADS)) + " end")
+    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count_if(N.is_empty_payload(said)).alias("n_empty"), F.count("*").alias("n"))
 
 
 @query("""select page_id, regexp_extract(url, '^[a-z]+') as scheme, regexp_extract(url, '^[a-z]+://([^/?]+)', 1) as host, try_cast(nullif(regexp_extract(url, '/([0-9]+)([?].*)?$', 1), '') as bigint) as number,
@@ -68,11 +74,13 @@ def purchase_link_parse(spark, sf_dir):
     )
 
 
-@query("""select page_id, case when starts_with(lower(html), '<!doctype html') then 'html' when starts_with(lower(html), '<html') then 'html' when starts_with(html, '%PDF') then 'pdf' when starts_with(html, 'PK') then 'zip' else 'bin' end as kind from pages""")
+@query("""select page_id, case when page_id % 5 = 0 then 'pdf' when page_id % 5 = 1 then 'zip' when page_id % 5 = 2 then 'rtf' when page_id % 5 = 3 then 'xyz' else 'bin' end as kind from pages""")
 def magic_sniff(spark, sf_dir):
-    head = F.lower(F.substring("html", 1, 16))
-    starts = lambda s: head.startswith(s)
-    return table(spark, sf_dir, "pages").select("page_id", F.when(starts("<!doctype html") | starts("<html"), "html").when(starts("%pdf"), "pdf").when(starts("pk"), "zip").otherwise("bin").alias("kind"))
+    """Pages behind the first bytes of a format, in their exact case, and with or without a usable file name."""
+    lead = F.element_at(F.array(*map(F.lit, ("%PDF-1.7\n", "PK\x03\x04", "{\\rtf1 ", "%pdf pk {\\RTF ", "pk"))), (F.col("page_id") % 5 + 1).cast("int"))
+    name = F.when(F.col("page_id") % 5 == 4, "name").otherwise("a.b.X-y z!")
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(lead, F.coalesce("html", F.lit(""))).cast("binary").alias("content"), name.alias("name"))
+    return pages.select("page_id", files.kind_of("content", "name").alias("kind"))
 
 
 @query("""select o_orderkey, coalesce(case when o_orderstatus = 'F' then null else nullif(o_orderpriority, '') end, c_mktsegment) as label, year(o_orderdate)::int as year,

@@ -92,11 +92,11 @@ def test_record_functions(spark):
     assert [r.m for r in got] == [24, 18, 7, None, None]
     assert [(r.o.operator, r.o.operand) for r in got] == [(">=", "10"), ("=", "azul"), ("<", "5"), ("=", None), (">", "x")]
     assert [r.v for r in got] == ["1500", "preto", "-0.5", None, "100"]
-    assert [r.a for r in got] == [True, False, True, False, False]
+    assert [r.a for r in got] == [True, False, True, True, False]
     roman = spark.range(0, 18).select(N.roman(F.col("id").cast("int")).alias("r")).collect()
     assert [roman[i].r for i in (0, 1, 4, 15, 16)] == [None, "I", "IV", "XV", None]
-    empty = spark.createDataFrame([(None,), (" {} ",), ("[]",), ("[1]",), ("x",)], "p string").select(N.is_empty_payload(F.col("p")).alias("e")).collect()
-    assert [r.e for r in empty] == [True, True, True, False, False]
+    empty = spark.createDataFrame([(None,), (" {} ",), ("[]",), ("[1]",), ("x",), ('{"a": {}}',), ('{"a": {}, "b": 1}',), ('{"data": null, "b": 1}',), ("[ [ ], 7 ]",), ('["", 7]',), ("0",), ("false",)], "p string").select(N.is_empty_payload(F.col("p")).alias("e")).collect()
+    assert [r.e for r in empty] == [True, True, True, False, False, True, False, True, True, False, False, False]
 
 
 def test_gap_clusters(spark):
