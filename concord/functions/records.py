@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Words that mean an inactive record (fixed values).
@@ -79,3 +79,39 @@ def is_empty_payload(text: Column) -> Column:
     first = F.get(parts, F.lit(0))
     pair = (F.size(parts) == 2) & (first.isNull() | first.isin("[]", "{}"))
     return text.isNull() | F.regexp_replace(plain, r"\s", "").isin("null", "[]", "{}", '""', "") | F.coalesce(only, F.lit(False)) | F.coalesce(pair, F.lit(False))
+
+
+def iso_date(text: Column, strict: bool = False) -> Column:
+    """The date of an ISO date or timestamp; the lenient form also takes a valid date with anything after it."""
+    plain = F.trim(text)
+    whole = plain.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[T ][0-9]{2}(?::[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]+)?)?)?(?:Z|[+-][0-9]{2}:?[0-9]{2})?)?$")
+    day = F.when(plain.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.left(plain, F.lit(10)).try_cast("date"))
+    return F.when(whole, day) if strict else day
+
+
+def overlap_ratio(inner: Column, outer: Column) -> Column:
+    """How much of box ``inner`` lies in ``outer`` (structs of left, top, right, bottom); of a box without area, whether its centre does."""
+    zero = F.lit(0.0)
+    side = lambda low, high: F.greatest(zero, high - low)
+    shared = side(F.greatest(inner["left"], outer["left"]), F.least(inner["right"], outer["right"])) * side(F.greatest(inner["top"], outer["top"]), F.least(inner["bottom"], outer["bottom"]))
+    x, y = (inner["left"] + inner["right"]) / 2, (inner["top"] + inner["bottom"]) / 2
+    centre = x.between(outer["left"], outer["right"]) & y.between(outer["top"], outer["bottom"])
+    area = box_area(inner)
+    return F.when(area == 0, centre.cast("double")).otherwise(shared / F.nullif(area, zero))
+
+
+def box_area(box: Column) -> Column:
+    return F.greatest(F.lit(0.0), box["right"] - box["left"]) * F.greatest(F.lit(0.0), box["bottom"] - box["top"])
+
+
+def filled_from(detail: DataFrame, base: DataFrame, key: str) -> DataFrame:
+    """``detail`` with its null or empty values taken from ``base``'s row of the same key; columns of either."""
+    names = list(dict.fromkeys([*detail.columns, *base.columns]))
+    joined = detail.alias("d").join(base.alias("b"), key, "left")
+
+    def value(c: str) -> Column:
+        sides = [F.col(f"{x}.{c}") for x, df in (("d", detail), ("b", base)) if c in df.columns]
+        blank = F.when(sides[0].cast("string") != "", sides[0])
+        return F.coalesce(blank, *sides[1:], sides[0]).alias(c) if len(sides) > 1 else sides[0].alias(c)
+
+    return joined.select(key, *(value(c) for c in names if c != key))

@@ -66,3 +66,40 @@ def quantity(text: Column) -> Column:
 def sql_fold(text: str) -> str:
     """The same fold as DuckDB SQL."""
     return f"translate(lower({text}), '{ACCENTED}', '{PLAIN}')"
+
+
+def clean_spaces(text: Column) -> Column:
+    """Runs of white space as one blank, none at the ends."""
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
+
+
+def money_field(text: Column) -> Column:
+    """The amount that remains of a whole field without all but digits and separators, by the rule of ``money``; no negative one."""
+    return money(F.regexp_replace(text, "[^0-9.,]", ""))
+
+
+def quantity_field(text: Column) -> Column:
+    """The number that remains of a whole field: dots before three digits are thousands, with both separators the comma is decimal; only positive values."""
+    run = F.regexp_replace(text, "[^0-9.,]", "")
+    thousands = run.rlike(r"^[0-9]{1,3}(\.[0-9]{3})+$") | (F.contains(run, F.lit(",")) & F.contains(run, F.lit(".")))
+    value = F.replace(F.when(thousands, F.replace(run, F.lit("."), F.lit(""))).otherwise(run), F.lit(","), F.lit(".")).try_cast("decimal(20,3)")
+    return F.when(value > 0, value)
+
+
+#: Numbers written out, folded (fixed values).
+WRITTEN_OUT = {
+    "um": 1, "uma": 1, "dois": 2, "duas": 2, "tres": 3, "quatro": 4, "cinco": 5, "seis": 6, "sete": 7, "oito": 8, "nove": 9, "dez": 10,
+    "quinze": 15, "vinte": 20, "trinta": 30, "quarenta": 40, "sessenta": 60, "noventa": 90, "cento e vinte": 120,
+}
+
+
+def written_number(text: Column) -> Column:
+    """A number in digits or written out; null if it is neither."""
+    folded = fold_spaces(text)
+    words = F.create_map(*(F.lit(x) for kv in WRITTEN_OUT.items() for x in kv))
+    return F.when(folded.rlike("^[0-9]+$"), folded.try_cast("int")).otherwise(F.try_element_at(words, folded))
+
+
+def section_title(text: Column) -> Column:
+    """A heading, folded, without its number or its label and number in front."""
+    return F.trim(F.regexp_replace(fold_spaces(text), r"^(?:(?:item|secao|capitulo) [0-9ivxlcdm]+(?:\.[0-9ivxlcdm]+)*|[0-9]+(?:\.[0-9]+)*)\s*[-–—:.]*\s*", ""))
