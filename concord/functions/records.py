@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,3 +115,28 @@ def filled_from(detail: DataFrame, base: DataFrame, key: str) -> DataFrame:
         return F.coalesce(blank, *sides[1:], sides[0]).alias(c) if len(sides) > 1 else sides[0].alias(c)
 
     return joined.select(key, *(value(c) for c in names if c != key))
+
+
+#: Names of supply units, in capitals without signs (fixed values).
+UNITS = {
+    "UNIDADE": ["UN", "UND", "UNID", "UNIDADE", "UNIDADES"],
+    "PECA": ["PC", "PCA", "PECA", "PECAS", "PÇ", "PÇA"],
+    "CAIXA": ["CX", "CXA", "CAIXA", "CAIXAS"],
+    "PACOTE": ["PCT", "PCTE", "PACOTE", "PACOTES"],
+    "QUILOGRAMA": ["KG", "KILO", "QUILOGRAMA"],
+    "LITRO": ["L", "LT", "LITRO", "LITROS"],
+    "METRO": ["M", "MT", "METRO"],
+    "METRO_QUADRADO": ["M2"],
+    "METRO_CUBICO": ["M3"],
+    "ROLO": ["RL", "ROLO"],
+    "PAR": ["PAR", "PARES"],
+    "CONJUNTO": ["CJ", "CONJUNTO"],
+    "EMBALAGEM": ["EMB", "EMBALAGEM"],
+}
+
+
+def canonical_unit(text: Column, units: Mapping[str, Sequence[str]] = UNITS) -> Column:
+    """A unit's one name: in capitals, without signs, by the table of names; unknown ones stay; null and empty ones are null."""
+    plain = F.regexp_replace(F.upper(F.trim(text)), r"(?U)\W", "")
+    names = F.create_map(*(F.lit(x) for name, said in units.items() for alias in said for x in (alias, name)))
+    return F.when(F.trim(text) != "", F.coalesce(F.try_element_at(names, plain), plain))

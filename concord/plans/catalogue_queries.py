@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from concord.functions import records as N
 from concord.operators import relational as R
 from concord.operators import rules
 from concord.plans.registry import query
@@ -178,46 +179,156 @@ _PAIRED = f"""{_SIDES}, a as (select o // 2 as pair_id, * from l where o % 2 = 0
  from matched m join a on a.pair_id = m.pair_id and a.pos = m.left_id join b on b.pair_id = m.pair_id and b.pos = m.right_id)"""
 
 
-def _sides(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+def _sides(spark, sf_dir) -> DataFrame:
+    """Lines of each two neighbouring orders, the items of two documents of a process; repeated lines are numbered in their order."""
     pos = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")).cast("long")
-    rows = table(spark, sf_dir, "lineitem").select(F.floor(F.col("l_orderkey") / 2).alias("pair_id"), "l_orderkey", F.col("l_linenumber").alias("number"), pos.alias("pos"), "l_quantity", "l_returnflag", "l_extendedprice", "l_tax", "l_discount").withColumn("item_id", F.col("pos"))
-    return rows.where("l_orderkey % 2 = 0"), rows.where("l_orderkey % 2 = 1")
+    side = (F.col("l_orderkey") % 2).cast("int")
+    return table(spark, sf_dir, "lineitem").select(F.floor(F.col("l_orderkey") / 2).alias("pair_id"), side.alias("side"), F.col("l_linenumber").alias("number"), pos.alias("pos"), pos.alias("item_id"), "l_quantity", "l_returnflag", "l_extendedprice", "l_tax", "l_discount")
 
 
 @query(f"{_PAIRED} select pair_id::bigint as pair_id, left_id::bigint as left_id, right_id::bigint as right_id, stage from matched")
 def item_matching(spark, sf_dir):
-    return rules.match_items(*_sides(spark, sf_dir))
+    return rules.match_sides(_sides(spark, sf_dir)).select("pair_id", F.col("left.item_id").alias("left_id"), F.col("right.item_id").alias("right_id"), "stage")
 
 
-def _compared(spark, sf_dir) -> DataFrame:
-    left, right = _sides(spark, sf_dir)
-    names = {"l_quantity": "q", "l_returnflag": "u", "l_extendedprice": "p", "l_tax": "t", "l_discount": "d"}
-    side = lambda df, s, own: df.select("pair_id", F.col("pos").alias(own), *(F.col(c).alias(n + s) for c, n in names.items()))
-    return rules.match_items(left, right).join(side(left, "a", "left_id"), ["pair_id", "left_id"]).join(side(right, "b", "right_id"), ["pair_id", "right_id"])
+#: What a flag's unit is called on either side.
+_CALLED = {"A": ("Und.", "unidades"), "N": ("cx", "Caixa"), "R": ("PÇ", "kg")}
+_UNIT_NAMES = {"Und.": "UNIDADE", "unidades": "UNIDADE", "cx": "CAIXA", "Caixa": "CAIXA", "PÇ": "PECA", "kg": "QUILOGRAMA"}
 
 
-def _bilateral(name: str, rule: str, a: str, b: str, sql_a: str, sql_b: str) -> None:
-    def run(spark, sf_dir):
-        pairs = _compared(spark, sf_dir).withColumn("x", F.expr(a)).withColumn("y", F.expr(b))
-        return rules.differing(pairs, "x", "y", rule, ["pair_id", "left_id", "right_id"])
+def _unit_said(side: int, flag: str) -> str:
+    return f"case {flag} " + " ".join(f"when '{f}' then '{names[side]}'" for f, names in _CALLED.items()) + " end"
 
-    run.__name__ = name
-    query(f"{_PAIRED} select '{rule}' as rule_id, pair_id::bigint as pair_id, left_id::bigint as left_id, right_id::bigint as right_id, ({sql_a})::varchar as left_value, ({sql_b})::varchar as right_value from sides where ({sql_a}) <> ({sql_b})")(run)
 
+def _unit_sql(side: int, flag: str) -> str:
+    return f"case {flag} " + " ".join(f"when '{f}' then '{_UNIT_NAMES[names[side]]}'" for f, names in _CALLED.items()) + " end"
 
-_bilateral("const_quantity", "CONST-001", "int(qa)", "int(qb)", "qa::int", "qb::int")
-_bilateral("const_unit", "CONST-002", "case ua when 'N' then 'A' else ua end", "case ub when 'N' then 'A' else ub end", "case ua when 'N' then 'A' else ua end", "case ub when 'N' then 'A' else ub end")
-_bilateral("const_deadline", "CONST-003", "cast(round(ta * 100) as int)", "cast(round(tb * 100) as int)", "round(ta * 100)::int", "round(tb * 100)::int")
-_bilateral("const_warranty", "CONST-004", "12 * cast(round(da * 100) as int)", "12 * cast(round(db * 100) as int)", "12 * round(da * 100)::int", "12 * round(db * 100)::int")
-_bilateral("const_budget", "CONST-005", "cast(pa as decimal(18,2))", "cast(pb as decimal(18,2))", "pa::decimal(18,2)", "pb::decimal(18,2)")
-_bilateral("const_spec", "CONST-006", "lower(trim(ua))", "lower(trim(ub))", "lower(trim(ua))", "lower(trim(ub))")
+
+_ITEM_RULES = {
+    "const_quantity": ("CONST-001", "quantity", "qa", "qb"),
+    "const_unit": ("CONST-002", "unit", _unit_sql(0, "ua"), _unit_sql(1, "ub")),
+    "item_total": ("CONST-005", "item_total", "pa::decimal(18,2)", "pb::decimal(18,2)"),
+    "item_unit": ("CONST-005", "item_unit", "round(pa * 100)::bigint // qa::bigint", "round(pb * 100)::bigint // qb::bigint"),
+}
+
+
+def _item_comparisons() -> dict[str, rules.Comparison]:
+    unit = lambda x: N.canonical_unit(x["unit"])
+    price = lambda x: x["l_extendedprice"].cast("decimal(18,2)")
+    each = lambda x: F.floor(F.try_divide(F.round(x["l_extendedprice"] * 100), x["l_quantity"].cast("int")))
+    values = {"const_quantity": lambda x: x["l_quantity"], "const_unit": unit, "item_total": price, "item_unit": each}
+    return {name: (_ITEM_RULES[name][0], _ITEM_RULES[name][1], "HIGH", f) for name, f in values.items()}
+
+
+def _matched(spark, sf_dir) -> DataFrame:
+    said = F.when(F.col("side") == 0, F.expr(_unit_said(0, "l_returnflag"))).otherwise(F.expr(_unit_said(1, "l_returnflag")))
+    found = rules.match_sides(_sides(spark, sf_dir).withColumn("unit", said))
+    return found.withColumn("left_id", F.col("left.item_id")).withColumn("right_id", F.col("right.item_id"))
+
+
+_FINDING = ["rule_id", "level", "severity", "pair_id", "left_id", "right_id", "left_value", "right_value", "left_pos", "right_pos"]
+
+
+def _item_sql(name: str) -> str:
+    rule, level, a, b = _ITEM_RULES[name]
+    return f"select '{rule}' as rule_id, '{level}' as level, 'HIGH' as severity, pair_id::bigint as pair_id, left_id::bigint as left_id, right_id::bigint as right_id, ({a})::varchar as left_value, ({b})::varchar as right_value, left_id::bigint as left_pos, right_id::bigint as right_pos from sides where ({a}) <> ({b})"
+
+
+@query(f"{_PAIRED} {_item_sql('const_quantity')}")
+def const_quantity(spark, sf_dir):
+    return rules.compare(_matched(spark, sf_dir), [_item_comparisons()["const_quantity"]], ["pair_id", "left_id", "right_id"]).select(*_FINDING)
+
+
+@query(f"{_PAIRED} {_item_sql('const_unit')}")
+def const_unit(spark, sf_dir):
+    return rules.compare(_matched(spark, sf_dir), [_item_comparisons()["const_unit"]], ["pair_id", "left_id", "right_id"]).select(*_FINDING)
+
+
+#: A line says its document's deadline (days), warranty and budget; the first lines cannot be read.
+_FIELD_AT = "(l_linenumber, l_partkey, l_suppkey, l_quantity)"
+_FIELDS_SQL = f"""f as (select l_orderkey // 2 as pair_id, l_orderkey % 2 as side, min_by(l_quantity::int, {_FIELD_AT}) filter (l_linenumber > 1) as deadline,
+ min_by(case when l_linenumber % 2 = 0 then 12 else 1 end * round(l_discount * 100)::int, {_FIELD_AT}) filter (l_linenumber > 1) as warranty, min_by(l_extendedprice::decimal(18,2), {_FIELD_AT}) as budget, min(l_linenumber)::bigint as pos from lineitem group by all)"""
+
+
+def _field_sql(rule: str, level: str, name: str) -> str:
+    return f"select '{rule}' as rule_id, '{level}' as level, 'HIGH' as severity, a.pair_id::bigint as pair_id, null::bigint as left_id, null::bigint as right_id, a.{name}::varchar as left_value, b.{name}::varchar as right_value, a.pos as left_pos, b.pos as right_pos from f a join f b on a.pair_id = b.pair_id and a.side = 0 and b.side = 1 where a.{name} <> b.{name}"
+
+
+def _documents_compared(spark, sf_dir, names: list[str]) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select(F.floor(F.col("l_orderkey") / 2).alias("pair_id"), (F.col("l_orderkey") % 2).cast("int").alias("side"), F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity").alias("pos"), "l_quantity", "l_discount", "l_extendedprice")
+    late = F.col("pos.l_linenumber") > 1
+    hundredths = F.round(F.col("l_discount") * 100).cast("int").cast("string")
+    said = [
+        F.struct(F.lit("deadline").alias("field"), F.when(late, F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(" dias"))).otherwise("a definir").alias("value")),
+        F.struct(F.lit("warranty").alias("field"), F.when(late, F.concat(hundredths, F.when(F.col("pos.l_linenumber") % 2 == 0, " Anos").otherwise(" meses"))).otherwise("conforme a lei").alias("value")),
+        F.struct(F.lit("budget").alias("field"), F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("value")),
+    ]
+    fields = lines.select("pair_id", "side", "pos", F.inline(F.array(*said)))
+    read = {"deadline": N.first_number, "warranty": N.months, "budget": lambda v: v.try_cast("decimal(18,2)")}
+    pairs = rules.first_fields(fields, read)
+    for side in ("left", "right"):
+        pairs = pairs.withColumn(side, F.col(side).withField("pos", F.col(f"{side}.pos.l_linenumber").cast("long")))
+    rule = {"deadline": ("CONST-003", "deadline"), "warranty": ("CONST-004", "warranty"), "budget": ("CONST-005", "document")}
+    comparisons = [(*rule[n], "HIGH", lambda x, n=n: x[n]) for n in names]
+    none = F.lit(None).cast("long")
+    return rules.compare(pairs, comparisons, ["pair_id"]).select("rule_id", "level", "severity", "pair_id", none.alias("left_id"), none.alias("right_id"), "left_value", "right_value", "left_pos", "right_pos")
+
+
+@query(f"with {_FIELDS_SQL} {_field_sql('CONST-003', 'deadline', 'deadline')}")
+def const_deadline(spark, sf_dir):
+    return _documents_compared(spark, sf_dir, ["deadline"])
+
+
+@query(f"with {_FIELDS_SQL} {_field_sql('CONST-004', 'warranty', 'warranty')}")
+def const_warranty(spark, sf_dir):
+    return _documents_compared(spark, sf_dir, ["warranty"])
+
+
+_BUDGET_SQL = f"{_field_sql('CONST-005', 'document', 'budget')} union all {_item_sql('item_total')} union all {_item_sql('item_unit')}"
+
+
+@query(f"{_PAIRED}, {_FIELDS_SQL} {_BUDGET_SQL}")
+def const_budget(spark, sf_dir):
+    """Budgets of whole documents, and of items their total prices and their unit prices in whole cents."""
+    comparisons = _item_comparisons()
+    items = rules.compare(_matched(spark, sf_dir), [comparisons["item_total"], comparisons["item_unit"]], ["pair_id", "left_id", "right_id"]).select(*_FINDING)
+    return _documents_compared(spark, sf_dir, ["budget"]).unionByName(items)
+
+
+_ATTRIBUTE = "case l_returnflag when 'A' then 'catmat' else lower(trim(l_returnflag)) end"
+_SPEC_SQL = f"""r as (select l_orderkey // 2 as pair_id, l_orderkey % 2 as side, {_ATTRIBUTE} as attribute, max_by(lower(trim(l_linestatus)) || (l_quantity::int // 10), {_FIELD_AT}) as v, max(l_linenumber)::bigint as pos from lineitem group by all)"""
+_SPEC_SELECT = "select 'CONST-006' as rule_id, attribute as level, case attribute when 'catmat' then 'HIGH' else 'MEDIUM' end as severity, a.pair_id::bigint as pair_id, null::bigint as left_id, null::bigint as right_id, a.v as left_value, b.v as right_value, a.pos as left_pos, b.pos as right_pos from r a join r b using (pair_id, attribute) where a.side = 0 and b.side = 1 and a.v <> b.v"
+
+
+@query(f"with {_SPEC_SQL} {_SPEC_SELECT}")
+def const_spec(spark, sf_dir):
+    """Requirements of equal name (trimmed, lower case), the last one of each side; codes weigh more than other attributes."""
+    said = F.concat(F.lit(" "), F.upper("l_linestatus"), (F.floor(F.col("l_quantity").cast("int") / 10)).cast("string"))
+    attribute = F.lower(F.trim(F.when(F.col("l_returnflag") == "A", " CatMat").otherwise(F.col("l_returnflag"))))
+    at = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    sides = [F.struct(F.max_by(F.when(F.col("l_orderkey") % 2 == n, said), F.when(F.col("l_orderkey") % 2 == n, at)).alias("value"), F.max(F.when(F.col("l_orderkey") % 2 == n, F.col("l_linenumber"))).cast("long").alias("pos")).alias(name) for n, name in enumerate(("left", "right"))]
+    pairs = table(spark, sf_dir, "lineitem").groupBy(F.floor(F.col("l_orderkey") / 2).alias("pair_id"), attribute.alias("attribute")).agg(*sides)
+    severity = F.when(F.col("attribute") == "catmat", "HIGH").otherwise("MEDIUM")
+    found = rules.compare(pairs, [("CONST-006", "", severity, lambda x: F.lower(F.trim(x["value"])))], ["pair_id", "attribute"])
+    none = F.lit(None).cast("long")
+    return found.select("rule_id", F.col("attribute").alias("level"), "severity", "pair_id", none.alias("left_id"), none.alias("right_id"), "left_value", "right_value", "left_pos", "right_pos")
+
+
+@query(f"{_PAIRED}, {_FIELDS_SQL}, {_SPEC_SQL}, u as ({_item_sql('const_quantity')} union all {_item_sql('const_unit')} union all {_field_sql('CONST-003', 'deadline', 'deadline')} union all {_field_sql('CONST-004', 'warranty', 'warranty')} union all {_BUDGET_SQL} union all {_SPEC_SELECT}) select rule_id, level, severity, count(*)::bigint as n, count(distinct pair_id)::bigint as n_pairs from u group by all")
+def consistency_findings(spark, sf_dir):
+    """The union of all bilateral rules' findings, counted; items and document fields are each matched once for all their rules."""
+    items = rules.compare(_matched(spark, sf_dir), list(_item_comparisons().values()), ["pair_id", "left_id", "right_id"]).select(*_FINDING)
+    every = items.unionByName(_documents_compared(spark, sf_dir, ["deadline", "warranty", "budget"])).unionByName(const_spec(spark, sf_dir))
+    return every.groupBy("rule_id", "level", "severity").agg(F.count("*").alias("n"), F.count_distinct("pair_id").alias("n_pairs"))
 
 
 @query(f"""{_PAIRED}, x as (select *, case when (pair_id + left_id) % 3 = 0 then qb * 3 + 7 else qa end as qm, (pair_id + left_id) % 3 = 0 as mutated from sides)
  select stage, count(*)::bigint as n, count_if(mutated)::bigint as n_mutated, count_if(mutated and qm <> qb)::bigint as detected, count_if(not mutated and qm <> qb)::bigint as differing from x group by stage""")
 def mutation_suite(spark, sf_dir):
-    pairs = _compared(spark, sf_dir).withColumn("mutated", (F.col("pair_id") + F.col("left_id")) % 3 == 0).withColumn("qm", F.when(F.col("mutated"), F.col("qb") * 3 + 7).otherwise(F.col("qa")))
-    return pairs.groupBy("stage").agg(F.count("*").alias("n"), F.count_if("mutated").alias("n_mutated"), F.count_if(F.col("mutated") & (F.col("qm") != F.col("qb"))).alias("detected"), F.count_if(~F.col("mutated") & (F.col("qm") != F.col("qb"))).alias("differing"))
+    pairs = _matched(spark, sf_dir).withColumn("mutated", (F.col("pair_id") + F.col("left_id")) % 3 == 0)
+    changed = F.when(F.col("mutated"), F.col("right.l_quantity") * 3 + 7).otherwise(F.col("left.l_quantity"))
+    differs = changed != F.col("right.l_quantity")
+    return pairs.groupBy("stage").agg(F.count("*").alias("n"), F.count_if("mutated").alias("n_mutated"), F.count_if(F.col("mutated") & differs).alias("detected"), F.count_if(~F.col("mutated") & differs).alias("differing"))
 
 
 @query("""with d as (select user_id, event_type, max_by(event_id, (ts, event_id)) as doc from events group by all), p(a, b) as (values ('view', 'signup'), ('signup', 'click'), ('signup', 'purchase'), ('error', 'view'))
