@@ -20,21 +20,23 @@ def _least(edges: DataFrame) -> DataFrame:
     return edges.join(least, "u").withColumn("m", F.least("u", "m"))
 
 
+def _settled(stars: DataFrame) -> bool:
+    """Every node points to one root, and no root points on."""
+    ends = stars.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(stars.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    return ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where("out > 1 or (out > 0 and into > 0)").limit(1).count() == 0
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """edges (a, b), any comparable type, to (node, component): the least node reachable; nodes without edges are not listed."""
     spark, began = edges.sparkSession, mark()
     stars = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "stars")
-    while True:  # ends after a number of rounds that grows with the logarithm of the nodes
+    while not _settled(stars):  # a number of rounds that grows with the logarithm of the nodes
         both = stars.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(stars.select(F.col("b").alias("u"), F.col("a").alias("v")))
         large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         # in ``large`` every row points from the larger to the smaller end
         small = _least(large)
         fresh = small.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(small.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
-        fresh = written(fresh, "stars")
-        changed = fresh.join(stars, ["a", "b"], "left_anti").limit(1).count() or fresh.count() != stars.count()
-        stars = fresh
+        stars = written(fresh, "stars")
         discard_since(spark, began, stars)
-        if not changed:
-            break
     roots = stars.select(F.col("b").alias("node")).distinct()
     return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.withColumn("component", F.col("node")))

@@ -2,9 +2,10 @@
 
 Nodes have keys, one of which similar sets share, and every candidate is confirmed
 on the two whole sets. A key that many nodes share is not turned into all of its
-pairs: its least node is compared with the others and leaves, groups are joined by
-connected components, and a key whose nodes are all in one group is done. Once the
-pairs left over are few, they are all compared. Nothing is capped.
+pairs: a few pivots, its least node and some drawn by a hash, are compared with the
+others and leave, groups are joined by connected components, and a key whose nodes
+are all in one group is done. Each further round has some times more pivots. Once the pairs left over are few, they are all compared.
+Nothing is capped.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from pyspark.sql import functions as F
 from concord.operators.components import connected_components
 from concord.session import written
 
-#: Rounds of one node against the others of its key, before all pairs left are compared.
-STAR_ROUNDS = 20
+#: Pivots of a key in the first round, and how many times more in each further one.
+FIRST_PIVOTS, MORE_PIVOTS = 4, 4
 #: Pairs a node that are compared at once.
-DIRECT = 24
+DIRECT = 4
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
@@ -33,8 +34,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> D
     return pairs.join(side("b"), "b").join(side("a"), "a").where(enough).select("a", "b")
 
 
-def links(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similar: tuple[int, int], star_rounds: int = STAR_ROUNDS, direct: int | None = None) -> DataFrame | None:
-    """Edges (a, b) that connect nodes (node, keys) exactly as all confirmed candidates do; None without candidates.
+def linked_groups(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similar: tuple[int, int], direct: int | None = None) -> DataFrame:
+    """(node, group) of the nodes (node, keys) that share a key: group is the least node that confirmed candidates connect with it.
 
     ``sets_of`` gives (node, shingles) of a table of nodes; up to ``direct`` pairs are compared at once.
     """
@@ -43,29 +44,40 @@ def links(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similar:
     live = written(keyed.join(shared, "key").withColumn("group", F.col("node")), "keys")
     sets = written(sets_of(live.select("node").distinct()), "sets")
     direct = DIRECT * nodes.count() if direct is None else direct
-    edges: DataFrame | None = None
-    for step in range(star_rounds + 1):
+    steps: list[DataFrame] = []  # what each round made of the groups before it
+    pivots = FIRST_PIVOTS
+    while True:
         parts = live.groupBy("key", "group").agg(F.count("*").alias("n"), F.min("node").alias("least"))
-        sized = parts.groupBy("key").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("group", F.struct("n", "group")).alias("big"), F.min("least").alias("pivot"))
-        mixed = written(sized.where("n > most").select("key", "n", "most", "big", "pivot"), "mixed")
+        sized = parts.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("groups"), F.max("n").alias("most"), F.max_by("group", F.struct("n", "group")).alias("big"), F.min("least").alias("first"))
+        mixed = written(sized.where("n > most").select("key", "n", "groups", "most", "big", "first"), "mixed")
         left = mixed.agg(F.sum(F.col("n").cast("double") * (F.col("n") - F.col("most")))).first()[0]
         if not left:
             break
-        rest = live.join(mixed.select("key", "big", "pivot"), "key")
-        last = left <= direct or step == star_rounds
-        if last:
+        rest = live.join(mixed.select("key", "groups", "big", "first"), "key")
+        if left <= direct:
             # two nodes of a key's largest group need no comparison
             x = rest.where(F.col("group") != F.col("big")).select("key", F.col("node").alias("a"), F.col("group").alias("g"))
             y = rest.select("key", F.col("node").alias("b"), F.col("group").alias("h"))
             pairs = x.join(y, "key").where("g <> h").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        else:
-            own = rest.where("node = pivot").select("key", F.col("group").alias("g"))
-            pairs = rest.where("node <> pivot").join(own, "key").where(F.col("group") != F.col("g")).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-        found = written(_confirmed(pairs, sets, similar), "links")
-        edges = found if edges is None else edges.unionByName(found)
-        if last:
+            steps.append(_joined(_confirmed(pairs, sets, similar), live))
             break
-        group = connected_components(edges).select("node", F.col("component").alias("fresh"))
-        moved = rest.where("node <> pivot").select("key", "node").join(group, "node", "left")
-        live = written(moved.select("key", "node", F.coalesce("fresh", "node").alias("group")), "keys")
-    return edges
+        # about ``pivots`` nodes of a key are compared with all of its others, and leave
+        drawn = (F.col("node") == F.col("first")) | (F.pmod(F.xxhash64("key", "node"), F.col("groups")) < pivots - 1)
+        marked = rest.withColumn("pivot", drawn)
+        own = marked.where("pivot").select("key", F.col("node").alias("p"), F.col("group").alias("g"))
+        met = marked.select("key", "node", "group").join(own, "key").where(F.col("group") != F.col("g"))
+        pairs = met.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
+        steps.append(_joined(_confirmed(pairs, sets, similar), live))
+        live = written(marked.where("not pivot").select("key", "node", "group").join(steps[-1], "group", "left").select("key", "node", F.coalesce("fresh", "group").alias("group")), "keys")
+        pivots *= MORE_PIVOTS
+    labels = sets.select("node", F.col("node").alias("group"))
+    for step in steps:
+        labels = labels.join(step, "group", "left").select("node", F.coalesce("fresh", "group").alias("group"))
+    return written(labels, "labels")
+
+
+def _joined(found: DataFrame, live: DataFrame) -> DataFrame:
+    """(group, fresh): the groups that the links (a, b) join, with the least of them."""
+    groups = live.select("node", "group").distinct()
+    edges = found.join(groups.toDF("a", "g"), "a").join(groups.toDF("b", "h"), "b").select(F.col("g").alias("a"), F.col("h").alias("b"))
+    return connected_components(edges).select(F.col("node").alias("group"), F.col("component").alias("fresh"))
