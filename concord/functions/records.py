@@ -140,3 +140,47 @@ def canonical_unit(text: Column, units: Mapping[str, Sequence[str]] = UNITS) ->
     plain = F.regexp_replace(F.upper(F.trim(text)), r"(?U)\W", "")
     names = F.create_map(*(F.lit(x) for name, said in units.items() for alias in said for x in (alias, name)))
     return F.when(F.trim(text) != "", F.coalesce(F.try_element_at(names, plain), plain))
+
+
+#: A control number: owner, sequence and year (fixed value).
+CONTROL_NUMBER = r"^([0-9]{14})-[0-9]+-([0-9]{1,10})/([0-9]{4})$"
+
+
+def named(record: Column, fields: Sequence[str], *names: str) -> Column:
+    """The first filled one of a record's fields of these names; ``fields`` are those it has."""
+    return first_filled(*(record[n].cast("string") for n in names if n in fields), F.lit(None).cast("string"))
+
+
+def contract(record: Column, fields: Sequence[str], purchase: Column) -> Column:
+    """A contract's columns from a record of any of the sources' field names, or the reason that it is none of ``purchase``.
+
+    The tie is the purchase's own control number; owner, year and sequence come from
+    the contract's. Its type is an object (JSON) or a text.
+    """
+    tie = F.trim(named(record, fields, "numeroControlePNCPCompra", "numeroControlePncpCompra", "numero_controle_pncp_compra"))
+    number = F.trim(named(record, fields, "numeroControlePNCP", "numeroControlePncp", "numero_controle_pncp", "numeroContratoPncp"))
+    part = lambda k: F.nullif(F.regexp_extract(number, CONTROL_NUMBER, k), F.lit(""))
+    reason = F.when(tie.isNull(), "no_purchase").when(~tie.eqNullSafe(purchase), "other_purchase").when(~tie.rlike(CONTROL_NUMBER), "bad_purchase").when(number.isNull(), "no_number").when(~number.rlike(CONTROL_NUMBER), "bad_number")
+    kind = named(record, fields, "tipoContrato", "tipoContratoNome", "tipo_contrato_nome")
+    sound = lambda c: F.when(reason.isNull(), c)
+    return F.struct(
+        reason.alias("invalid_reason"),
+        sound(F.coalesce(named(record, fields, "orgaoEntidadeCnpj", "cnpj_orgao"), part(1))).alias("org"),
+        sound(F.coalesce(named(record, fields, "anoContrato", "ano_contrato").try_cast("int"), part(3).try_cast("int"))).alias("year"),
+        sound(F.coalesce(named(record, fields, "sequencialContrato", "sequencial_contrato").try_cast("long"), part(2).try_cast("long"))).alias("seq"),
+        F.coalesce(F.get_json_object(kind, "$.nome"), F.get_json_object(kind, "$.descricao"), kind).alias("kind"),
+        named(record, fields, "nomeRazaoSocialFornecedor", "fornecedor", "fornecedor_nome").alias("supplier"),
+    )
+
+
+def attachment(record: Column, fields: Sequence[str]) -> Column:
+    """An attachment's columns from a record of any of the sources' field names."""
+    return F.struct(
+        named(record, fields, "sequencialDocumento", "sequencial_documento").try_cast("long").alias("seq"),
+        F.coalesce(named(record, fields, "titulo", "nome"), F.lit("")).alias("title"),
+        named(record, fields, "tipoDocumentoId").alias("code"),
+        named(record, fields, "tipoDocumentoNome").alias("kind"),
+        named(record, fields, "url", "uri").alias("url"),
+        named(record, fields, "dataPublicacaoPncp").alias("published"),
+        active(record["statusAtivo"].cast("string") if "statusAtivo" in fields else F.lit(None).cast("string")).alias("active"),
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,3 +67,101 @@ def gap_clusters(df: DataFrame, owner: str, value: str, gap: float) -> DataFrame
     w = Window.partitionBy(owner).orderBy(value)
     starts = df.withColumn("_far", F.when(F.col(value) - F.lag(value).over(w) > gap, 1).otherwise(0))
     return starts.withColumn("cluster", F.sum("_far").over(w).cast("long")).drop("_far")
+
+
+def queue_summary(tasks: DataFrame, owner: Sequence[str], status: str, task: str, done: str = "done", pending: str = "pending", retry: str = "retry") -> DataFrame:
+    """A queue's tasks by state, the ids of those to be tried again, and whether its coverage is incomplete; one row a queue."""
+    is_ = lambda s: F.col(status) == s
+    errors = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(is_(retry), F.col(task)))), lambda t: t.cast("string")), ",")
+    counts = [F.count("*").alias("tasks"), *(F.count_if(is_(s)).alias(n) for n, s in (("done", done), ("pending", pending), ("retry", retry))), errors.alias("errors")]
+    return tasks.groupBy(*owner).agg(*counts).withColumn("incomplete", (F.col("pending") > 0) | (F.col("retry") > 0))
+
+
+def document_chains(documents: DataFrame, roles: Sequence[str]) -> DataFrame:
+    """process, the number of its documents of each role, docs, and sound: all opened with text."""
+    counts = [F.count_if(F.col("role") == r).alias(r) for r in roles]
+    return documents.groupBy("process").agg(*counts, F.count("*").alias("docs"), F.bool_and(F.col("opened") & ~F.col("needs_ocr")).alias("sound"))
+
+
+def _complete(roles: Sequence[str]) -> Column:
+    exact = F.col("docs") == len(roles)
+    for r in roles:
+        exact &= F.col(r) == 1
+    return F.coalesce(exact & F.col("sound"), F.lit(False))
+
+
+def _each(roles: Sequence[str], holds: Callable[[Column], Column]) -> Column:
+    out = F.lit(True)
+    for r in roles:
+        out &= holds(F.col(r))
+    return F.coalesce(out, F.lit(False))
+
+
+def catalogue_statistics(processes: DataFrame, documents: DataFrame, roles: Sequence[str], pair: Sequence[str]) -> DataFrame:
+    """key, value and n: totals (value empty) and histograms of a catalogue.
+
+    processes: process, owner, eligible, category, sphere; documents: process, role,
+    opened, needs_ocr. Empty categories are none; a null sphere counts as "-".
+    """
+    joined = processes.withColumn("category", F.nullif("category", F.lit(""))).join(document_chains(documents, roles), "process", "left")
+    eligible = F.col("eligible")
+    totals = {
+        "processes": F.count("*"),
+        "eligible": F.count_if(eligible),
+        "out_of_scope": F.count_if(~eligible),
+        "owners": F.count_distinct("owner"),
+        "owners_eligible": F.count_distinct(F.when(eligible, F.col("owner"))),
+        "categories": F.count_distinct("category"),
+        "categories_eligible": F.count_distinct(F.when(eligible, F.col("category"))),
+        **{f"with_{r}": F.count_if(F.col(r) > 0) for r in roles},
+        "with_pair": F.count_if(_each(pair, lambda c: c > 0)),
+        "with_pair_eligible": F.count_if(eligible & _each(pair, lambda c: c > 0)),
+        "complete": F.count_if(_complete(roles)),
+    }
+    held = {"documents": F.count("*"), "opened": F.count_if("opened"), "with_text": F.count_if(F.col("opened") & ~F.col("needs_ocr")), "need_ocr": F.count_if("needs_ocr")}
+
+    def rows(df: DataFrame, counts: dict[str, Column]) -> DataFrame:
+        one = df.agg(*(c.alias(k) for k, c in counts.items()))
+        return one.select(F.inline(F.array(*(F.struct(F.lit(k).alias("key"), F.lit("").alias("value"), F.col(k).alias("n")) for k in counts))))
+
+    def histogram(df: DataFrame, key: str, column: Column) -> DataFrame:
+        return df.groupBy(column.alias("value")).agg(F.count("*").alias("n")).select(F.lit(key).alias("key"), "value", "n")
+
+    known = joined.where("category is not null")
+    own = documents.join(processes.where("eligible").select("process"), "process", "left_semi")
+    out = rows(joined, totals).unionByName(rows(documents, held))
+    for part in (histogram(documents, "by_role", F.col("role")), histogram(processes, "by_sphere", F.coalesce("sphere", F.lit("-"))), histogram(known, "by_category", F.col("category")), histogram(known.where("eligible"), "by_category_eligible", F.col("category")), histogram(own, "by_eligible_role", F.col("role"))):
+        out = out.unionByName(part)
+    return out
+
+
+def gate(processes: DataFrame, documents: DataFrame, roles: Sequence[str], pair: Sequence[str], criteria: Sequence[tuple[str, str, str, int | None]]) -> DataFrame:
+    """criterion, required, found and passed over the eligible processes.
+
+    ``criteria``: name, measure, comparison (">=", "<=", "=") and the required number,
+    None for that of the eligible processes. Measures: n_eligible, owners, most (of one
+    owner), categories, spheres, pairs (exactly one of each of ``pair``), sound (all
+    documents usable), related (both of ``pair``), complete (exactly one of each role
+    and usable), others (with documents of other roles).
+    """
+    eligible = processes.where("eligible").join(document_chains(documents, roles), "process", "left")
+    known = sum((F.col(r) for r in roles[1:]), F.col(roles[0]))
+    measures = {
+        "n_eligible": F.count("*"),
+        "owners": F.count_distinct("owner"),
+        "categories": F.count_distinct(F.nullif("category", F.lit(""))),
+        "spheres": F.count_distinct("sphere"),
+        "pairs": F.count_if(_each(pair, lambda c: c == 1)),
+        "sound": F.count_if(F.coalesce("sound", F.lit(False))),
+        "related": F.count_if(_each(pair, lambda c: c > 0)),
+        "complete": F.count_if(_complete(roles)),
+        "others": F.count_if(F.col("docs") > known),
+    }
+    most = eligible.groupBy("owner").agg(F.count("*").alias("k")).agg(F.max("k").alias("most"))
+    one = eligible.agg(*(c.alias(k) for k, c in measures.items())).crossJoin(most)  # one row each
+    compared = {">=": lambda a, b: a >= b, "<=": lambda a, b: a <= b, "=": lambda a, b: a == b}
+    rows = []
+    for name, measure, comparison, number in criteria:
+        required = F.col("n_eligible") if number is None else F.lit(number).cast("long")
+        rows.append(F.struct(F.lit(name).alias("criterion"), required.alias("required"), F.col(measure).alias("found"), compared[comparison](F.col(measure), required).alias("passed")))
+    return one.select(F.inline(F.array(*rows)))
