@@ -162,13 +162,20 @@ class WindowSearch:
         return np.diff(first), runs, items
 
 
-def stretches(benchmark: DataFrame, item_id: str, item_text: str, words: int = WINDOW_WORDS, length: int = STRETCH_WORDS) -> DataFrame:
-    """(item, words, windows, bytes): the lower-cased words of each item, in stretches that hold each of its windows once."""
-    small_batches(benchmark.sparkSession)
+def in_blocks(benchmark: DataFrame, item_id: str, item_text: str, words: int = WINDOW_WORDS, windows: int = BLOCK_WINDOWS, size: int = BLOCK_BYTES) -> DataFrame:
+    """(item, words, block): the lower-cased words of each item, in stretches that hold each of its windows once.
+
+    A block is about as many stretches as hold ``windows`` windows or ``size`` bytes,
+    whichever are fewer, whatever the table's partitions.
+    """
+    spark = benchmark.sparkSession
+    small_batches(spark)
+    length = min(STRETCH_WORDS, windows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filled = 0.0
         for batch in batches:
-            items, found, windows, sizes = [], [], [], []
+            items, found, before, shares = [], [], [], []
             for low, high, raw, bounds in chunked(batch.column(1)):
                 lower, starts, ends, first = find_words(raw, bounds)
                 data = lower.tobytes()
@@ -177,35 +184,20 @@ def stretches(benchmark: DataFrame, item_id: str, item_text: str, words: int = W
                     for at in range(a, max(b - words + 1, a + (b > a)), length):
                         to = min(b, at + length + words - 1)
                         part = b" ".join(data[x:y] for x, y in zip(starts[at:to].tolist(), ends[at:to].tolist(), strict=True))
-                        items.append(batch.column(0)[low + k])
+                        share = max(max(1, to - at - words + 1) / windows, len(part) / size)
+                        items.append(batch.column(0)[low + k].as_py())
                         found.append(part)
-                        windows.append(max(1, to - at - words + 1))
-                        sizes.append(len(part))
-            yield pa.RecordBatch.from_arrays([pa.array([i.as_py() for i in items], pa.string()), pa.array(found, pa.binary()), pa.array(windows, pa.int64()), pa.array(sizes, pa.int64())], ["item", "words", "windows", "bytes"])
+                        before.append(filled)
+                        shares.append(share)
+                        filled += share
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(found, pa.binary()), pa.array(before, pa.float64()), pa.array(shares, pa.float64())], ["item", "words", "before", "share"])
 
     rows = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text")).where("item is not null and text is not null")
-    return rows.mapInArrow(run, "item string, words binary, windows long, bytes long")
-
-
-def in_blocks(found: DataFrame, windows: int = BLOCK_WINDOWS, size: int = BLOCK_BYTES) -> DataFrame:
-    """Stretches with their block; a block ends before it would hold more than its windows or bytes, or one stretch."""
-    held = written(found, "stretches")
-    total, most = held.agg(F.sum("windows"), F.sum("bytes")).first()
-    parts = max(1, -(-int(total or 0) // windows), -(-int(most or 0) // size))
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, w, b = 0, 0, 0
-        for batch in batches:
-            blocks = []
-            for n, m in zip(batch.column("windows").to_pylist(), batch.column("bytes").to_pylist(), strict=True):
-                if w and (w + n > windows or b + m > size):
-                    block, w, b = block + 1, 0, 0
-                w, b = w + n, b + m
-                blocks.append(block)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blocks, pa.int64())], [*batch.schema.names, "block"])
-
-    dealt = held.repartition(parts, "item", F.xxhash64("words")).mapInArrow(number, "item string, words binary, windows long, bytes long, block long")
-    return written(dealt.withColumn("block", F.shiftleft(F.spark_partition_id().cast("long"), 32) + F.col("block")), "blocks")
+    cut = written(rows.mapInArrow(run, "item string, words binary, before double, share double").withColumn("part", F.spark_partition_id()), "stretches")
+    totals = cut.groupBy("part").agg(F.sum("share").alias("share")).orderBy("part").collect()  # a row per partition of the benchmark
+    at = np.cumsum([0.0, *(r["share"] for r in totals)])
+    offsets = spark.createDataFrame([(r["part"], float(x)) for r, x in zip(totals, at, strict=False)], "part int, offset double")
+    return cut.join(F.broadcast(offsets), "part").select("item", "words", F.floor(F.col("offset") + F.col("before")).alias("block"))
 
 
 def windows_of(rows: Iterable[tuple[str, bytes]], words: int = WINDOW_WORDS) -> dict[tuple[bytes, ...], set[str]]:
@@ -247,7 +239,7 @@ def find_passages(documents: DataFrame, benchmark: DataFrame, text: str = "text"
     spark = documents.sparkSession
     small_batches(spark)
     keep = kept(documents, keep, _ADDED)
-    blocks = in_blocks(stretches(benchmark, item_id, item_text, length=min(STRETCH_WORDS, block_windows)), block_windows)
+    blocks = in_blocks(benchmark, item_id, item_text, windows=block_windows)
     numbers = [r["block"] for r in blocks.select("block").distinct().orderBy("block").collect()]  # one for each block
 
     def tables(at: list[int]) -> Iterator:
