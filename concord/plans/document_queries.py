@@ -13,22 +13,26 @@ from concord.session import table
 _POS = "row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_returnflag, l_quantity, l_extendedprice)"
 
 
-@query(f"""with l as (select *, {_POS} as pos, l_orderkey % 3 as kind from lineitem)
+@query(f"""with l as (select *, {_POS} as pos, l_orderkey % 5 as kind from lineitem where l_orderkey % 5 <> 4)
  select l_orderkey::bigint as table_id, 'item-' || lpad(l_linenumber::varchar, 4, '0') || case when row_number() over (partition by l_orderkey, l_linenumber order by pos) > 1
   then '-' || lpad((row_number() over (partition by l_orderkey, l_linenumber order by pos))::varchar, 2, '0') else '' end as item_id,
- 'part ' || l_partkey as description, l_quantity::int::double as quantity, case kind when 0 then l_returnflag else 'UN' end as unit, case when kind <> 1 then l_partkey + 0.5 end::double as unit_price from l""")
+ 'part ' || l_partkey as description, l_quantity::int::double as quantity, case kind when 0 then l_returnflag when 3 then 'CX' else 'UN' end as unit, case when kind <> 1 then l_partkey + 0.5 end::double as unit_price,
+ case when kind = 3 then l_partkey * 2 end::double as total_price, case when kind = 3 then l_suppkey::varchar end as code from l""")
 def table_items(spark, sf_dir):
-    """Each order's lines laid out as a table: with headings in one of two orders and a closing total, or without headings."""
-    lines = table(spark, sf_dir, "lineitem").withColumn("row", F.expr(_POS)).withColumn("kind", F.col("l_orderkey") % 3)
+    """Each order's lines laid out as a table: with headings in one of two orders and a closing total, without headings in four or seven columns, or as a table of risks."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("row", F.expr(_POS)).withColumn("kind", F.col("l_orderkey") % 5)
     item, text, amount, price = F.col("l_linenumber").cast("string"), F.concat(F.lit("part "), "l_partkey"), F.col("l_quantity").cast("int").cast("string"), F.concat(F.col("l_partkey").cast("string"), F.lit(",50"))
-    said = F.when(F.col("kind") == 0, F.array(item, text, F.lower("l_returnflag"), amount, price)).when(F.col("kind") == 1, F.array(item, amount, text)).otherwise(F.array(item, text, amount, price))
-    head = F.when(F.col("kind") == 0, F.array(*map(F.lit, ("Item", "Descrição", "Unid.", "Qtd.", "Valor unitário")))).otherwise(F.array(*map(F.lit, ("LOTE", "Quantidade", "Especificações"))))
+    wide = F.array(item, text, F.col("l_suppkey").cast("string"), F.lit("cx"), amount, price, F.concat(F.lit("R$ "), (F.col("l_partkey") * 2).cast("string"), F.lit(",00")))
+    odd = F.col("l_linenumber") % 2 == 1
+    # an odd line of the second kind has its text in the next column
+    said = F.when(F.col("kind") == 0, F.array(item, text, F.lower("l_returnflag"), amount, price)).when(F.col("kind") == 1, F.array(item, F.when(odd, "").otherwise(text), F.when(odd, text).otherwise(""), amount)).when(F.col("kind") == 3, wide).otherwise(F.array(item, text, amount, price))
+    head = F.when(F.col("kind") == 0, F.array(*map(F.lit, ("Item", "Descrição", "Unid.", "Qtd.", "Valor unitário")))).otherwise(F.array(*map(F.lit, ("#", "Discriminação", "Obs.", "Quantidade"))))
     # the first line of a table also carries its heading and its total
-    total = F.struct(F.lit(1_000_000).alias("row"), F.array(F.lit("Total"), F.lit("9 soma")).alias("said"))
+    total = F.struct(F.lit(1_000_000).alias("row"), F.when(F.col("kind") == 4, F.array(F.lit("Grau do risco"), F.lit("9 alto"))).otherwise(F.array(F.lit("Total"), F.lit("9 soma"))).alias("said"))
     here = F.struct("row", said.alias("said"))
-    rows = F.when((F.col("row") == 1) & (F.col("kind") < 2), F.array(F.struct(F.lit(0).alias("row"), head.alias("said")), here, total)).otherwise(F.array(F.struct((F.col("row") - F.when(F.col("kind") == 2, 1).otherwise(0)).alias("row"), said.alias("said"))))
+    rows = F.when((F.col("row") == 1) & (F.col("kind") < 2), F.array(F.struct(F.lit(0).alias("row"), head.alias("said")), here, total)).when((F.col("row") == 1) & (F.col("kind") == 4), F.array(here, total)).otherwise(F.array(F.struct((F.col("row") - F.when(F.col("kind").isin(2, 3), 1).otherwise(0)).alias("row"), said.alias("said"))))
     cells = lines.select(F.col("l_orderkey").cast("long").alias("table_id"), F.explode(rows).alias("r")).select("table_id", "r.row", F.posexplode("r.said").alias("col", "text"))
-    return tabular_items(cells).select("table_id", "item_id", "description", F.col("quantity").cast("double"), "unit", F.col("unit_price").cast("double"))
+    return tabular_items(cells).select("table_id", "item_id", "description", F.col("quantity").cast("double"), "unit", F.col("unit_price").cast("double"), F.col("total_price").cast("double"), "code")
 
 
 @query("""with w as (select l_orderkey as page, l_linestatus = 'F' as word, case when l_linenumber % 7 = 0 then null else l_quantity::int end as conf from lineitem), u as (select *, bool_or(word) over (partition by page) as any_word from w)

@@ -118,5 +118,5 @@ def test_tabular_items(spark):
     cells = [(t, r, c, x) for t, rows in tables.items() for r, row in enumerate(rows) for c, x in enumerate(row)]
     df = spark.createDataFrame(cells, "table_id long, row int, col int, text string")
     got = sorted((r.table_id, r.item_id, r.description, r.quantity and float(r.quantity), r.unit, r.unit_price and float(r.unit_price)) for r in tabular_items(df).collect())
-    assert got == [(1, "item-0001", "mesa", 1500.0, "UN", None), (1, "item-0001-02", "cadeira", 2.5, "UN", None), (1, "item-0007", "item 7 lamp", None, None, None), (2, "item-0004", "desk", 3.0, "UN", 1234.5)]
+    assert got == [(1, "item-0001", "mesa", 1500.0, "UN", None), (1, "item-0001-02", "cadeira", 2.5, "UN", None), (1, "item-0003", "1", 1.0, "CX", None), (1, "item-0007", "item 7 lamp", None, None, None), (2, "item-0004", "desk", 3.0, "UN", 1234.5), (3, "item-0005", "only", None, None, None)]
     assert tabular_items(df.limit(0)).count() == 0
