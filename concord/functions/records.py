@@ -184,3 +184,8 @@ def attachment(record: Column, fields: Sequence[str]) -> Column:
         named(record, fields, "dataPublicacaoPncp").alias("published"),
         active(record["statusAtivo"].cast("string") if "statusAtivo" in fields else F.lit(None).cast("string")).alias("active"),
     )
+
+
+def in_period(day: Column, first: str, last: str) -> Column:
+    """Whether a date lies in a period, both ends included; an unknown date passes."""
+    return day.isNull() | day.between(F.lit(first).cast("date"), F.lit(last).cast("date"))
