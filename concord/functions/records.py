@@ -189,3 +189,21 @@ def attachment(record: Column, fields: Sequence[str]) -> Column:
 def in_period(day: Column, first: str, last: str) -> Column:
     """Whether a date lies in a period, both ends included; an unknown date passes."""
     return day.isNull() | day.between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+
+
+#: Names of the field that wraps a list of attachments (fixed values).
+ENVELOPES = ["documentos", "Documentos"]
+
+
+def listed_records(payload: Column, record: str) -> Column:
+    """The records (a DDL struct) of an answer that is a JSON list or an object that wraps one; an empty list for any other."""
+    plain = F.trim(payload)
+    bare = F.from_json(F.when(plain.startswith("["), plain), f"array<{record}>")
+    wrapped = [F.from_json(F.when(plain.startswith("{"), F.get_json_object(plain, f"$.{name}")), f"array<{record}>") for name in ENVELOPES]
+    return F.coalesce(bare, *wrapped, F.array().cast(f"array<{record}>"))
+
+
+def portal_url(base: str, kind: str, control_number: Column) -> Column:
+    """base/kind/owner/year/sequence of a control number; null for any other text."""
+    part = lambda k: F.nullif(F.regexp_extract(control_number, CONTROL_NUMBER, k), F.lit(""))
+    return F.concat(F.lit(f"{base}/{kind}/"), part(1), F.lit("/"), part(3), F.lit("/"), part(2).cast("long").cast("string"))

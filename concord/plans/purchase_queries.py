@@ -176,3 +176,18 @@ def stored_files(spark, sf_dir):
     held = files.store(rows.where("first").drop("first"), path)
     # names are compared as numbers in the oracle
     return files.store(rows.where("not first").withColumn("name", F.lpad("name", 12, "0")).drop("first"), more, held).withColumn("name", F.regexp_replace("name", "^0+(?=.)", ""))
+
+
+@query("""select o_orderkey, case when o_orderkey % 4 = 3 then 0 else count(l_partkey) end::bigint as n, case when o_orderkey % 4 = 3 then null else sum(l_partkey) end::bigint as total,
+ 'https://portal/editais/' || lpad(o_orderkey::varchar, 14, '0') || '/2024/' || (o_orderkey % 1000) as url from orders join lineitem on l_orderkey = o_orderkey group by o_orderkey""")
+def attachment_envelopes(spark, sf_dir):
+    """Answers that are a bare list, one wrapped under either name, or something else; and the address of each process."""
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.to_json(F.collect_list(F.struct(F.col("l_partkey").alias("id")))).alias("list"))
+    wrapped = lambda name: F.concat(F.lit(f'{{"total": 9, "{name}": '), "list", F.lit("}"))
+    kind = F.col("o_orderkey") % 4
+    payload = F.when(kind == 0, F.col("list")).when(kind == 1, wrapped("documentos")).when(kind == 2, wrapped("Documentos")).otherwise('{"erro": []}')
+    orders = table(spark, sf_dir, "orders").select("o_orderkey").join(lines, "o_orderkey")
+    read = orders.select("o_orderkey", N.listed_records(payload, "struct<id:bigint>").alias("r"))
+    number = F.concat(F.lpad(F.col("o_orderkey").cast("string"), 14, "0"), F.lit("-1-"), F.lpad((F.col("o_orderkey") % 1000).cast("string"), 6, "0"), F.lit("/2024"))
+    total = F.when(F.size("r") > 0, F.aggregate(F.transform("r", lambda x: x["id"]), F.lit(0).cast("long"), lambda a, x: a + x))
+    return read.select("o_orderkey", F.size("r").cast("long").alias("n"), total.alias("total"), N.portal_url("https://portal", "editais", number).alias("url"))

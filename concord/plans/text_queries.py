@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.functions import text as X
+from concord.operators import document_rules as D
 from concord.operators import reuse, rules
 from concord.plans.registry import query
 from concord.session import table
@@ -96,22 +97,32 @@ def benchmark_containment(spark, sf_dir):
     return reuse.contained_items(table(spark, sf_dir, "benchmark"), _docs(spark, sf_dir))
 
 
-@query("""select conv_id, turn, length(text)::bigint as chars, len(regexp_extract_all(text, '[^ \\t\\n\\r\\f]+'))::bigint as words,
+_CONTROL = "len(regexp_extract_all(text, '[\\x00-\\x08\\x0e-\\x1f]'))"
+
+
+@query(f"""select conv_id, turn, length(text)::bigint as chars, len(regexp_extract_all(text, '[^ \\t\\n\\r\\f]+'))::bigint as words,
  nullif(concat_ws(',', case when length(text) < 40 then 'few_chars' end, case when len(regexp_extract_all(text, '[^ \\t\\n\\r\\f]+')) < 8 then 'few_words' end,
- case when len(regexp_extract_all(text, '[\\x00-\\x08\\x0e-\\x1f]')) >= 8 then 'control' end), '') as reasons from conversations""")
+ case when {_CONTROL} >= 8 and {_CONTROL} > 0.05 * length(text) then 'control' end), '') as reasons from conversations""")
 def page_quality(spark, sf_dir):
+    """Why a text is not enough: few characters or words, or at least eight control characters that are more than a twentieth."""
     words = F.size(F.regexp_extract_all("text", F.lit(r"[^ \t\n\r\f]+"), F.lit(0)))
-    reasons = F.concat_ws(",", F.when(F.length("text") < 40, "few_chars"), F.when(words < 8, "few_words"), F.when(F.regexp_count("text", F.lit(r"[\x00-\x08\x0e-\x1f]")) >= 8, "control"))
+    control = F.regexp_count("text", F.lit(r"[\x00-\x08\x0e-\x1f]"))
+    reasons = F.concat_ws(",", F.when(F.length("text") < 40, "few_chars"), F.when(words < 8, "few_words"), F.when((control >= 8) & (control > 0.05 * F.length("text")), "control"))
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.length("text").cast("long").alias("chars"), words.cast("long").alias("words"), F.nullif(reasons, F.lit("")).alias("reasons"))
 
 
-@query(f"""select l.doc_id, count(*)::bigint as n_lines, count_if(regexp_full_match(trim(l), '[-_.x*# ]*') or contains({X.sql_fold('l')}, 'lorem') or regexp_full_match(trim(l), '\\[[^\\]]*\\]'))::bigint as n_placeholder
- from (select doc_id, unnest(string_split(text, chr(10))) as l from documents) l group by l.doc_id""")
+_LINE_FOLD = f"trim(regexp_replace({X.sql_fold('l')}, '\\s+', ' ', 'g'))"
+_IS_PLACEHOLDER = f"(regexp_replace(l, '[\\s.\\-_–—\\[\\]()<>Xx#*]+', '', 'g') = '' or {_LINE_FOLD} in ({', '.join(f"'{p}'" for p in D.PLACEHOLDERS)}) or regexp_matches({_LINE_FOLD}, '^(?:< ?responsavel ?>|\\[ ?servidor/comissao a indicar ?\\]|\\[ ?preencher ?\\])$'))"
+_MORE_LINES = "case doc_id % 5 when 0 then 'A  Definir' when 1 then '[ Preencher ]' when 2 then 'xx-XX_##' when 3 then 'responsável pela entrega' else '< Responsável >' end"
+
+
+@query(f"""select doc_id, count(*)::bigint as n_lines, count_if({_IS_PLACEHOLDER})::bigint as n_placeholder
+ from (select doc_id, unnest(string_split(text || chr(10) || {_MORE_LINES}, chr(10))) as l from documents) group by doc_id""")
 def placeholder_filter(spark, sf_dir):
-    line = F.col("l")
-    filler = F.trim(line).rlike(r"^[-_.x*# ]*$") | F.contains(X.fold_letters(line), F.lit("lorem")) | F.trim(line).rlike(r"^\[[^\]]*\]$")
-    lines = _docs(spark, sf_dir).select("doc_id", F.explode(F.split("text", "\n")).alias("l"))
-    return lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(filler).alias("n_placeholder"))
+    """Lines that only hold a place, of whole texts with one line more that does or does not."""
+    text = F.concat("text", F.lit("\n"), F.expr(_MORE_LINES))
+    lines = _docs(spark, sf_dir).select("doc_id", F.explode(F.split(text, "\n")).alias("l"))
+    return lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(D.is_placeholder(F.col("l"))).alias("n_placeholder"))
 
 
 @query("""select p_partkey, case when p_size in (1, 2, 3) and regexp_matches(p_name, '(hot|cold)') then 'other' when p_size in (1, 2, 3) then 'notice'
