@@ -24,10 +24,35 @@ def latest(df: DataFrame, keys: Sequence[str], revision: Sequence[str | Column])
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*revision)).alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
-def round_robin(df: DataFrame, owner: str, order: str) -> DataFrame:
-    """turn and first: sorting by both takes one row of each owner in turn, owners by first appearance."""
-    w = Window.partitionBy(owner)
-    return df.withColumn("turn", F.row_number().over(w.orderBy(order))).withColumn("first", F.min(order).over(w))
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, name: str, lagged: tuple[str, str] | None = None) -> DataFrame:
+    """``name``: each row's number within its key, from 1, in ``order``; with ``lagged`` (column, name) also the column's value in the row before.
+
+    ``bucket`` must grow with the order (a day, a range of ids): a key is numbered
+    bucket by bucket and the counts of its earlier buckets are added, so that a key
+    with very many rows is not one task's. Null keys are one key.
+    """
+    rows = df.withColumn("_bucket", bucket)
+    last = [F.max_by(lagged[0], F.struct(*order)).alias("_last")] if lagged else []
+    sizes = rows.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"), *last)
+    earlier = Window.partitionBy(*keys).orderBy("_bucket")
+    before = F.coalesce(F.sum("_n").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select(F.struct(*keys, "_bucket").alias("_key"), before.alias("_before"), *([F.lag("_last").over(earlier).alias("_last")] if lagged else []))
+    own = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    ranked = rows.withColumn("_rank", F.row_number().over(own)).withColumn("_key", F.struct(*keys, "_bucket"))
+    if lagged:
+        ranked = ranked.withColumn("_lag", F.lag(lagged[0]).over(own))
+    joined = ranked.alias("r").join(offsets.alias("o"), F.col("r._key").eqNullSafe(F.col("o._key")))
+    out = [*(F.col(f"r.{c}") for c in df.columns), (F.col("_before") + F.col("_rank")).cast("long").alias(name)]
+    if lagged:
+        out.append(F.when(F.col("_rank") == 1, F.col("o._last")).otherwise(F.col("_lag")).alias(lagged[1]))
+    return joined.select(*out)
+
+
+def round_robin(df: DataFrame, owner: str, order: str, bucket: Column) -> DataFrame:
+    """turn and first: sorting by both takes one row of each owner in turn, owners by first appearance; ``bucket`` as in ``numbered``."""
+    first = df.groupBy(F.col(owner).alias("_owner")).agg(F.min(order).alias("first"))
+    turns = numbered(df, [owner], [order], bucket, "turn")
+    return turns.join(first, F.col(owner).eqNullSafe(F.col("_owner"))).drop("_owner")
 
 
 def reverse_windows(day: Column, end: Column, days: int) -> Column:

@@ -35,7 +35,8 @@ def dedup_keep_first(spark, sf_dir):
 
 @query("""select o_orderkey, o_custkey, row_number() over (partition by o_custkey order by o_orderkey)::bigint as turn, min(o_orderkey) over (partition by o_custkey) as first from orders""")
 def round_robin(spark, sf_dir):
-    return R.round_robin(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_custkey", "o_orderkey").withColumn("turn", F.col("turn").cast("long"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return R.round_robin(orders, "o_custkey", "o_orderkey", F.floor(F.col("o_orderkey") / 100_000))
 
 
 @query("select user_id, event_type, event_id, value from events qualify row_number() over (partition by user_id, event_type order by ts desc, value desc, event_id desc) = 1")
@@ -147,9 +148,9 @@ def daily_budget(spark, sf_dir):
  (select event_id, row_number() over (partition by user_id order by ts, event_id)::bigint as attempt from events where event_type = 'error')""")
 def retry_backoff(spark, sf_dir):
     """The wait doubles with every attempt, without an upper limit."""
-    attempt = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")).cast("long")
-    errors = table(spark, sf_dir, "events").where("event_type = 'error'").select("event_id", attempt.alias("attempt"))
-    return errors.withColumn("wait_seconds", 60 * F.pow(F.lit(2.0), F.col("attempt") - 1))
+    errors = table(spark, sf_dir, "events").where("event_type = 'error'").select("user_id", "event_id", "ts")
+    attempts = R.numbered(errors, ["user_id"], ["ts", "event_id"], F.to_date("ts"), "attempt")
+    return attempts.select("event_id", "attempt", (60 * F.pow(F.lit(2.0), F.col("attempt") - 1)).alias("wait_seconds"))
 
 
 _STATE = {"signup": "pending", "click": "leased", "purchase": "done", "error": "retry", "view": None}
@@ -387,8 +388,9 @@ def review_fold(spark, sf_dir):
 
 @query(f"select event_id, target, action, row_number() over (partition by target order by ts, event_id)::bigint as seq, lag(action) over (partition by target order by ts, event_id) as previous from ({_REVIEWS})")
 def review_audit(spark, sf_dir):
-    w = Window.partitionBy("target").orderBy("ts", "event_id")
-    return _reviews(spark, sf_dir).select("event_id", "target", "action", F.row_number().over(w).cast("long").alias("seq"), F.lag("action").over(w).alias("previous"))
+    """Every event with its number and the action before it; targets are few whatever the events, so days are numbered by themselves."""
+    reviews = _reviews(spark, sf_dir).select("event_id", "target", "action", "ts")
+    return R.numbered(reviews, ["target"], ["ts", "event_id"], F.to_date("ts"), "seq", ("action", "previous")).drop("ts")
 
 
 @query(f"select target, max_by(value, (ts, event_id)) as value from ({_REVIEWS}) group by target having max_by(action, (ts, event_id)) <> 'REJECT'")

@@ -120,3 +120,20 @@ def test_tabular_items(spark):
     got = sorted((r.table_id, r.item_id, r.description, r.quantity and float(r.quantity), r.unit, r.unit_price and float(r.unit_price)) for r in tabular_items(df).collect())
     assert got == [(1, "item-0001", "mesa", 1500.0, "UN", None), (1, "item-0001-02", "cadeira", 2.5, "UN", None), (1, "item-0003", "1", 1.0, "CX", None), (1, "item-0007", "item 7 lamp", None, None, None), (2, "item-0004", "desk", 3.0, "UN", 1234.5), (3, "item-0005", "only", None, None, None)]
     assert tabular_items(df.limit(0)).count() == 0
+
+
+def test_numbers_go_on_over_buckets(spark):
+    from pyspark.sql import functions as F
+
+    from concord.operators.relational import numbered
+
+    rows = [(k % 3 or None, k, f"v{k}") for k in range(40)]
+    df = spark.createDataFrame(rows, "key int, at int, v string")
+    got = numbered(df, ["key"], ["at"], F.floor(F.col("at") / 7), "n", ("v", "before")).collect()
+    want, seen = [], {}
+    for key, at, v in rows:
+        mine = seen.setdefault(key, [])
+        want.append((key, at, v, len(mine) + 1, mine[-1] if mine else None))
+        mine.append(v)
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert numbered(df.limit(0), ["key"], ["at"], F.lit(1), "n").count() == 0
