@@ -1,11 +1,11 @@
-"""Links between similar sets, without all pairs of the sets that share a key.
+"""Groups of similar sets, without all pairs of the sets that share a key.
 
 Nodes have keys, one of which similar sets share, and every candidate is confirmed
 on the two whole sets. A key that many nodes share is not turned into all of its
 pairs: a few pivots, its least node and some drawn by a hash, are compared with the
 others and leave, groups are joined by connected components, and a key whose nodes
-are all in one group is done. Each further round has some times more pivots. Once the pairs left over are few, they are all compared.
-Nothing is capped.
+are all in one group is done. Each further round has some times more pivots. Once
+the pairs to try are few, all are. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from concord.operators.components import connected_components
 from concord.session import written
 
-#: Pivots of a key in the first round, and how many times more in each further one.
-FIRST_PIVOTS, MORE_PIVOTS = 4, 4
-#: Pairs a node that are compared at once.
-DIRECT = 4
+#: How many times more pivots a key has in each round.
+MORE_PIVOTS = 8
+#: Pairs a node that are tried at once; few of them pass the test of what is left.
+DIRECT = 2000
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
@@ -34,41 +34,43 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> D
     return pairs.join(side("b"), "b").join(side("a"), "a").where(enough).select("a", "b")
 
 
-def linked_groups(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similar: tuple[int, int], direct: int | None = None) -> DataFrame:
-    """(node, group) of the nodes (node, keys) that share a key: group is the least node that confirmed candidates connect with it.
+def linked_groups(keyed: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similar: tuple[int, int], direct: int | None = None) -> DataFrame:
+    """(node, group) of the nodes that share a key: group is the least node that links connect with it.
 
-    ``sets_of`` gives (node, shingles) of a table of nodes; up to ``direct`` pairs are compared at once.
+    keyed: key, node, n and left: a node's set of n members is taken in one order for
+    all nodes, its first members are its keys, and left counts those from a key on. So
+    two sets whose first common member is a key have at most the smaller left in
+    common, and a pair that this rules out is none. ``sets_of`` gives (node, shingles)
+    of a table of nodes; up to ``direct`` pairs of nodes and keys are tried at once.
     """
-    keyed = nodes.select(F.explode("keys").alias("key"), "node")
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    live = written(keyed.join(shared, "key").withColumn("group", F.col("node")), "keys")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
+    live = written(keyed.join(shared, "key").select("key", "node", "n", "left", F.col("node").alias("group")), "keys")
     sets = written(sets_of(live.select("node").distinct()), "sets")
-    direct = DIRECT * nodes.count() if direct is None else direct
+    direct = DIRECT * live.agg(F.count_distinct("node")).first()[0] if direct is None else direct
+    up, down = similar
     steps: list[DataFrame] = []  # what each round made of the groups before it
-    pivots = FIRST_PIVOTS
+    pivots = 1
+    side = lambda df, a, g: df.select("key", F.col("node").alias(a), F.col("group").alias(g), F.col("n").alias(f"n{a}"), F.col("left").alias(f"l{a}"))
+    may = (F.col("g") != F.col("h")) & (F.least("la", "lb") * (up + down) >= up * (F.col("na") + F.col("nb")))
     while True:
-        parts = live.groupBy("key", "group").agg(F.count("*").alias("n"), F.min("node").alias("least"))
-        sized = parts.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("groups"), F.max("n").alias("most"), F.max_by("group", F.struct("n", "group")).alias("big"), F.min("least").alias("first"))
-        mixed = written(sized.where("n > most").select("key", "n", "groups", "most", "big", "first"), "mixed")
-        left = mixed.agg(F.sum(F.col("n").cast("double") * (F.col("n") - F.col("most")))).first()[0]
-        if not left:
+        parts = live.groupBy("key", "group").agg(F.count("*").alias("m"), F.min("node").alias("least"))
+        sized = parts.groupBy("key").agg(F.sum("m").alias("m"), F.count("*").alias("groups"), F.max("m").alias("most"), F.max_by("group", F.struct("m", "group")).alias("big"), F.min("least").alias("first"))
+        mixed = written(sized.where("m > most").select("key", "m", "groups", "most", "big", "first"), "mixed")
+        pending = mixed.agg(F.sum(F.col("m").cast("double") * (F.col("m") - F.col("most")))).first()[0]
+        if not pending:
             break
         rest = live.join(mixed.select("key", "groups", "big", "first"), "key")
-        if left <= direct:
-            # two nodes of a key's largest group need no comparison
-            x = rest.where(F.col("group") != F.col("big")).select("key", F.col("node").alias("a"), F.col("group").alias("g"))
-            y = rest.select("key", F.col("node").alias("b"), F.col("group").alias("h"))
-            pairs = x.join(y, "key").where("g <> h").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            steps.append(_joined(_confirmed(pairs, sets, similar), live))
-            break
-        # about ``pivots`` nodes of a key are compared with all of its others, and leave
-        drawn = (F.col("node") == F.col("first")) | (F.pmod(F.xxhash64("key", "node"), F.col("groups")) < pivots - 1)
+        last = pending <= direct
+        # drawn by the node alone, so that a node's keys mostly have the same pivots and make the same pairs
+        drawn = (F.col("node") == F.col("first")) | (F.pmod(F.xxhash64("node"), F.lit(1 << 30)) * F.col("groups") < (pivots - 1) * (1 << 30))
         marked = rest.withColumn("pivot", drawn)
-        own = marked.where("pivot").select("key", F.col("node").alias("p"), F.col("group").alias("g"))
-        met = marked.select("key", "node", "group").join(own, "key").where(F.col("group") != F.col("g"))
-        pairs = met.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
+        # at last all pairs are tried, but for those of a key's largest group
+        one = rest.where(F.col("group") != F.col("big")) if last else marked.where("pivot")
+        pairs = side(one, "a", "g").join(side(rest, "b", "h"), "key").where(may).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         steps.append(_joined(_confirmed(pairs, sets, similar), live))
-        live = written(marked.where("not pivot").select("key", "node", "group").join(steps[-1], "group", "left").select("key", "node", F.coalesce("fresh", "group").alias("group")), "keys")
+        if last:
+            break
+        live = written(marked.where("not pivot").select("key", "node", "n", "left", "group").join(steps[-1], "group", "left").withColumn("group", F.coalesce("fresh", "group")).drop("fresh"), "keys")
         pivots *= MORE_PIVOTS
     labels = sets.select("node", F.col("node").alias("group"))
     for step in steps:
