@@ -90,10 +90,10 @@ def text_runs(column: pa.ChunkedArray | pa.Array, limit: int = CHUNK_BYTES) -> I
         yield [t or "" for t in column.slice(low, high - low).to_pylist()]
 
 
-def find_words(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-cased bytes, starts and ends of words, and each row's first word (n+1 entries)."""
+def find_words(raw: np.ndarray, bounds: np.ndarray, is_word: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes, starts and ends of words, and each row's first word (n+1 entries); ``is_word`` tells for a lower-cased byte whether it is of a word."""
     low = LOWER[raw]
-    inside = IS_WORD[low]
+    inside = is_word[low]
     before = np.zeros(len(low), bool)
     before[1:] = inside[:-1]
     after = np.zeros(len(low), bool)
