@@ -38,13 +38,13 @@ from concord.session import written
 THRESHOLD, LONGEST, FIRST = 100, 5, 2000
 UNKNOWN = "und"
 #: Occurrences that a task summarises at once, and counters that a merge holds besides its capacity.
-MAPPED, PENDING = 1 << 23, 1 << 21
+MAPPED, PENDING = 1 << 22, 1 << 20
 #: Bytes of text whose phrases make about one hash partition.
 PARTITION_BYTES = 64 << 20
 #: Bits of the table of survivors at most (16 MB, which the driver holds and broadcasts).
 TABLE_BITS = 27
 #: Rows of counts that a task of pass two holds before it sends them.
-HELD = 1 << 19
+HELD = 1 << 18
 
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[*b".,;:!?", *range(10, 14)]] = True
@@ -166,7 +166,9 @@ def _summaries(documents: DataFrame, bits: int, part_bits: int) -> DataFrame:
     """(part, mass, items, counts): summaries by partition; the rows with a mass come before those with counters when sorted by ``kind``."""
     shift, inner = np.uint64(64 - bits), np.uint64(bits - part_bits)
 
-    def send(hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def send(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        hashes = np.concatenate(held)
+        held.clear()
         hashes.sort()
         first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
         items, counts = hashes[first], np.diff(np.append(first, len(hashes)))
@@ -187,10 +189,10 @@ def _summaries(documents: DataFrame, bits: int, part_bits: int) -> DataFrame:
                 held.append(h >> shift)
                 n += len(h)
             if n >= MAPPED:
-                yield from send(np.concatenate(held))
-                held, n = [], 0
+                yield from send(held)
+                n = 0
         if n:
-            yield from send(np.concatenate(held))
+            yield from send(held)
 
     return documents.mapInArrow(run, "part int, kind int, mass long, items binary, counts binary")
 
