@@ -10,8 +10,9 @@ the threshold and every phrase that occurs as often as the threshold keeps a
 counter. Hashes whose counter could reach it with the losses added are marked in a
 bit table of a fixed size.
 
-Pass two counts the phrases whose bits are set by their words, not their hashes,
-within tasks first; phrases below the threshold go. Parts of a frequent phrase are
+Pass two counts the phrases whose bits are set by their words, not their hashes:
+tasks send tables of counts by partition, which are merged; phrases below the
+threshold go. Parts of a frequent phrase are
 as frequent, so the table has the counts of every cut's two parts.
 
 Defined results: null texts have no words; a null language is ``und``; rows that
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
@@ -39,11 +41,11 @@ THRESHOLD, LONGEST, FIRST = 100, 5, 2000
 UNKNOWN = "und"
 #: Occurrences that a task summarises at once, and counters that a merge holds besides its capacity.
 MAPPED, PENDING = 1 << 22, 1 << 20
-#: Bytes of text whose phrases make about one hash partition.
-PARTITION_BYTES = 64 << 20
+#: Bytes of text whose phrases make about one hash partition, and leading bits of the hash that partitions take at most.
+PARTITION_BYTES, PART_BITS = 16 << 20, 17
 #: Bits of the table of survivors at most (16 MB, which the driver holds and broadcasts).
 TABLE_BITS = 27
-#: Rows of counts that a task of pass two holds before it sends them.
+#: Rows of counts that a task of pass two holds before it sends them, as tables by partition.
 HELD = 1 << 18
 
 _BREAKS = np.zeros(256, bool)
@@ -231,6 +233,24 @@ def _survivors(summaries: DataFrame, bits: int, part_bits: int, table_bits: int,
     return dealt.mapInArrow(run, "part int, survivors long, marks binary")
 
 
+def _total(parts: list[pa.Table]) -> pa.Table:
+    keys = ["part", "lang", "words", "phrase"]
+    return pa.concat_tables([p.select([*keys, "f"]) for p in parts]).group_by(keys, use_threads=False).aggregate([("f", "sum")]).rename_columns([*keys, "f"])
+
+
+def _sent(counts: pa.Table) -> pa.RecordBatch:
+    """A row for each partition: its counts as a compressed table."""
+    counts = counts.sort_by("part")
+    parts, begins = np.unique(counts["part"].to_numpy(), return_index=True)
+    rows = []
+    for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(counts)], strict=True):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, counts.schema.remove(0), options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(counts.slice(a, b - a).drop_columns(["part"]))
+        rows.append(sink.getvalue().to_pybytes())
+    return pa.RecordBatch.from_arrays([pa.array(parts.astype(np.int32)), pa.array(rows, pa.binary())], ["part", "data"])
+
+
 def phrase_counts(documents: DataFrame, text: str = "text", lang: str = "lang", threshold: int = THRESHOLD) -> DataFrame:
     """(lang, words, phrase, f): all phrases of one to five words that occur ``threshold`` times or more, and words 0 with the number of all words."""
     spark = documents.sparkSession
@@ -240,31 +260,29 @@ def phrase_counts(documents: DataFrame, text: str = "text", lang: str = "lang",
     # hashes so wide that few phrases share one by chance; partitions by bytes, a power of two
     bits = min(62, max(32, int(octets).bit_length() + 10))
     table_bits = min(TABLE_BITS, bits)
-    part_bits = min(table_bits - 3, max(3, int(octets // PARTITION_BYTES).bit_length()))
+    part_bits = min(PART_BITS, max(3, int(octets // PARTITION_BYTES).bit_length()))
     slices = _survivors(_summaries(given, bits, part_bits), bits, part_bits, table_bits, threshold)
     marks = np.zeros(1 << table_bits >> 3, np.uint8)
     width = len(marks) >> part_bits
-    for row in slices.select("part", "marks").toLocalIterator():
+    for row in slices.select("part", "marks").collect():
         marks[row["part"] * width : (row["part"] + 1) * width] = np.frombuffer(zstandard.decompress(row["marks"]), np.uint8)
     table = spark.sparkContext.broadcast(zstandard.compress(marks.tobytes(), 1))
     shift = np.uint64(64 - table_bits)
 
-    def total(parts: list[pa.Table]) -> pa.Table:
-        return pa.concat_tables(parts).group_by(["lang", "words", "phrase"], use_threads=False).aggregate([("f", "sum")]).rename_columns(["lang", "words", "phrase", "f"])
-
     def counted(phrases: Phrases, names: list[str], codes: np.ndarray, marked: np.ndarray) -> Iterator[pa.Table]:
         text_of, at_of = phrases.joined()
         ids = phrases.word_ids()
         everywhere = np.bincount(codes[phrases.row], minlength=len(names))
         present = np.flatnonzero(everywhere)
-        yield pa.table({"lang": pa.array([names[i] for i in present], pa.string()), "words": pa.array(np.zeros(len(present), np.int32)), "phrase": pa.array([""] * len(present), pa.string()), "f": pa.array(everywhere[present])})
+        yield pa.table({"part": pa.array(np.zeros(len(present), np.int32)), "lang": pa.array([names[i] for i in present], pa.string()), "words": pa.array(np.zeros(len(present), np.int32)), "phrase": pa.array([""] * len(present), pa.string()), "f": pa.array(everywhere[present])})
         group = codes[phrases.row].astype(np.int64)  # of phrases that are equal in language and all words so far
         alive = np.ones(len(ids), bool)
         width = int(ids.max()) + 1 if len(ids) else 1
         for n, at, h in phrases.hashes():
             slot = (h >> shift).astype(np.int64)
             # what begins with a rare phrase is rare
-            at = at[alive[at] & ((marked[slot >> 3] >> (slot & 7).astype(np.uint8) & 1) > 0)]
+            stay = alive[at] & ((marked[slot >> 3] >> (slot & 7).astype(np.uint8) & 1) > 0)
+            at, slot = at[stay], slot[stay]
             alive = np.zeros(len(ids), bool)
             if not len(at):
                 return
@@ -277,7 +295,7 @@ def phrase_counts(documents: DataFrame, text: str = "text", lang: str = "lang",
             offsets = np.concatenate([[0], np.cumsum(high - low)]).astype(np.int64)
             phrase = pa.Array.from_buffers(pa.large_string(), len(rep), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(flat)]).cast(pa.string())
             langs = pa.DictionaryArray.from_arrays(pa.array(codes[phrases.row[rep]].astype(np.int32)), pa.array(names, pa.string())).cast(pa.string())
-            yield pa.table({"lang": langs, "words": pa.array(np.full(len(rep), n, np.int32)), "phrase": phrase, "f": pa.array(f.astype(np.int64))})
+            yield pa.table({"part": pa.array((slot[first] >> (table_bits - part_bits)).astype(np.int32)), "lang": langs, "words": pa.array(np.full(len(rep), n, np.int32)), "phrase": phrase, "f": pa.array(f.astype(np.int64))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked = np.frombuffer(zstandard.decompress(table.value), np.uint8)
@@ -288,16 +306,32 @@ def phrase_counts(documents: DataFrame, text: str = "text", lang: str = "lang",
                 held.append(part)
                 n += len(part)
             if n - settled >= HELD:
-                held = [total(held)]
+                held = [_total(held)]
                 n = settled = len(held[0])
                 if settled >= HELD:
-                    yield from held[0].to_batches(1 << 16)
+                    yield _sent(held[0])
                     held, n, settled = [], 0, 0
         if held:
-            yield from total(held).to_batches(1 << 16)
+            yield _sent(_total(held))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        n = settled = 0
+        for batch in batches:
+            for part, data in zip(batch.column("part"), batch.column("data"), strict=True):
+                table = pa.ipc.open_stream(data.as_buffer()).read_all()
+                held.append(table.append_column("part", pa.repeat(part, len(table))))
+                n += len(table)
+                if n - settled >= max(HELD, settled):
+                    held = [_total(held)]
+                    n = settled = len(held[0])
+        if held:
+            counts = _total(held)
+            stay = pc.or_(pc.greater_equal(counts["f"], threshold), pc.equal(counts["words"], 0))
+            yield from counts.filter(stay).select(["lang", "words", "phrase", "f"]).to_batches(1 << 16)
 
-    found = given.mapInArrow(run, "lang string, words int, phrase string, f long")
-    return found.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where((F.col("f") >= threshold) | (F.col("words") == 0))
+    parts = given.mapInArrow(run, "part int, data binary")
+    return parts.repartitionById(1 << part_bits, "part").mapInArrow(merge, "lang string, words int, phrase string, f long")
 
 
 def collocations(documents: DataFrame, text: str = "text", lang: str = "lang", threshold: int = THRESHOLD, first: int = FIRST) -> DataFrame:
