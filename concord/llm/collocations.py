@@ -243,7 +243,7 @@ def _sent(counts: pa.Table) -> pa.RecordBatch:
     counts = counts.sort_by("part")
     parts, begins = np.unique(counts["part"].to_numpy(), return_index=True)
     rows = []
-    for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(counts)], strict=True):
+    for a, b in zip(begins.tolist(), np.append(begins[1:], len(counts))[: len(begins)].tolist(), strict=True):
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, counts.schema.remove(0), options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
             out.write_table(counts.slice(a, b - a).drop_columns(["part"]))
