@@ -2,21 +2,58 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The fold's letters, one to one (fixed values): offsets are kept.
-ACCENTED = "áàâãäåéèêëíìîïóòôõöúùûüçñýÿ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuucnyy"
+
+
+def _foldings() -> tuple[str, str, dict[str, str]]:
+    """Characters that compatibility decomposition without marks (NFKD) changes: those to be replaced or, at the end, removed; what one becomes; and those that become several.
+
+    Derived from Python's Unicode tables. Hangul syllables, which decompose by
+    arithmetic, stay composed.
+    """
+    one, many, marks = {}, {}, []
+    for c in map(chr, [*range(0x80, 0xAC00), *range(0xD7A4, 0xD800), *range(0xE000, 0x110000)]):
+        if unicodedata.combining(c):
+            marks.append(c)
+            continue
+        bare = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if bare != c:
+            (one if len(bare) == 1 else many)[c] = bare
+    return "".join([*one, *marks]), "".join(one.values()), many
+
+
+_FROM, _TO, _MANY = _foldings()
+#: Those that become several pass as private characters of plane 15, so that one range tells their texts.
+_FIRST = 0xF0000
+_ONE_EACH = "".join(chr(_FIRST + k) for k in range(len(_MANY)))
+_SPREAD = f"[\\x{{{_FIRST:x}}}-\\x{{{_FIRST + len(_MANY):x}}}]"
+_PAIR, _NEXT = "\ue000", "\ue001"
+_MANY_TEXT = _NEXT.join(f"{c}{_PAIR}{bare}" for c, bare in _MANY.items())
 
 
 def fold_letters(text: Column) -> Column:
-    return F.translate(F.lower(text), ACCENTED, PLAIN)
+    """Lower case of the text decomposed by compatibility (NFKD) without its marks: é, e with a mark, ª, ² and ﬁ become e, e, a, 2 and fi."""
+
+    def several(passed: Column) -> Column:
+        table = F.str_to_map(F.lit(_MANY_TEXT), F.lit(_NEXT), F.lit(_PAIR))
+        each = F.transform(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), lambda c: F.when(F.octet_length(c) > 1, F.coalesce(F.try_element_at(table, c), c)).otherwise(c))
+        return F.when(passed.rlike(_SPREAD), F.translate(F.array_join(each, ""), _FROM, _TO)).otherwise(passed)
+
+    decomposed = bound_once(F.translate(text, "".join(_MANY) + _FROM, _ONE_EACH + _TO), several)
+    return F.lower(F.when(F.octet_length(text) == F.length(text), text).otherwise(decomposed))
+
+
+#: White space by Unicode's rule, less what the fold has made a blank.
+_SPACES = r"[\s\x1c-\x1f\x85\u1680\u2028\u2029]+"
 
 
 def fold_spaces(text: Column) -> Column:
     """Folded letters, runs of white space as one blank, no blanks at the ends."""
-    return F.trim(F.regexp_replace(fold_letters(text), r"\s+", " "))
+    return F.trim(F.regexp_replace(fold_letters(text), _SPACES, " "))
 
 
 def fold_alnum(text: Column) -> Column:
@@ -64,8 +101,8 @@ def quantity(text: Column) -> Column:
 
 
 def sql_fold(text: str) -> str:
-    """The same fold as DuckDB SQL."""
-    return f"translate(lower({text}), '{ACCENTED}', '{PLAIN}')"
+    """The fold of texts without compatibility characters as DuckDB SQL."""
+    return f"lower(strip_accents({text}))"
 
 
 def clean_spaces(text: Column) -> Column:

@@ -42,7 +42,7 @@ def _role(heading: Column, headings: Sequence[tuple[str, str]] = HEADINGS) -> Co
             out = F.when(folded.rlike(pattern), F.lit(role)).otherwise(out)
         return out
 
-    return F.when(F.trim(heading) == NUMBER_SIGN, "item").otherwise(X.bound_once(X.fold_alnum(F.replace(heading, F.lit("º"), F.lit("o"))), first))
+    return F.when(F.trim(heading) == NUMBER_SIGN, "item").otherwise(X.bound_once(X.fold_alnum(heading), first))
 
 
 def _by_width(role: str, width: Column) -> Column:
