@@ -26,7 +26,7 @@ MAGIC = [(b"%PDF", "pdf"), (b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1", "doc"), (b"{\\r
 READ = ["docx", "txt"]
 _PART = "word/document.xml"
 _WORD = "http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
-BLOCK = "path string, kind string, pos int, page int, type string, text string, error string"
+BLOCK = "path string, kind string, pos int, page int, type string, text string, table_id int, row int, col int, nested_in string, error string"
 
 
 def kind_of(content: str, name: str) -> Column:
@@ -41,8 +41,12 @@ def kind_of(content: str, name: str) -> Column:
 def scan(spark: SparkSession, path: str) -> DataFrame:
     """path, name, length, content, kind of the files under ``path``; zip files that hold a sound DOCX part are docx."""
     read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    rows = read.select("path", F.substring_index("path", "/", -1).alias("name"), "length", "content")
-    sniffed = rows.withColumn("kind", kind_of("content", "name"))
+    return told(read.select("path", F.substring_index("path", "/", -1).alias("name"), "length", "content"))
+
+
+def told(contents: DataFrame) -> DataFrame:
+    """``contents`` (name, content and any other columns), wherever they were read, with kind."""
+    sniffed = contents.withColumn("kind", kind_of("content", "name"))
     return sniffed.withColumn("kind", F.when(F.col("kind") == "zip", F.when(_is_docx("content"), "docx").otherwise("zip")).otherwise(F.col("kind")))
 
 
@@ -62,53 +66,94 @@ def _is_docx(content: pd.Series) -> pd.Series:
     return content.map(lambda c: c is not None and document_part(c) is not None).astype(bool)
 
 
-def docx_blocks(data: bytes) -> Iterator[tuple[int, str, str]]:
-    """(page, type, text) of the paragraphs and table cells of a document part, in their order.
+class _Docx:
+    """Paragraphs and tables of a document part, by its start and end tags.
 
-    Pages are logical: one ends with the paragraph that holds an explicit break.
+    Tables nest: each has a stack entry with its grid, and its cells are laid out when
+    it ends, in the place where it began. A cell fills as many columns as it spans
+    (gridSpan); one that goes on from the row above (vMerge) is the cell above.
+    Pages are logical: one ends with the body's paragraph that holds an explicit break.
     """
-    page, broken, in_cell, text = 1, False, 0, None
-    found: list[tuple[int, str, str]] = []
 
-    def start(name: str, attributes: dict[str, str]) -> None:
-        nonlocal text, broken, in_cell
+    def __init__(self) -> None:
+        self.found: list[list[tuple]] = []
+        self.page, self.broken, self.tables, self.n = 1, False, [], 0
+        self.text: list[str] | None = None
+        self.in_text = False
+
+    def start(self, name: str, attributes: dict[str, str]) -> None:
         tag = name.removeprefix(_WORD)
-        if tag == "tc":
-            in_cell += 1
+        value = attributes.get(f"{_WORD}val")
+        table = self.tables[-1] if self.tables else None
+        cell = table["cell"] if table else None
+        self.in_text = tag == "t"
+        if tag == "tbl":
+            place: list[tuple] = []
+            self.found.append(place)
+            within = None if cell is None else f"{table['id']}:{table['row']}:{table['col']}"
+            self.tables.append({"id": self.n, "row": -1, "col": 0, "cell": None, "grid": {}, "place": place, "within": within, "page": self.page})
+            self.n += 1
+        elif tag == "tr" and table:
+            table["row"], table["col"] = table["row"] + 1, 0
+        elif tag in ("gridBefore",) and table and cell is None:
+            table["col"] += _number(value, 0)
+        elif tag == "tc" and table:
+            table["cell"] = {"span": 1, "merged": False, "texts": []}
+        elif tag == "gridSpan" and cell is not None:
+            cell["span"] = max(1, _number(value, 1))
+        elif tag == "vMerge" and cell is not None:
+            cell["merged"] = value != "restart"
         elif tag == "p":
-            text = []
-        elif tag in ("tab", "cr") or (tag == "br" and attributes.get(f"{_WORD}type") != "page"):
-            if text is not None:
-                text.append("\t" if tag == "tab" else "\n")
-        elif tag == "lastRenderedPageBreak" or tag == "br":
-            broken = True
-        held[0] = tag == "t"
-
-    def end(name: str) -> None:
-        nonlocal text, page, broken, in_cell
+            self.text = []
+        elif self.text is not None and (tag in ("tab", "cr", "noBreakHyphen") or (tag == "br" and attributes.get(f"{_WORD}type") != "page")):
+            self.text.append({"tab": "\t", "noBreakHyphen": "-"}.get(tag, "\n"))
+        elif tag in ("lastRenderedPageBreak", "br"):
+            self.broken = True
+
+    def end(self, name: str) -> None:
         tag = name.removeprefix(_WORD)
-        held[0] = False
-        if tag == "tc":
-            in_cell -= 1
-        elif tag == "p" and text is not None:
-            found.append((page, "TABLE_CELL" if in_cell else "PARAGRAPH", "".join(text)))
-            text = None
-            if broken and not in_cell:
-                page, broken = page + 1, False
-
-    def characters(data: str) -> None:
-        if held[0] and text is not None:
-            text.append(data)
-
-    held = [False]
-    parser = expat.ParserCreate(namespace_separator="}")
-    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, characters
+        self.in_text = False
+        table = self.tables[-1] if self.tables else None
+        if tag == "p" and self.text is not None:
+            text, self.text = "".join(self.text), None
+            if table is None:
+                self.found.append([(self.page, "PARAGRAPH", text, None, None, None, None)])
+                self.page, self.broken = self.page + self.broken, False
+            elif table["cell"] is not None:
+                table["cell"]["texts"].append(text)
+        elif tag == "tc" and table and table["cell"] is not None:
+            cell, table["cell"] = table["cell"], None
+            above = table["grid"].get((table["row"] - 1, table["col"]))
+            texts = above if cell["merged"] and above is not None else cell["texts"]
+            for _ in range(cell["span"]):
+                table["grid"][table["row"], table["col"]] = texts
+                table["col"] += 1
+        elif tag == "tbl" and table:
+            self.tables.pop()
+            table["place"].extend((table["page"], "TABLE_CELL", "\n".join(texts), table["id"], row, col, table["within"]) for (row, col), texts in sorted(table["grid"].items()))
+
+    def characters(self, data: str) -> None:
+        if self.in_text and self.text is not None:
+            self.text.append(data)
+
+
+def _number(value: str | None, default: int) -> int:
+    return int(value) if value and value.isdecimal() else default
+
+
+def docx_blocks(data: bytes) -> list[tuple]:
+    """(page, type, text, table_id, row, col, nested_in) of the paragraphs and table cells of a document part, in their order.
+
+    Tables are numbered from 0 by their start; nested_in is "table:row:col" of the cell that a nested table stands in.
+    """
+    reader, parser = _Docx(), expat.ParserCreate(namespace_separator="}")
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = reader.start, reader.end, reader.characters
     parser.Parse(data, True)
-    yield from found
+    return [row for rows in reader.found for row in rows]
 
 
 def blocks(files: DataFrame) -> DataFrame:
-    """path, kind, pos, page, type, text, error of ``scan``'s files: a row per block, or one with the error."""
+    """path, kind, pos, page, type, text, table_id, row, col, nested_in, error of ``scan``'s files: a row per paragraph, line or table cell, or one with the error."""
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -116,15 +161,15 @@ def blocks(files: DataFrame) -> DataFrame:
             for path, kind, content in zip(frame["path"], frame["kind"], frame["content"], strict=True):
                 try:
                     if kind == "docx":
-                        found = list(docx_blocks(document_part(content) or b""))
+                        found = docx_blocks(document_part(content) or b"")
                     elif kind == "txt":
-                        found = [(1, "PARAGRAPH", line) for line in bytes(content).decode().splitlines()]
+                        found = [(1, "PARAGRAPH", line, None, None, None, None) for line in bytes(content).decode().splitlines()]
                     else:
                         raise ValueError(f"unsupported format: {kind}")
-                    rows += [(path, kind, k, page, form, text, None) for k, (page, form, text) in enumerate(found)] or [(path, kind, None, None, None, None, "no text")]
+                    rows += [(path, kind, k, *block, None) for k, block in enumerate(found)] or [(path, kind, *[None] * 8, "no text")]
                 except (ValueError, expat.ExpatError) as e:
-                    rows.append((path, kind, None, None, None, None, str(e)))
-            yield pd.DataFrame(rows, columns=[f.split()[0] for f in BLOCK.split(", ")]).astype({"pos": "Int32", "page": "Int32"})
+                    rows.append((path, kind, *[None] * 8, str(e)))
+            yield pd.DataFrame(rows, columns=[f.split()[0] for f in BLOCK.split(", ")]).astype(dict.fromkeys(("pos", "page", "table_id", "row", "col"), "Int32"))
 
     return files.select("path", "kind", "content").mapInPandas(read, BLOCK)
 

@@ -30,8 +30,8 @@ def test_formats_blocks_and_errors(spark, tmp_path):
     assert {r["name"]: r.kind for r in found.collect()} == {"a.docx": "docx", "b.docx": "zip", "c.docx": "zip", "d.docx": "zip", "e.pdf": "pdf", "f.pdf": "pdf", "g": "bin", "h.txt": "txt", "i.txt": "txt", "j.docx": "docx"}
     rows = {}
     for r in files.blocks(found).collect():
-        rows.setdefault(r.path.rsplit("/", 1)[1], []).append((r.pos, r.page, r.type, r.text, r.error))
-    assert sorted(rows["a.docx"]) == [(0, 1, "PARAGRAPH", "Um & dois\ttrês", None), (1, 1, "PARAGRAPH", "quebra", None), (2, 2, "TABLE_CELL", "célula", None), (3, 2, "PARAGRAPH", "", None)]
+        rows.setdefault(r.path.rsplit("/", 1)[1], []).append((r.pos, r.page, r.type, r.text, r.error, r.table_id, r.row, r.col))
+    assert sorted(rows["a.docx"]) == [(0, 1, "PARAGRAPH", "Um & dois\ttrês", None, None, None, None), (1, 1, "PARAGRAPH", "quebra", None, None, None, None), (2, 2, "TABLE_CELL", "célula", None, 0, 0, 0), (3, 2, "PARAGRAPH", "", None, None, None, None)]
     assert sorted(r[3] for r in rows["h.txt"]) == ["fim", "linha é"]
     assert rows["e.pdf"][0][4] == "unsupported format: pdf" and "utf-8" in rows["i.txt"][0][4] and rows["j.docx"][0][4] == "no text"
     assert set(rows) == set(contents)

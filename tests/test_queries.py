@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from concord.plans import catalogue_queries, document_queries, extraction_queries, purchase_queries, record_queries, registry, review_queries, text_queries  # noqa: F401
+from concord.plans import catalogue_queries, document_queries, extraction_queries, layout_queries, purchase_queries, record_queries, registry, review_queries, text_queries  # noqa: F401
 from concord.streaming import leases, resume, upserts  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark labels conversations".split()
