@@ -87,7 +87,8 @@ EPOCH = "1970-01-01T00:00:00Z"
 
 def _instant(text: Column) -> Column:
     """A date or time as an instant; one without an offset is UTC, whatever the session's zone."""
-    plain = F.trim(text)
+    # a time may leave its seconds out
+    plain = F.regexp_replace(F.trim(text), r"([T ][0-9]{2}:[0-9]{2})(?=$|[Zz+-])", "$1:00")
     zoned = plain.rlike(r"(?:[Zz]|[+-][0-9]{2}:?[0-9]{2})$") & F.contains(plain, F.lit(":"))
     return F.when(plain.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.when(zoned, plain).when(F.contains(plain, F.lit(":")), F.concat(plain, F.lit("Z"))).otherwise(F.concat(F.left(plain, F.lit(10)), F.lit("T00:00:00Z")))).try_cast("timestamp")
 
