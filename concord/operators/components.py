@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.session import discard_since, mark, written
+from concord.session import scratch, written
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -28,15 +28,15 @@ def _settled(stars: DataFrame) -> bool:
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """edges (a, b), any comparable type, to (node, component): the least node reachable; nodes without edges are not listed."""
-    spark, began = edges.sparkSession, mark()
-    stars = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "stars")
-    while not _settled(stars):  # a number of rounds that grows with the logarithm of the nodes
-        both = stars.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(stars.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        # in ``large`` every row points from the larger to the smaller end
-        small = _least(large)
-        fresh = small.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(small.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
-        stars = written(fresh, "stars")
-        discard_since(spark, began, stars)
+    with scratch(edges.sparkSession) as folders:
+        stars = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "stars")
+        while not _settled(stars):  # a number of rounds that grows with the logarithm of the nodes
+            both = stars.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(stars.select(F.col("b").alias("u"), F.col("a").alias("v")))
+            large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+            # in ``large`` every row points from the larger to the smaller end
+            small = _least(large)
+            fresh = small.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(small.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
+            stars = written(fresh, "stars")
+            folders.discard(stars)
     roots = stars.select(F.col("b").alias("node")).distinct()
     return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.withColumn("component", F.col("node")))

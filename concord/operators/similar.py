@@ -6,17 +6,22 @@ pairs: a few pivots, its least node and some drawn by a hash, are compared with
 others and leave, groups are joined by connected components, and a key whose nodes
 are all in one group is done. Each further round has some times more pivots. Once the pairs left over are few, they are all compared.
 Nothing is capped.
+
+Nodes may carry their set's size and a bit for the parity of its members in each of
+many cells. Two sets differ in at least as many members as their bits do, which
+bounds what they share from above: only pairs that the bound lets through leave the
+join, and the whole sets are fetched for those alone. No link is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concord.operators.components import connected_components
-from concord.session import written
+from concord.session import Scratch, scratch, written
 
 #: Pivots of a key in the first round, and how many times more in each further one.
 FIRST_PIVOTS, MORE_PIVOTS = 4, 4
@@ -34,12 +39,34 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> D
     return pairs.join(side("b"), "b").join(side("a"), "a").where(enough).select("a", "b")
 
 
-def linked_groups(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similar: tuple[int, int], direct: int | None = None) -> DataFrame:
+def _may_link(similar: tuple[int, int], words: int, a: str = "", b: str = "_") -> Column:
+    """The sketches ``{a}sketch`` and ``{b}sketch`` (size, bits) allow the similarity; true where there are none."""
+    if not words:
+        return F.lit(True)
+    x, y = F.col(f"{a}sketch"), F.col(f"{b}sketch")
+    apart = F.bit_count(F.get(x["bits"], F.lit(0)).bitwiseXOR(F.get(y["bits"], F.lit(0))))
+    for k in range(1, words):
+        apart += F.bit_count(F.get(x["bits"], F.lit(k)).bitwiseXOR(F.get(y["bits"], F.lit(k))))
+    up, down = similar
+    both = x["size"] + y["size"]
+    # what is shared is at most half of what is left of both sizes
+    return (both - apart) * (up + down) >= 2 * up * both
+
+
+def linked_groups(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similar: tuple[int, int], direct: int | None = None, words: int = 0) -> DataFrame:
     """(node, group) of the nodes (node, keys) that share a key: group is the least node that confirmed candidates connect with it.
 
-    ``sets_of`` gives (node, shingles) of a table of nodes; up to ``direct`` pairs are compared at once.
+    ``sets_of`` gives (node, shingles) of a table of nodes; up to ``direct`` pairs are
+    compared at once. With ``words``, nodes have a sketch too: a struct of size and
+    bits, so many longs.
     """
-    keyed = nodes.select(F.explode("keys").alias("key"), "node")
+    with scratch(nodes.sparkSession) as folders:
+        return _linked_groups(nodes, sets_of, similar, direct, words, folders)
+
+
+def _linked_groups(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similar: tuple[int, int], direct: int | None, words: int, folders: Scratch) -> DataFrame:
+    sketch = ["sketch"] if words else []
+    keyed = nodes.select(F.explode("keys").alias("key"), "node", *sketch)
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     live = written(keyed.join(shared, "key").withColumn("group", F.col("node")), "keys")
     sets = written(sets_of(live.select("node").distinct()), "sets")
@@ -56,19 +83,21 @@ def linked_groups(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], s
         rest = live.join(mixed.select("key", "groups", "big", "first"), "key")
         if left <= direct:
             # two nodes of a key's largest group need no comparison
-            x = rest.where(F.col("group") != F.col("big")).select("key", F.col("node").alias("a"), F.col("group").alias("g"))
-            y = rest.select("key", F.col("node").alias("b"), F.col("group").alias("h"))
-            pairs = x.join(y, "key").where("g <> h").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            x = rest.where(F.col("group") != F.col("big")).select("key", F.col("node").alias("a"), F.col("group").alias("g"), *sketch)
+            y = rest.select("key", F.col("node").alias("b"), F.col("group").alias("h"), *(F.col(c).alias(f"_{c}") for c in sketch))
+            pairs = x.join(y, "key").where((F.col("g") != F.col("h")) & _may_link(similar, words)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             steps.append(_joined(_confirmed(pairs, sets, similar), live))
             break
         # about ``pivots`` nodes of a key are compared with all of its others, and leave
         drawn = (F.col("node") == F.col("first")) | (F.pmod(F.xxhash64("key", "node"), F.col("groups")) < pivots - 1)
         marked = rest.withColumn("pivot", drawn)
-        own = marked.where("pivot").select("key", F.col("node").alias("p"), F.col("group").alias("g"))
-        met = marked.select("key", "node", "group").join(own, "key").where(F.col("group") != F.col("g"))
+        own = marked.where("pivot").select("key", F.col("node").alias("p"), F.col("group").alias("g"), *(F.col(c).alias(f"_{c}") for c in sketch))
+        met = marked.select("key", "node", "group", *sketch).join(own, "key").where((F.col("group") != F.col("g")) & _may_link(similar, words))
         pairs = met.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
         steps.append(_joined(_confirmed(pairs, sets, similar), live))
-        live = written(marked.where("not pivot").select("key", "node", "group").join(steps[-1], "group", "left").select("key", "node", F.coalesce("fresh", "group").alias("group")), "keys")
+        # the round's components are written, so nothing reads the keys before them any more
+        before, live = live, written(marked.where("not pivot").select("key", "node", "group", *sketch).join(steps[-1], "group", "left").select("key", "node", F.coalesce("fresh", "group").alias("group"), *sketch), "keys")
+        folders.drop(before, mixed)
         pivots *= MORE_PIVOTS
     labels = sets.select("node", F.col("node").alias("group"))
     for step in steps:

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_FOLDERS: list[str] = []
+#: The folders made within the innermost ``scratch`` of this thread or task; None outside of any.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def build_session(app: str = "concord", cpus: int | str = "*", partitions: int = 8) -> SparkSession:
@@ -49,7 +53,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    _FOLDERS.append(path)
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
     return path
 
 
@@ -63,16 +69,36 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return back
 
 
-def mark() -> int:
-    """A point in time for ``discard_since``."""
-    return len(_FOLDERS)
+class Scratch:
+    """The folders made within a ``with scratch(spark)`` block, by this caller only."""
 
+    def __init__(self, spark: SparkSession, made: list[str]) -> None:
+        self.spark, self.made = spark, made
 
-def discard_since(spark: SparkSession, point: int, *keep: DataFrame) -> None:
-    """Delete the folders made since ``point`` but those of ``keep``, results of ``written``; frames that read the others are of no use any more."""
-    kept = {df.written_to for df in keep}
-    for path in _FOLDERS[point:]:
-        if path not in kept:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-    _FOLDERS[point:] = [path for path in _FOLDERS[point:] if path in kept]
+    def discard(self, *keep: DataFrame) -> None:
+        """Delete the block's folders so far but those of ``keep``, results of ``written``; frames that read the others are of no use any more."""
+        self._delete(set(self.made) - {df.written_to for df in keep})
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Delete the folders of these results of ``written``."""
+        self._delete({df.written_to for df in frames})
+
+    def _delete(self, paths: set[str]) -> None:
+        for path in [p for p in self.made if p in paths]:
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+            self.made.remove(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """A block whose folders can be deleted; those left at its end are the outer block's. Blocks of other threads are apart."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield Scratch(spark, made)
+    finally:
+        _MADE.reset(token)
+        outer = _MADE.get()
+        if outer is not None:
+            outer += made
