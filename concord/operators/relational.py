@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,6 +48,26 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: C
     return joined.select(*out)
 
 
+def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Mapping[str, Column], buckets: Sequence[Column], depth: int = 0) -> DataFrame:
+    """Adds to each row the sums over its key's earlier rows, its own value left out, as longs.
+
+    ``buckets``, from fine to coarse, must each grow with the order and with the one
+    before: rows are summed within the finest, its totals within the next, and so on,
+    so that neither a hot key nor the whole table (no keys) is one task's.
+    """
+    if not buckets:
+        earlier = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.select("*", *(F.coalesce(F.sum(v).over(earlier), F.lit(0)).cast("long").alias(n) for n, v in sums.items()))
+    names = [f"_bucket{depth}_{k}" for k in range(len(buckets))]
+    rows = df.select("*", *(b.alias(n) for n, b in zip(names, buckets, strict=True)))
+    totals = rows.groupBy(*keys, *names).agg(*(F.sum(v).alias(f"_total_{n}") for n, v in sums.items()))
+    before = running_sums(totals, keys, names[:1], {f"_before_{n}": F.col(f"_total_{n}") for n in sums}, [F.col(n) for n in names[1:]], depth + 1)
+    offsets = before.select(F.struct(*keys, names[0]).alias("_key"), *(f"_before_{n}" for n in sums))
+    own = running_sums(rows, [*keys, names[0]], order, {f"_own_{n}": v for n, v in sums.items()}, []).withColumn("_key", F.struct(*keys, names[0]))
+    joined = own.alias("r").join(offsets.alias("o"), F.col("r._key").eqNullSafe(F.col("o._key")))
+    return joined.select(*(F.col(f"r.{c}") for c in df.columns), *((F.col(f"_own_{n}") + F.col(f"_before_{n}")).alias(n) for n in sums))
+
+
 def round_robin(df: DataFrame, owner: str, order: str, bucket: Column) -> DataFrame:
     """turn and first: sorting by both takes one row of each owner in turn, owners by first appearance; ``bucket`` as in ``numbered``."""
     first = df.groupBy(F.col(owner).alias("_owner")).agg(F.min(order).alias("first"))
