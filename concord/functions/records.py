@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -173,6 +173,80 @@ def contract(record: Column, fields: Sequence[str], purchase: Column) -> Column:
     )
 
 
+#: A purchase's plain columns and the names that sources give them, a dot where the value is an object's (fixed values).
+PURCHASE = {
+    "org_name": ["orgaoEntidadeRazaoSocial", "orgao_nome", "orgao", "orgaoEntidade.razaoSocial"],
+    "sphere": ["orgaoEntidadeEsferaId", "esfera", "esfera_id", "orgaoEntidade.esferaId"],
+    "power": ["orgaoEntidadePoderId", "poder", "poder_id", "orgaoEntidade.poderId"],
+    "unit": ["unidadeOrgaoNomeUnidade", "unidade", "unidade_nome", "unidadeOrgao.nomeUnidade"],
+    "state": ["unidadeOrgaoUfSigla", "uf", "unidadeOrgao.ufSigla"],
+    "city": ["unidadeOrgaoMunicipioNome", "municipio", "municipio_nome", "unidadeOrgao.municipioNome"],
+    "title": ["numeroCompra", "title", "titulo"],
+    "mode_id": ["modalidadeId", "modalidadeIdPncp", "modalidade_id", "modalidade_licitacao_id"],
+    "mode": ["modalidadeNome", "modalidade_nome", "modalidade_licitacao_nome"],
+    "instrument_code": ["tipoInstrumentoConvocatorioCodigo", "tipoInstrumentoConvocatorioCodigoPncp", "instrumento_convocatorio_codigo"],
+    "instrument": ["tipoInstrumentoConvocatorioNome", "instrumento_convocatorio"],
+    "basis_code": ["amparoLegalCodigoPncp", "amparo_legal_codigo", "amparoLegal.codigo"],
+    "basis_name": ["amparoLegalNome", "amparo_legal_nome", "amparoLegal.nome"],
+    "basis_text": ["amparoLegalDescricao", "amparo_legal_descricao", "amparoLegal.descricao"],
+    "price_register": ["srp"],
+    "published": ["dataPublicacaoPncp", "data_publicacao_pncp", "createdAt"],
+    "proposals_from": ["dataAberturaPropostaPncp", "dataAberturaProposta"],
+    "proposals_to": ["dataEncerramentoPropostaPncp", "dataEncerramentoProposta"],
+    "situation": ["situacaoCompraNomePncp", "situacaoCompraNome", "situacao"],
+    "has_result": ["existeResultado", "tem_resultado"],
+    "value": ["valorTotalEstimado", "valor_global"],
+    "value_approved": ["valorTotalHomologado", "valor_total_homologado"],
+    "process": ["processo"],
+}
+
+
+def purchase(record: Column, fields: Sequence[str], origin: str, base: str, category: Callable[[Column], Column]) -> Column:
+    """A purchase's 32 columns from a record of any of the sources' field names, and the first reason that it is none.
+
+    ``fields`` are those the record has, an object's with a dot. The first name with a
+    value counts, an empty one too; an object's value stands in where the plain one is
+    empty. Year and sequence must be those of the control number, the date of
+    publication a whole ISO date. Of an invalid record all columns are null.
+    """
+
+    def given(*names: str) -> Column:
+        plain = [record[n].cast("string") for n in names if "." not in n and n in fields]
+        inner = [record[n.split(".")[0]][n.split(".")[1]].cast("string") for n in names if "." in n and n in fields]
+        none = F.lit(None).cast("string")
+        outer = F.coalesce(*plain, none)
+        return F.coalesce(F.nullif(outer, F.lit("")), *inner, none) if inner else outer
+
+    number = F.trim(given("numeroControlePNCP", "numero_controle_pncp"))
+    part = lambda k: F.regexp_extract(number, CONTROL_NUMBER, k)
+    year, own_year = given("anoCompraPncp", "anoCompra", "ano_compra"), part(3).try_cast("int")
+    seq, own_seq = given("sequencialCompraPncp", "sequencialCompra", "sequencial_compra"), part(2).try_cast("long")
+    published, said = given(*PURCHASE["published"]), F.coalesce(given("objetoCompra", "objeto", "description"), F.lit(""))
+    reason = (
+        F.when(number.isNull() | (number == ""), "no_number")
+        .when(~number.rlike(CONTROL_NUMBER), "bad_number")
+        .when(year.isNotNull() & F.trim(year).try_cast("int").isNull(), "bad_year")
+        .when(F.trim(year).try_cast("int") != own_year, "other_year")
+        .when(seq.isNotNull() & F.trim(seq).try_cast("long").isNull(), "bad_seq")
+        .when(F.trim(seq).try_cast("long") != own_seq, "other_seq")
+        .when(published.isNotNull() & iso_date(published, strict=True).isNull(), "bad_date")
+    )
+    place = F.concat(F.lit("/orgaos/"), part(1), F.lit("/compras/"), own_year.cast("string"), F.lit("/"), own_seq.cast("string"))
+    columns = {
+        "control_number": number,
+        "org": first_filled(given("orgaoEntidadeCnpj", "cnpj_orgao", "orgao_cnpj", "orgaoEntidade.cnpj"), part(1)),
+        "year": own_year,
+        "seq": own_seq,
+        "object": said,
+        "category": category(said),
+        **{name: given(*names) for name, names in PURCHASE.items()},
+        "origin": F.lit(origin),
+        "detail_url": F.concat(F.lit(f"{base}/consulta/v1"), place),
+        "files_url": F.concat(F.lit(f"{base}/pncp/v1"), place, F.lit("/arquivos")),
+    }
+    return F.struct(reason.alias("invalid_reason"), *(F.when(reason.isNull(), c).alias(n) for n, c in columns.items()))
+
+
 def attachment(record: Column, fields: Sequence[str]) -> Column:
     """An attachment's columns from a record of any of the sources' field names."""
     return F.struct(

@@ -7,7 +7,7 @@ it is data.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -84,6 +84,37 @@ def in_profile(sphere: Column, basis: Column, mode: Column, goods: Column) -> Co
     return F.coalesce(F.upper(F.trim(sphere)).isin(SPHERES) & law & (mode.cast("string").try_cast("int") == MODE) & goods, F.lit(False))
 
 
+#: Codes of a notice and of the law's article (fixed values).
+NOTICE, ARTICLE = 1, 1
+#: Names of a contract's initial term, and its type's code (fixed values).
+INITIAL_NAMES = ["contrato", "contrato termo inicial", "contrato administrativo", "termo de contrato", "instrumento contratual"]
+INITIAL_CODE = 1
+
+
+def refusal(sphere: Column, instrument: Column, article: Column, basis: Column, mode: Column, said: Column, known: Column, preliminary: bool = False, spheres: Collection[str] = SPHERES) -> Column:
+    """The first reason to refuse a purchase, null for none: sphere, instrument, article, then mode and object, or profile.
+
+    A preliminary look passes what is not known (null or no number, an empty object) but
+    the sphere; the strict one wants all of it. ``known`` as in ``goods_purchase``.
+    ``spheres`` must be a part of the known ones.
+    """
+    wanted = {s.strip().upper() for s in spheres if s.strip()}
+    if not wanted or not wanted <= set(SPHERES):
+        raise ValueError(f"spheres must be some of {SPHERES}")
+    code = lambda c: F.trim(c.cast("string")).try_cast("int")
+    differs = lambda c, v: (code(c) != v) if preliminary else ~code(c).eqNullSafe(F.lit(v))
+    goods = goods_purchase(said, known)
+    reason = F.when(~F.coalesce(F.upper(F.trim(sphere)).isin(*wanted), F.lit(False)), "sphere").when(differs(instrument, NOTICE), "instrument").when(differs(article, ARTICLE), "article")
+    if preliminary:
+        return reason.when(differs(mode, MODE), "mode").when((F.coalesce(said, F.lit("")) != "") & ~goods, "object")
+    return reason.when(~in_profile(sphere, basis, mode, goods), "profile")
+
+
+def initial_contract(code: Column, name: Column) -> Column:
+    """Whether a contract is an initial term, by its type's code or its name."""
+    return F.coalesce(F.trim(code.cast("string")).try_cast("int") == INITIAL_CODE, F.lit(False)) | X.fold_alnum(F.coalesce(name, F.lit(""))).isin(INITIAL_NAMES)
+
+
 def usable(opened: Column, characters: Column, needs_ocr: Column, role: Column, code: Column, title: Column, kind: Column) -> Column:
     """A document that opened with text, and whose title, where it has one, confirms its role."""
     described = (F.trim(F.coalesce(title, F.lit(""))) != "") | code.isNotNull() | F.coalesce(kind != "", F.lit(False))

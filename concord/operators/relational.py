@@ -68,6 +68,14 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums:
     return joined.select(*(F.col(f"r.{c}") for c in df.columns), *((F.col(f"_own_{n}") + F.col(f"_before_{n}")).alias(n) for n in sums))
 
 
+def initial_candidates(contracts: DataFrame, purchase: str, initial: str, order: Sequence[str], bucket: Column) -> DataFrame:
+    """A purchase's initial contracts with their place (from 1) in ``order``; of a purchase without any, its first contract. ``bucket`` as in ``numbered``; rows without a purchase go."""
+    named = contracts.where(F.col(purchase).isNotNull())
+    own = named.where(F.col(initial))
+    rest = named.join(own.select(purchase).distinct(), purchase, "left_anti")
+    return numbered(own, [purchase], order, bucket, "place").unionByName(keep_first(rest, [purchase], order).withColumn("place", F.lit(1).cast("long")))
+
+
 def round_robin(df: DataFrame, owner: str, order: str, bucket: Column) -> DataFrame:
     """turn and first: sorting by both takes one row of each owner in turn, owners by first appearance; ``bucket`` as in ``numbered``."""
     first = df.groupBy(F.col(owner).alias("_owner")).agg(F.min(order).alias("first"))

@@ -191,3 +191,76 @@ def attachment_envelopes(spark, sf_dir):
     number = F.concat(F.lpad(F.col("o_orderkey").cast("string"), 14, "0"), F.lit("-1-"), F.lpad((F.col("o_orderkey") % 1000).cast("string"), 6, "0"), F.lit("/2024"))
     total = F.when(F.size("r") > 0, F.aggregate(F.transform("r", lambda x: x["id"]), F.lit(0).cast("long"), lambda a, x: a + x))
     return read.select("o_orderkey", F.size("r").cast("long").alias("n"), total.alias("total"), N.portal_url("https://portal", "editais", number).alias("url"))
+
+
+_FAULT = "o_orderkey % 13"
+_RECORD_DDL = """numeroControlePNCP string, numero_controle_pncp string, anoCompra string, ano_compra string, sequencialCompra string, sequencial_compra string, objetoCompra string, description string, modalidadeId string, modalidade_licitacao_id string,
+ tipoInstrumentoConvocatorioCodigo string, instrumento_convocatorio_codigo string, amparo_legal_codigo string, amparo_legal_nome string, esfera_id string, orgao_nome string, uf string, dataPublicacaoPncp string, createdAt string, srp string, valorTotalEstimado string, valor_global string, title string,
+ orgaoEntidade struct<cnpj: string, razaoSocial: string, esferaId: string>, unidadeOrgao struct<nomeUnidade: string, ufSigla: string, municipioNome: string>, amparoLegal struct<codigo: string, nome: string, descricao: string>"""
+_SAID = ["Aquisição de mesas", "Prestação de serviços", "Material", ""]
+_BASES = ["LEI 14.133/2021, Art. 28", "Lei 8.666"]
+
+
+def _purchase_records(spark, sf_dir) -> DataFrame:
+    """Orders as JSON records of two sources, one with objects and one flat, with planted faults, read back as purchases."""
+    key, fault = F.col("o_orderkey"), F.expr(_FAULT)
+    text = lambda c: c.cast("string")
+    year, seq = text(F.year("o_orderdate")), text(key % 1000)
+    number = F.when(fault == 1, "12/2024").when(fault != 0, F.concat(F.lit(" "), F.lpad(text(key), 14, "0"), F.lit("-1-"), F.lpad(seq, 6, "0"), F.lit("/"), year))
+    told_year = F.when(fault == 2, "x").when(fault == 3, "1900").when(fault != 7, year)
+    told_seq = F.when(fault == 4, "").when(fault == 5, "7777").when(fault != 7, seq)
+    day = F.when(fault == 6, "2024-13-01").when(fault != 8, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"))
+    said, basis = _pick(_SAID, "o_orderkey"), _pick(_BASES, "o_custkey")
+    sphere, code = F.col("o_orderpriority").substr(1, 1), text(F.when(key % 5 != 0, 1 + F.floor(F.col("o_custkey") / 3) % 2))
+    mode = F.when(F.col("o_custkey") % 4 == 0, "8").when(F.col("o_custkey") % 4 != 3, "6")
+    spheres = F.create_map(*(F.lit(x) for kv in (("1", "F"), ("2", "e"), ("3", "M"), ("4", "X"), ("5", "")) for x in kv))[sphere]
+    nested = F.struct(number.alias("numeroControlePNCP"), told_year.alias("anoCompra"), told_seq.alias("sequencialCompra"), said.alias("objetoCompra"), mode.alias("modalidadeId"), code.alias("tipoInstrumentoConvocatorioCodigo"), day.alias("dataPublicacaoPncp"), F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("valorTotalEstimado"), F.lit("").alias("orgao_nome"),
+        F.struct(F.lit("1").alias("cnpj"), F.col("c_name").alias("razaoSocial"), spheres.alias("esferaId")).alias("orgaoEntidade"), F.struct(F.lit("u").alias("nomeUnidade"), F.lit("SP").alias("ufSigla")).alias("unidadeOrgao"), F.struct(code.alias("codigo"), basis.alias("nome")).alias("amparoLegal"))
+    flat = F.struct(number.alias("numero_controle_pncp"), told_year.alias("ano_compra"), told_seq.alias("sequencial_compra"), said.alias("description"), mode.alias("modalidade_licitacao_id"), code.alias("instrumento_convocatorio_codigo"), day.alias("createdAt"), F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("valor_global"), F.col("c_name").alias("orgao_nome"), spheres.alias("esfera_id"), F.lit("SP").alias("uf"), code.alias("amparo_legal_codigo"), basis.alias("amparo_legal_nome"), F.col("o_orderpriority").alias("title"))
+    joined = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    rows = joined.select("o_orderkey", F.from_json(F.when(key % 2 == 0, F.to_json(nested)).otherwise(F.to_json(flat)), _RECORD_DDL).alias("r"))
+    fields = [f"{f.name}.{g.name}" if f.dataType.typeName() == "struct" else f.name for f in rows.schema["r"].dataType for g in (f.dataType if f.dataType.typeName() == "struct" else [f])]
+    found = N.purchase(F.col("r"), fields, "feed", "https://portal.test/api", lambda c: F.coalesce(C.category(c, _TERMS, "outros"), F.lit("outros")))
+    return rows.select("o_orderkey", found.alias("x")).select("o_orderkey", "x.*")
+
+
+_PURCHASES = f"""select *, {_FAULT} as f, case {_FAULT} when 0 then 'no_number' when 1 then 'bad_number' when 2 then 'bad_year' when 3 then 'other_year' when 4 then 'bad_seq' when 5 then 'other_seq' when 6 then 'bad_date' end as why,
+ {_sql_pick(_SAID, "o_orderkey")} as said, {_sql_pick(_BASES, "o_custkey")} as basis, case when o_orderkey % 5 <> 0 then 1 + (o_custkey // 3) % 2 end::varchar as code, case o_custkey % 4 when 0 then '8' when 3 then null else '6' end as mode,
+ case o_orderpriority[1] when '1' then 'F' when '2' then 'e' when '3' then 'M' when '4' then 'X' when '5' then '' end as sphere, lpad(o_orderkey::varchar, 14, '0') as org, year(o_orderdate)::int as y, (o_orderkey % 1000)::bigint as s, o_orderkey % 2 = 0 as nested
+ from orders join customer on o_custkey = c_custkey"""
+_PLACE = "'/orgaos/' || org || '/compras/' || y || '/' || s"
+_COLUMNS = {
+    "control_number": "org || '-1-' || lpad(s::varchar, 6, '0') || '/' || y", "org": "case when nested then '1' else org end", "year": "y", "seq": "s", "object": "said", "category": "cat", "org_name": "c_name", "sphere": "case when nested then sphere else nullif(sphere, '') end", "power": "null::varchar", "unit": "case when nested then 'u' end", "state": "'SP'", "city": "null::varchar",
+    "title": "case when not nested then o_orderpriority end", "mode_id": "mode", "mode": "null::varchar", "instrument_code": "code", "instrument": "null::varchar", "basis_code": "code", "basis_name": "basis", "basis_text": "null::varchar", "price_register": "null::varchar", "published": "case when f <> 8 then strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') end",
+    "proposals_from": "null::varchar", "proposals_to": "null::varchar", "situation": "null::varchar", "has_result": "null::varchar", "value": "o_totalprice::decimal(18,2)::varchar", "value_approved": "null::varchar", "process": "null::varchar", "origin": "'feed'", "detail_url": f"'https://portal.test/api/consulta/v1' || {_PLACE}", "files_url": f"'https://portal.test/api/pncp/v1' || {_PLACE} || '/arquivos'",
+}
+
+
+@query("select o_orderkey, why as invalid_reason, " + ", ".join(f"case when why is null then {sql} end as {name}" for name, sql in _COLUMNS.items()) + f" from (select *, 'outros' as cat from ({_PURCHASES}))")
+def purchase_records(spark, sf_dir):
+    """All 32 columns of purchases out of two sources' records, or why a record is none."""
+    return _purchase_records(spark, sf_dir)
+
+
+@query(f"""with p as (select *, said = 'Aquisição de mesas' as goods, upper(sphere) in ('F', 'E', 'M') as sphere_ok from ({_PURCHASES}) where why is null)
+ select o_orderkey, case when not sphere_ok then 'sphere' when code <> '1' then 'instrument' when mode <> '6' then 'mode' when said <> '' and not goods then 'object' end as preliminary,
+ case when not sphere_ok then 'sphere' when code is null or code <> '1' then 'instrument' when not (basis = '{_BASES[0]}' and mode is not null and mode = '6' and goods) then 'profile' end as strict from p""")
+def purchase_refusals(spark, sf_dir):
+    """Why purchases are refused at a preliminary look, which passes what is unknown, and at the strict one."""
+    rows = _purchase_records(spark, sf_dir).where("invalid_reason is null")
+    refusal = lambda early: C.refusal(F.col("sphere"), F.col("instrument_code"), F.col("basis_code"), F.col("basis_name"), F.col("mode_id"), F.col("object"), F.lit(False), early)
+    return rows.select("o_orderkey", refusal(True).alias("preliminary"), refusal(False).alias("strict"))
+
+
+_KINDS = ["Contrato (termo inicial)", "Empenho", "TERMO DE CONTRATO", "Termo aditivo", None]
+
+
+@query(f"""with c as (select l_orderkey as purchase, l_suppkey as seq, l_partkey as part, l_shipdate as day, l_linenumber % 7 = 1 or l_suppkey % 5 in (0, 2) as initial from (select distinct l_orderkey, l_suppkey, l_partkey, l_shipdate, l_linenumber from lineitem)),
+ r as (select *, row_number() over (partition by purchase order by initial desc, day, seq desc, part, initial) as place from c)
+ select purchase, seq, part, initial, place::bigint as place from r where initial or place = 1""")
+def initial_contracts(spark, sf_dir):
+    """A purchase's initial contracts in their order, alternatives included; where there is none, the first of its others."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey", "l_shipdate", "l_linenumber").distinct()
+    initial = C.initial_contract(F.col("l_linenumber") % 7, _pick(_KINDS, "l_suppkey"))
+    rows = lines.select(F.col("l_orderkey").alias("purchase"), F.col("l_suppkey").alias("seq"), F.col("l_partkey").alias("part"), F.col("l_shipdate").alias("day"), initial.alias("initial"), (-F.col("l_suppkey")).alias("back"))
+    return R.initial_candidates(rows, "purchase", "initial", ["day", "back", "part"], F.trunc("day", "month")).select("purchase", "seq", "part", "initial", "place")
