@@ -218,10 +218,3 @@ def gate(processes: DataFrame, documents: DataFrame, roles: Sequence[str], pair:
         required = F.col("n_eligible") if number is None else F.lit(number).cast("long")
         rows.append(F.struct(F.lit(name).alias("criterion"), required.alias("required"), F.col(measure).alias("found"), compared[comparison](F.col(measure), required).alias("passed")))
     return one.select(F.inline(F.array(*rows)))
-
-
-def gate_markdown(criteria: DataFrame) -> str:
-    """The gate's criteria, a fixed number of rows, as a Markdown table with the verdict above it."""
-    rows = criteria.collect()
-    lines = [f"**{'PASS' if all(r['passed'] for r in rows) else 'FAIL'}**", "", "| criterion | required | found | passed |", "|-|-|-|-|"]
-    return "\n".join([*lines, *(f"| {r['criterion']} | {r['required']} | {r['found']} | {'yes' if r['passed'] else 'no'} |" for r in rows)])
