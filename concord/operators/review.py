@@ -89,6 +89,16 @@ def recognition_usable(opened: Column, used: Column, text_sha256: Column, versio
     return F.coalesce(opened & used & traced & (characters > 0) & ~F.coalesce(needs_ocr, F.lit(False)), F.lit(False))
 
 
+def inspected_anew(candidates: DataFrame, inspections: DataFrame) -> DataFrame:
+    """``candidates`` (number, ...) but those whose latest inspection (number, status, at) is in a state that needs no other one.
+
+    A later inspection in another state opens the candidate again; a candidate that was
+    never inspected, or whose number is null, stays.
+    """
+    last = inspections.groupBy("number").agg(F.max_by("status", "at").alias("status"))
+    return candidates.join(last.where(F.col("status").isin(REUSABLE)).select("number"), "number", "left_anti")
+
+
 def process_id(control_number: Column) -> Column:
     return F.replace(control_number, F.lit("/"), F.lit("-"))
 

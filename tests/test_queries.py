@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from concord.plans import catalogue_queries, document_queries, extraction_queries, findings_queries, gate_queries, layout_queries, purchase_queries, record_queries, registry, review_queries, text_queries, upkeep_queries  # noqa: F401
+from concord.plans import annotation_queries, catalogue_queries, document_queries, extraction_queries, findings_queries, gate_queries, layout_queries, purchase_queries, record_queries, registry, review_queries, text_queries, upkeep_queries  # noqa: F401
 from concord.streaming import admission, leases, resume, upserts  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark labels conversations".split()
