@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concord.operators.classify import SPHERES
+from concord.session import written
 
 #: Roles of the chain in order, of which the first two are the pair; the current policy; the rule that links a contract (fixed values).
 CHAIN = ["ETP", "TR", "EDITAL", "CONTRATO"]
@@ -118,6 +119,8 @@ def criteria(judged: DataFrame, documents: DataFrame, roles: Sequence[str] = CHA
     if categories < 1:
         raise ValueError("categories must be positive")
     allowed = allowed_spheres(spheres)
+    # read five times below, so that its joins are run once
+    judged = written(judged, "judged")
     is_ = F.col
     sphere = F.coalesce(F.nullif(F.upper(F.trim("sphere")), F.lit("")), F.lit("AUSENTE"))
     supported = is_("supported")
