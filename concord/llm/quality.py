@@ -2,11 +2,13 @@
 
 One pass over the whole texts gives each document's rule statistics (words,
 symbols, repeated lines and repeated five-word windows, and some ratios). An
-isolation forest is grown on the good ones of a bounded sample of the labelled
-documents that pass the base rules; its splits may fall as far outside their
-values as the whole sample spreads, so that short path lengths mark statistics
-that good documents do not have. The threshold is calibrated on labelled rows: the lowest score at
-which no more than CLEAN_LOSS of the good ones (quality 1) would go.
+isolation forest is grown on the good ones (quality 1) of the labelled documents
+that pass the base rules: as the method has it, every tree has its own TREE_ROWS
+rows, drawn from all of them. Its splits may fall as far outside their values as
+all labelled rows spread, so that short path lengths mark statistics that good
+documents do not have. The threshold is the lowest score at which no more than
+CLEAN_LOSS of all good ones would go; its place in the order is found by counting
+the scores by digits, so that no rows are gathered.
 
 Words are runs of other bytes than 0x20 and 0x09-0x0D, which is where
 bytes.split() splits. Defined results: null and empty texts have no words and
@@ -22,7 +24,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.broadcast import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,8 +37,6 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 LEAST_WORDS = 10
 REPEAT_PERCENT = 20
-#: Labelled rows that trees and threshold are fitted on.
-SAMPLE_ROWS = 8000
 TREES, TREE_ROWS = 100, 256
 CLEAN_LOSS = 0.002
 LEAST_LABELLED = 50
@@ -135,14 +136,21 @@ def grow(x: np.ndarray, spread: np.ndarray | None = None, seed: int = 3) -> Isol
     So rows that lie beyond all rows of the sample, also in a feature that is
     constant there, are parted from them early.
     """
-    spread = np.zeros(x.shape[1]) if spread is None else spread
     rng = np.random.default_rng(seed)
     size = min(TREE_ROWS, len(x))
+    return grow_each([x[rng.choice(len(x), size, replace=False)] for _ in range(TREES)], spread, seed)
+
+
+def grow_each(drawn: list[np.ndarray], spread: np.ndarray | None = None, seed: int = 3) -> IsolationForest:
+    """``grow`` on rows that were drawn for each tree, as many for one as for another."""
+    spread = np.zeros(drawn[0].shape[1]) if spread is None else spread
+    rng = np.random.default_rng(seed)
+    size = len(drawn[0])
     limit = int(np.ceil(np.log2(max(size, 2))))
     trees = []
-    for _ in range(TREES):
+    for own in drawn:
         feature, split, left, depth = [-1], [0.0], [0], [0.0]
-        todo = [(0, x[rng.choice(len(x), size, replace=False)], 0)]
+        todo = [(0, own, 0)]
         while todo:
             node, rows, d = todo.pop()
             if not len(rows):
@@ -167,29 +175,82 @@ def grow(x: np.ndarray, spread: np.ndarray | None = None, seed: int = 3) -> Isol
     return IsolationForest(feature, split, left, depth, max(_mean_path(size), 1e-9))
 
 
+def _place(n: int, clean_loss: float) -> int:
+    """The threshold's place in the ascending order of n good rows' scores."""
+    return n - 1 - int(clean_loss * n)
+
+
 def calibrate(scores: np.ndarray, good: np.ndarray, clean_loss: float = CLEAN_LOSS) -> float:
     """The lowest threshold above which at most ``clean_loss`` of the good rows score."""
     clean = np.sort(scores[good])
     if len(clean) < LEAST_LABELLED:
         return np.inf
-    return float(clean[len(clean) - 1 - int(clean_loss * len(clean))])
+    return float(clean[_place(len(clean), clean_loss)])
+
+
+def calibrate_all(scores: DataFrame, n: int, clean_loss: float = CLEAN_LOSS) -> float:
+    """``calibrate`` over a table of n good rows: each pass counts them by the next 16 of their scores' bits (not negative, so these order them)."""
+    place, settled = _place(n, clean_loss), 0
+    for shift in (48, 32, 16, 0):
+        open_ = scores if shift == 48 else scores.where(F.shiftright("bits", shift + 16) == settled)
+        digits = open_.groupBy(F.shiftright("bits", shift).bitwiseAND(F.lit(0xFFFF)).alias("digit")).count().orderBy("digit").collect()
+        for r in digits:
+            if place < r["count"]:
+                break
+            place -= r["count"]
+        settled = settled << 16 | r["digit"]
+    return float(np.array(settled, np.int64).view(np.float64))
+
+
+def draw(good: DataFrame, n: int, trees: int = TREES, size: int = TREE_ROWS) -> list[np.ndarray]:
+    """For each tree, the features of ``size`` of the n rows (_id, features): those that come first in a random order of its own."""
+    size = min(size, n)
+    first = Window.partitionBy("tree").orderBy("place")
+    each = good.select("_id", "features", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    each = each.withColumn("place", F.xxhash64("tree", "_id", "features"))
+    share = (size + 8 * size**0.5) / n
+    while True:
+        # rows far down the order need not be sorted; if too few are left, more are let through
+        near = each if share >= 1 else each.where(F.col("place") < int(share * (1 << 64)) - (1 << 63))
+        rows = near.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= size).select("tree", "nth", "features").toPandas()
+        if len(rows) == trees * size:
+            x = np.stack(rows.sort_values(["tree", "nth"])["features"].to_list())
+            return list(x.reshape(trees, size, -1))
+        share *= 4
+
+
+def _scored(rows: DataFrame, names: list[str], shared: Broadcast) -> DataFrame:
+    """The columns ``names``, the score of the column features (anomaly), its bits, and whether it is regular."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest: IsolationForest | None = shared.value
+        for batch in batches:
+            at = batch.schema.get_field_index("features")
+            x = np.array(batch.column(at).flatten()).reshape(batch.num_rows, len(FEATURES))
+            anomaly = forest.scores(x) if forest is not None and batch.num_rows else np.zeros(batch.num_rows)
+            regular = anomaly <= (np.inf if forest is None else forest.threshold)
+            columns = [batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(anomaly), pa.array(anomaly.view(np.int64)), pa.array(regular)], [*names, "anomaly", "bits", "regular"])
 
+    schema = T.StructType([*(rows.schema[c] for c in names), T.StructField("anomaly", T.DoubleType()), T.StructField("bits", T.LongType()), T.StructField("regular", T.BooleanType())])
+    return rows.select(*names, "features").mapInArrow(score, schema)
 
-def fit(statistics_of: DataFrame, labels: DataFrame, doc_id: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> IsolationForest | None:
+
+def fit(statistics_of: DataFrame, labels: DataFrame, doc_id: str = "doc_id") -> IsolationForest | None:
+    """Forest and threshold of all labelled rows that pass the base rules; None if too few of them are good."""
+    spark = statistics_of.sparkSession
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("quality"))
-    rows = statistics_of.where("not base_failed").select(F.col(doc_id).alias("_id"), "features").join(known, "_id")
-    n = rows.count()
-    if not n:
-        return None
-    share = min(1.0, sample_rows / n)
-    sample = rows.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < share * (1 << 20)).limit(2 * sample_rows).toPandas().sort_values("_id")
-    if len(sample) < LEAST_LABELLED:
+    passed = statistics_of.where("not base_failed").select(F.col(doc_id).alias("_id"), "features").join(known, "_id")
+    rows = written(passed.select("_id", "features", (F.col("quality") > 0).alias("good")), "labelled")
+    told = rows.agg(F.count_if("good").alias("n"), *(F.stddev_pop(F.get("features", F.lit(k))).alias(f) for k, f in enumerate(FEATURES))).first()
+    n = told["n"]
+    if n < LEAST_LABELLED:
         return None
-    x, good = np.stack(sample["features"].to_list()), sample["quality"].to_numpy() > 0
-    if good.sum() < LEAST_LABELLED:
-        return None
-    forest = grow(x[good], x.std(axis=0))
-    forest.threshold = calibrate(forest.scores(x), good)
+    good = rows.where("good")
+    # the last digits depend on the order of the sums
+    forest = grow_each(draw(good, n), np.array([float(f"{told[f]:.6g}") for f in FEATURES]))
+    scores = written(_scored(good, [], spark.sparkContext.broadcast(forest)).select("bits"), "scores")
+    forest.threshold = calibrate_all(scores, n)
     return forest
 
 
@@ -199,18 +260,6 @@ def judge(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
     keep = [doc_id] if keep is None else keep
     rows = written(with_statistics(documents, text, list(dict.fromkeys([*keep, doc_id]))), "statistics")
     shared = spark.sparkContext.broadcast(fit(rows, labels, doc_id))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest: IsolationForest | None = shared.value
-        for batch in batches:
-            at = batch.schema.get_field_index("features")
-            x = np.array(batch.column(at).flatten()).reshape(batch.num_rows, len(FEATURES))
-            anomaly = forest.scores(x) if forest is not None and batch.num_rows else np.zeros(batch.num_rows)
-            regular = anomaly <= (np.inf if forest is None else forest.threshold)
-            columns = [batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(anomaly), pa.array(regular)], [*names, "anomaly", "regular"])
-
     names = [*keep, *_COUNTS, "base_failed"]
-    schema = T.StructType([*(rows.schema[c] for c in names), T.StructField("anomaly", T.DoubleType()), T.StructField("regular", T.BooleanType())])
-    judged = rows.select(*names, "features").mapInArrow(score, schema)
+    judged = _scored(rows, names, shared)
     return judged.select(*names, "anomaly", (~F.col("base_failed") & F.col("regular")).alias("kept"))

@@ -139,6 +139,22 @@ def test_forest_scores_outliers_higher():
     assert quality.calibrate(scores, np.arange(len(x)) < 400) >= scores[:400].max() - 0.1
 
 
+def test_forest_and_threshold_are_of_all_labelled_rows(spark):
+    n = 30_000
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(n, len(quality.FEATURES))).round(3)
+    x[rng.choice(n, 90, replace=False)] += 6  # 0.3 % of the good rows lie apart
+    rows = spark.createDataFrame([(k, v, False) for k, v in enumerate(x.tolist())], "doc_id long, features array<double>, base_failed boolean")
+    labels = spark.range(n).selectExpr("id as doc_id", "1 as quality")
+    forest = quality.fit(rows, labels)
+    scores = forest.scores(x)
+    assert forest.threshold == quality.calibrate(scores, np.ones(n, bool)) == np.sort(scores)[n - 1 - 60]
+    drawn = quality.draw(rows.selectExpr("doc_id as _id", "features"), n)
+    assert {len(d) for d in drawn} == {quality.TREE_ROWS} and len(drawn) == quality.TREES
+    # the trees' rows are their own: far more than any one sample of the first rows
+    assert len({tuple(v) for d in drawn for v in d.tolist()}) > 15_000
+
+
 def test_pipeline_stages_take_effect(spark, sf_dir):
     from test_decontaminate import brute as contaminated
     from test_jaccard import survivors
