@@ -61,6 +61,14 @@ def shingle_hashes(data: bytes, words: int = SHINGLE_WORDS) -> list[int]:
     return [digest(text[a:b], SEED) for a, b in zip(start[: 1 - words].tolist(), end[words - 1 :].tolist(), strict=True)]
 
 
+def fingerprint(hashes: np.ndarray) -> int:
+    """The fingerprint of one text's shingle hashes, repeats included."""
+    ones = np.zeros(BITS, np.int64)
+    for low in range(0, len(hashes), 1 << 16):
+        ones += np.unpackbits(hashes[low : low + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
 def fingerprints(raw: np.ndarray, bounds: np.ndarray, words: int = SHINGLE_WORDS) -> np.ndarray:
     data = raw.tobytes()
     hashes: list[int] = []

@@ -6,7 +6,7 @@ from helpers import AWKWARD, documents, prose
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from concord.llm import jaccard
+from concord.llm import jaccard, simhash
 
 
 def shingles(text):
@@ -90,3 +90,66 @@ def test_recall_on_planted_pairs(spark):
                 break
     kept = jaccard.keep_one_of_each(documents(spark, texts)).count()
     assert pairs >= 30 and kept == pairs
+
+
+def test_no_link_is_left_to_chance(spark):
+    """Pairs of 10 and 8 shingles, a similarity of exactly 0.8, which share none of 24 keys of 5 hashed minima."""
+    texts = [t for seed in (15161, 54419, 56045) for t in (prose(seed, 14), " ".join(prose(seed, 14).split()[:12]))]
+    kept = jaccard.keep_one_of_each(documents(spark, texts))
+    assert sorted(r.doc_id for r in kept.collect()) == survivors(texts) == [0, 2, 4]
+
+
+def test_prefixes_of_similar_sets_meet():
+    rng = np.random.default_rng(4)
+    counts = rng.integers(0, 5, jaccard.CELLS)
+    for n in [*range(1, 40), 300, 999]:
+        a = np.unique(rng.integers(0, 1 << 63, n, np.uint64))
+        for other in (a[: -(-4 * n // 5)], a[n - -(-4 * n // 5) :], rng.permutation(a)[: -(-4 * n // 5)], np.append(a, rng.integers(0, 1 << 63, n // 4, np.uint64))):
+            b = np.unique(other)
+            assert 9 * len(np.intersect1d(a, b)) >= 4 * (len(a) + len(b))
+            assert np.intersect1d(jaccard.prefix(a, counts), jaccard.prefix(b, counts)).size
+    assert not jaccard.prefix(np.zeros(0, np.uint64), counts).size
+
+
+def test_stage_searches_fingerprints_first(spark, sf_dir, monkeypatch):
+    texts = [*AWKWARD, *(t for seed in range(12) for t in copies(300 + seed, 300, 1, 4)), *(prose(seed, 200) for seed in range(20))]
+    docs, probed, linked = documents(spark, texts), [], []
+
+    def links(fps, distance):
+        probed.append(({r.fp for r in fps.collect()}, distance))
+        return simhash.links(fps, distance)
+
+    def groups(pairs, nodes, *rest):
+        linked.append(whole(pairs, nodes, *rest))
+        return linked[0]
+
+    whole = jaccard.groups_of_pairs
+    monkeypatch.setattr(jaccard, "links", links)
+    monkeypatch.setattr(jaccard, "groups_of_pairs", groups)
+    kept = corpus_pipeline.near_dedup(spark, docs, sf_dir)
+    prints = {r.doc_id: r.fp for r in simhash.with_fingerprints(docs, keep=["doc_id"], words=5).collect()}
+    assert probed == [(set(prints.values()), simhash.DISTANCE)]
+    # every pair of the copies within the distance is in a group by then: they are similar
+    node = {t: None for t in texts}
+    found = {r.node: r.group for r in linked[0].collect()}
+    for t, hashes in ((t, np.array(simhash.shingle_hashes((t or "").encode(), 5), np.uint64)) for t in node):
+        node[t] = int(np.array(jaccard.xxhash.xxh64_intdigest(np.unique(hashes).tobytes(), jaccard.SEED), np.uint64).view(np.int64))
+    close = 0
+    for low in range(len(AWKWARD), len(AWKWARD) + 48, 4):
+        for i in range(low, low + 4):
+            for j in range(low, i):
+                if texts[i] != texts[j] and ((prints[i] ^ prints[j]) & (2**64 - 1)).bit_count() <= simhash.DISTANCE:
+                    assert found[node[texts[i]]] == found[node[texts[j]]]
+                    close += 1
+    assert close >= 5
+    assert sorted(r.doc_id for r in kept.collect()) == survivors(texts)
+
+
+def test_cells_are_counted_over_all_texts(spark):
+    texts = [*AWKWARD, prose(1, 400), prose(1, 400)]
+    want = np.zeros(jaccard.CELLS, np.int64)
+    for t in texts:
+        for h in simhash.shingle_hashes((t or "").encode(), 5):
+            want[h % jaccard.CELLS] += 1
+    assert (jaccard.cell_counts(documents(spark, texts)) == want).all()
+    assert not jaccard.cell_counts(documents(spark, texts).limit(0)).any()
