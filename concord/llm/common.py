@@ -13,11 +13,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: Bytes of text that a task turns into numpy arrays at once.
-CHUNK_BYTES = 2 << 20
+#: Bytes of text that a task turns into numpy arrays at once: they take some 30 times as much, which a worker keeps for its next tasks.
+CHUNK_BYTES = 256 << 10
 #: Rows and bytes of an Arrow batch; Spark's 10,000 rows and 64 MB would not fit a small worker.
 BATCH_ROWS = 1024
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 1 << 20
 
 _BYTES = np.arange(256)
 LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
@@ -42,6 +42,11 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(size, str(BATCH_BYTES))
 
 
+def small_table(spark: SparkSession, **columns: pa.Array) -> DataFrame:
+    """A frame of a few rows that the driver holds. It goes to the JVM as Arrow: a list would have every executor keep a further pool of Python workers, for RDDs."""
+    return spark.createDataFrame(pa.table(columns))
+
+
 def kept(documents: DataFrame, keep: list[str] | None, added: Iterable[str]) -> list[str]:
     """The columns to keep, all by default, but those whose names an operator adds: its own take their place."""
     own = {c.lower() for c in added}

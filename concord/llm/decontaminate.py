@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from concord.llm.common import chunked, find_words, kept, ragged, small_batches, word_hashes
+from concord.llm.common import chunked, find_words, kept, ragged, small_batches, small_table, word_hashes
 from concord.session import written
 
 WINDOW_WORDS = 10
@@ -196,7 +196,7 @@ def in_blocks(benchmark: DataFrame, item_id: str, item_text: str, words: int = W
     cut = written(rows.mapInArrow(run, "item string, words binary, before double, share double").withColumn("part", F.spark_partition_id()), "stretches")
     totals = cut.groupBy("part").agg(F.sum("share").alias("share")).orderBy("part").collect()  # a row per partition of the benchmark
     at = np.cumsum([0.0, *(r["share"] for r in totals)])
-    offsets = spark.createDataFrame([(r["part"], float(x)) for r, x in zip(totals, at, strict=False)], "part int, offset double")
+    offsets = small_table(spark, part=pa.array([r["part"] for r in totals], pa.int32()), offset=pa.array(at[: len(totals)]))
     return cut.join(F.broadcast(offsets), "part").select("item", "words", F.floor(F.col("offset") + F.col("before")).alias("block"))
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from concord.llm.common import chunked, small_batches
+from concord.llm.common import chunked, small_batches, small_table
 from concord.operators.components import connected_components
 from concord.session import written
 
@@ -296,7 +296,8 @@ def links(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET, masks:
         crowded = [r["mask"] % (1 << 64) for r in large.select("mask").distinct().collect()]
         if not crowded:
             break
-        smaller = spark.createDataFrame([(_signed(m), _signed(x)) for m in crowded for x in split_mask(m, distance)], "mask long, smaller long")
+        cut = [(_signed(m), _signed(x)) for m in crowded for x in split_mask(m, distance)]
+        smaller = small_table(spark, mask=pa.array([m for m, _ in cut], pa.int64()), smaller=pa.array([x for _, x in cut], pa.int64()))
         rows = large.join(F.broadcast(smaller), "mask").select("fp", F.col("smaller").alias("mask"), F.col("fp").bitwiseAND(F.col("smaller")).alias("value")).distinct()
     edges = found[0]
     for more in found[1:]:

@@ -38,7 +38,7 @@ from concord.llm.common import kept, small_batches, text_buffer, text_runs
 #: The pre-tokeniser's pattern of byte-level BPE files (fixed value).
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces that a worker keeps for good, and as many young ones; about 200 bytes each. A full table is emptied.
-CACHED_PIECES = 250_000
+CACHED_PIECES = 100_000
 _SPLIT = regex.compile(PRE_TOKEN)
 _RUN_OF_SPACE = re.compile(r" \s")
 _PIECE = re.compile(r" (?=\S)")

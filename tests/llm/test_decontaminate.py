@@ -1,6 +1,8 @@
 import hashlib
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from helpers import AWKWARD, documents, prose
 
@@ -56,6 +58,29 @@ def test_given_tables(spark, sf_dir):
     assert sum(w[1] > 0 for w in want) > 0
 
 
+def test_a_worker_holds_little_at_once():
+    """A scan's arrays are those of a small run of rows, however large the batch."""
+    items = [(k, prose(k, 40)) for k in range(30)]
+    search = decontaminate.WindowSearch(decontaminate.windows_of((str(k), " ".join(words(t)).encode()) for k, t in items))
+    texts = [prose(100 + k, 200) + items[k % 30][1] for k in range(1000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1000)), "text": texts})
+    tracemalloc.start()
+    found = pa.Table.from_batches(decontaminate._scanner([type("Held", (), {"value": search})], "text", ["doc_id"])(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert batch.nbytes > 1.5e6 and most < 30e6
+    assert found["_n_words"].to_pylist() == [len(words(t)) for t in texts] and all(found["_items"].to_pylist())
+
+
+def test_no_second_pool_of_workers(spark, monkeypatch):
+    """The blocks' offsets reach the JVM without an RDD of Python rows, which has workers of its own."""
+    bench = spark.createDataFrame([(k, prose(k, 30)) for k in range(9)], "item_id long, text string")
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", lambda *_: pytest.fail("an RDD of Python rows"))
+    blocks = decontaminate.in_blocks(bench, "item_id", "text", windows=50)
+    monkeypatch.undo()
+    assert blocks.count() == 9 and blocks.select("block").distinct().count() > 2
+
+
 def test_empty_tables_and_clashing_columns(spark):
     docs, bench = documents(spark, ["a b c", "d"]), spark.createDataFrame([(1, "b")], "item_id long, text string")
     assert run(spark, docs.limit(0), bench) == {}
