@@ -9,8 +9,9 @@ similarity, so links that no radius holds come from the sets themselves: all ord
 their shingles alike, rare ones first, and two sets of the similarity share one of
 the first fifth of each. These keys lose no link; nodes that SimHash linked already
 are not compared again, and keys that many nodes share are not turned into all of
-their pairs (``concord.operators.similar``). A set's size and a sketch of SKETCH
-parity bits tell beforehand which candidates cannot reach the similarity, exactly.
+their pairs (``concord.operators.similar``). A set's size and a sketch of
+parity bits, as many as the set has shingles at least, tell beforehand which candidates
+cannot reach the similarity, exactly.
 
 Which shingles are rare is told by counts, over all texts, of CELLS cells that they
 are hashed to. Any order is exact; this one keeps common passages out of the keys.
@@ -40,8 +41,8 @@ from concord.session import written
 SHINGLE_WORDS = 5
 #: Least Jaccard similarity of linked texts, as a fraction.
 SIMILAR = (4, 5)
-#: Bits of a sketch, 64 a long.
-SKETCH = 1024
+#: Least bits of a sketch, 64 a long.
+SKETCH = 64
 #: Cells in which shingles are counted, and pieces that a task's counts are sent in.
 CELLS, PIECES = 1 << 18, 64
 
@@ -56,8 +57,9 @@ def prefix(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
-    """The parity of the shingles in each of SKETCH cells."""
-    cells = np.bincount((shingles % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+    """The parity of the shingles in each of so many cells: the power of two that is at least their number."""
+    n = max(SKETCH, 1 << (len(shingles) - 1).bit_length()) if len(shingles) else SKETCH
+    cells = np.bincount((shingles % np.uint64(n)).astype(np.int64), minlength=n)
     return np.packbits(cells & 1, bitorder="little").view(np.uint64)
 
 
@@ -140,8 +142,7 @@ def keep_one_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "
     # the row number is written with its row, so that it stays the same
     rows = written(_sets(numbered, body, [*plain, "_row"], "about", _described), "shingled")
     first = F.min(F.struct(F.col(key).isNull().alias("nameless"), F.col(key).alias("id"), F.col("_row").alias("row"))).alias("first")
-    words = SKETCH // 64
-    told = F.struct(F.get("about", F.lit(1)).alias("size"), F.slice("about", 3, words).alias("bits")).alias("sketch")
+    told = F.struct(F.get("about", F.lit(1)).alias("size"), F.slice("about", F.lit(3), F.size("about") - 2).alias("bits")).alias("sketch")
     # texts of one set may repeat its shingles differently
     heads = written(rows.groupBy("node").agg(F.min("about").alias("about"), first).select("node", F.get("about", F.lit(0)).alias("fp"), told, "first"), "heads")
 
@@ -150,12 +151,19 @@ def keep_one_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "
         one = written(heads.join(wanted, "node", "left_semi").select(F.col("first.row").alias("_row")), "wanted")
         return _sets(rows.join(one, "_row", "left_semi"), body, [], "shingles", lambda hashes, shingles: shingles)
 
-    near = groups_of_pairs(fingerprint_pairs(heads.select("node", "fp"), distance), heads, sets_of, SIMILAR, words)
+    near = groups_of_pairs(fingerprint_pairs(heads.select("node", "fp"), distance), heads, sets_of, SIMILAR)
     counts = rows.sparkSession.sparkContext.broadcast(cell_counts(rows, body))
     rarest = _sets(rows, body, ["_row"], "keys", lambda hashes, shingles: prefix(shingles, counts.value))
-    ones = written(heads.select(F.col("first.row").alias("_row")), "ones")
-    nodes = written(rarest.join(ones, "_row", "left_semi").select("node", "keys"), "nodes")
-    labels = linked_groups(nodes, sets_of, SIMILAR, direct, words, heads, near)
+    # rows that go are fewer than those that stay, so texts meet their numbers: often few enough to be sent to all tasks
+    repeats = written(_others(rows, heads), "repeats")
+    nodes = written(rarest.join(repeats, "_row", "left_anti").select("node", "keys"), "nodes")
+    counts.destroy()
+    labels = linked_groups(nodes, sets_of, SIMILAR, direct, heads, near)
     stay = heads.join(labels, "node", "left").groupBy(F.coalesce("group", "node").alias("group")).agg(F.min("first").alias("first"))
-    stay = written(stay.select(F.col("first.row").alias("_row")), "stay")
-    return rows.join(stay, "_row", "left_semi").select(*plain).toDF(*documents.columns)
+    gone = written(_others(rows, stay), "gone")
+    return rows.join(gone, "_row", "left_anti").select(*plain).toDF(*documents.columns)
+
+
+def _others(rows: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The numbers of the rows that are none of ``firsts``."""
+    return rows.select("_row").join(firsts.select(F.col("first.row").alias("_row")), "_row", "left_anti")

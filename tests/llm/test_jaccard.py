@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from concord.llm import jaccard, simhash
+from concord.operators import similar
 
 
 def shingles(text):
@@ -153,3 +154,27 @@ def test_cells_are_counted_over_all_texts(spark):
             want[h % jaccard.CELLS] += 1
     assert (jaccard.cell_counts(documents(spark, texts)) == want).all()
     assert not jaccard.cell_counts(documents(spark, texts).limit(0)).any()
+
+
+def test_sketches_tell_long_texts_apart(spark):
+    """Fixed 1,024 bits let any two sets of over 2,304 shingles pass."""
+    rng = np.random.default_rng(5)
+    longs = "node long, sketch struct<size: long, bits: array<long>>"
+    for n, m in ((3000, 3000), (4000, 4200), (3000, 3600), (20_000, 17_000)):
+        a, b = (rng.integers(0, 1 << 63, k, np.uint64) for k in (n, m))
+        # the third is like the first, in the next class of sizes for some
+        c = np.append(a[n // 20 :], rng.integers(0, 1 << 63, n // 9, np.uint64))
+        rows = [(k, (len(s), jaccard.sketch(s).view(np.int64).tolist())) for k, s in enumerate((a, b, c))]
+        pairs = spark.createDataFrame([(0, 1), (0, 2), (1, 2)], "a long, b long")
+        assert [tuple(r) for r in similar._may_link(pairs, spark.createDataFrame(rows, longs), jaccard.SIMILAR).collect()] == [(0, 2)]
+
+
+def test_sketches_of_other_sizes_fold():
+    rng = np.random.default_rng(6)
+    for n in (60, 500, 1000, 4000):
+        a = rng.integers(0, 1 << 63, n, np.uint64)
+        b = np.append(a, rng.integers(0, 1 << 63, n // 5, np.uint64))
+        x, y = jaccard.sketch(a), jaccard.sketch(b)
+        assert len(y) in (len(x), 2 * len(x))
+        folded = y if len(x) == len(y) else y[: len(x)] ^ y[len(x) :]
+        assert int(np.bitwise_count(x ^ folded).sum()) <= len(b) - len(a)
