@@ -73,7 +73,10 @@ def _zipped(xml: pd.Series) -> pd.Series:
     def one(text: str) -> bytes:
         out = io.BytesIO()
         with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr("word/document.xml", text)
+            # a member of one time, so that equal texts are equal files whenever they are made
+            member = zipfile.ZipInfo("word/document.xml")
+            member.compress_type = zipfile.ZIP_DEFLATED
+            archive.writestr(member, text)
         return out.getvalue()
 
     return xml.map(one)
@@ -121,10 +124,10 @@ def _documents(spark, sf_dir) -> DataFrame:
 
 
 def _stored_blocks(spark, sf_dir) -> DataFrame:
-    """The documents written to the store by digest, told by content and read as blocks."""
-    path = fresh_path(spark, "documents")
-    files.store(_documents(spark, sf_dir), path).agg(F.count("*")).first()
-    held = files.told(spark.read.parquet(path).select(F.col("name").alias("path"), "name", "content"))
+    """The documents written to the store by digest, told by content and read as blocks; equal files are stored once and are each customer's own."""
+    path, documents = fresh_path(spark, "documents"), _documents(spark, sf_dir)
+    files.store(documents, path).agg(F.count("*")).first()
+    held = files.told(files.held(documents, path).withColumn("path", F.col("name")))
     return files.blocks(held).withColumn("document_id", F.regexp_extract("path", "^([0-9]+)", 1).cast("long"))
 
 

@@ -4,7 +4,8 @@
 format; ``blocks`` turns each file into rows of text, or into one row that says why
 it has none, so that no file goes silently. ``store`` writes contents under their
 SHA-256, skips those that the manifest already holds, and reads what it wrote
-again: a file whose bytes do not have their name's digest is an error.
+again: a file whose bytes do not have their name's digest is an error. ``held``
+gives the stored bytes back under every name, equal contents under each of theirs.
 """
 
 from __future__ import annotations
@@ -188,3 +189,14 @@ def store(contents: DataFrame, path: str, manifest: DataFrame | None = None) ->
     back = spark.read.schema(fresh.schema).parquet(path)
     sound = F.when(F.sha2("content", 256) == F.col("sha256"), F.col("sha256")).otherwise(F.raise_error(F.concat(F.lit("a stored file does not have its digest "), "sha256")))
     return back.select(sound.alias("sha256"), F.length("content").cast("long").alias("length"), "name")
+
+
+def held(contents: DataFrame, path: str) -> DataFrame:
+    """(name, content) of every row of ``contents`` (name, content) that has a content, as ``store`` wrote it to ``path``.
+
+    Names are matched by digest; a content that is not in the store is an error, no lost row.
+    """
+    named = contents.where(F.col("content").isNotNull()).select("name", F.sha2("content", 256).alias("sha256"))
+    stored = contents.sparkSession.read.schema("sha256 string, content binary").parquet(path)
+    missing = F.raise_error(F.concat(F.lit("not in the store: "), "sha256")).cast("binary")
+    return named.join(stored, "sha256", "left").select("name", F.coalesce("content", missing).alias("content"))

@@ -8,6 +8,7 @@ from test_files import W, docx
 
 from concord.functions import text as X
 from concord.operators import assembly, document_rules, geometry
+from concord.plans import layout_queries
 from concord.sources import files
 
 BOX = "left double, top double, right double, bottom double"
@@ -115,3 +116,16 @@ def test_metric_needs_its_boundary(spark):
     rows = [(1, 0, "", None, 0, "PARAGRAPH", "proteção UV50x"), (2, 0, "", None, 0, "PARAGRAPH", "proteção UV 50 total"), (3, 0, "", None, 0, "PARAGRAPH", "UV50 com laudo")]
     blocks = spark.createDataFrame(rows, "document_id long, section int, title string, section_type string, pos int, type string, text string")
     assert [r.document_id for r in document_rules.metrics_without_method(blocks).collect()] == [2]
+
+
+def equal_files(spark, tmp_path):
+    """Orders of two customers whose documents do not differ, and of one whose document does."""
+    spark.createDataFrame([(7, 1), (57, 61), (9, 4)], "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    return str(tmp_path)
+
+
+def test_equal_files_are_stored_once_and_stay_each_customers_own(spark, tmp_path):
+    sf_dir = equal_files(spark, tmp_path)
+    assert {r.document_id for r in layout_queries.docx_tables(spark, sf_dir).select("document_id").distinct().collect()} == {1, 4, 61}
+    documents = layout_queries._documents(spark, sf_dir)
+    assert files.store(documents, str(tmp_path / "s")).count() == 2 and files.held(documents, str(tmp_path / "s")).count() == 3
