@@ -129,3 +129,8 @@ def test_equal_files_are_stored_once_and_stay_each_customers_own(spark, tmp_path
     assert {r.document_id for r in layout_queries.docx_tables(spark, sf_dir).select("document_id").distinct().collect()} == {1, 4, 61}
     documents = layout_queries._documents(spark, sf_dir)
     assert files.store(documents, str(tmp_path / "s")).count() == 2 and files.held(documents, str(tmp_path / "s")).count() == 3
+
+
+def test_items_of_equal_files(spark, tmp_path):
+    items = {(r.document_id, r.item_id, r.quantity) for r in layout_queries.document_items(spark, equal_files(spark, tmp_path)).collect()}
+    assert items == {(1, "item-0001", 8.0), (61, "item-0001", 8.0), (4, "item-0001", 10.0)}
