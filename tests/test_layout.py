@@ -134,3 +134,8 @@ def test_equal_files_are_stored_once_and_stay_each_customers_own(spark, tmp_path
 def test_items_of_equal_files(spark, tmp_path):
     items = {(r.document_id, r.item_id, r.quantity) for r in layout_queries.document_items(spark, equal_files(spark, tmp_path)).collect()}
     assert items == {(1, "item-0001", 8.0), (61, "item-0001", 8.0), (4, "item-0001", 10.0)}
+
+
+def test_processes_of_equal_files_have_all_their_documents(spark, tmp_path):
+    rows = layout_queries.process_documents(spark, equal_files(spark, tmp_path)).collect()
+    assert {(r.document_id, r.process_id, r.n_items, r.quantity) for r in rows} == {(1, 0, 1, 8.0), (61, 15, 1, 8.0), (4, 1, 1, 10.0)}
