@@ -77,3 +77,9 @@ def test_awkward_candidates(spark, tmp_path):
     spark.createDataFrame(rows, admission.CANDIDATE).write.mode("append").parquet(path)
     got, _ = admission.collect(spark, path, f"{path}-log", f"{path}-at", date(2024, 1, 1), 9)
     assert sorted((r.process, r.status, r.cost) for r in got.collect()) == [("p", "accepted", 0), ("r", "error", 1), ("s", "error", 1)]
+
+
+def test_of_equal_contracts_at_one_place_the_same_one_stays_in_any_order(spark):
+    rows = [(1, 8, "o", "p", "c", outcome, 1, 2, 0) for outcome in ("usable", "unusable", "error")]
+    stay = [admission._sound(spark.createDataFrame(order, admission.LANDED).coalesce(1)).collect() for order in (rows, rows[::-1])]
+    assert [[r.outcome for r in s] for s in stay] == [["error"], ["error"]]
