@@ -139,3 +139,13 @@ def test_items_of_equal_files(spark, tmp_path):
 def test_processes_of_equal_files_have_all_their_documents(spark, tmp_path):
     rows = layout_queries.process_documents(spark, equal_files(spark, tmp_path)).collect()
     assert {(r.document_id, r.process_id, r.n_items, r.quantity) for r in rows} == {(1, 0, 1, 8.0), (61, 15, 1, 8.0), (4, 1, 1, 10.0)}
+
+
+def dealt_by(df):
+    """What the exchanges of a plan deal rows out by."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return {re.sub(r"#\d+L?, \d+", "", by) for by in re.findall(r"Exchange (\w+\(.*?\)|\w+)", plan)}
+
+
+def test_boxes_of_pages_are_not_dealt_out_again(spark, sf_dir):
+    assert dealt_by(layout_queries.page_blocks(spark, sf_dir)) == {"hashpartitioning(page_id)"}
