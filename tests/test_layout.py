@@ -149,3 +149,7 @@ def dealt_by(df):
 
 def test_boxes_of_pages_are_not_dealt_out_again(spark, sf_dir):
     assert dealt_by(layout_queries.page_blocks(spark, sf_dir)) == {"hashpartitioning(page_id)"}
+
+
+def test_cells_of_pages_are_not_dealt_out_again(spark, sf_dir):
+    assert dealt_by(layout_queries.table_geometry(spark, sf_dir)) == {"hashpartitioning(page_id)"}
